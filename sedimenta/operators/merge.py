@@ -83,8 +83,8 @@ def union_evolving(older: DataFrame, newer: DataFrame) -> DataFrame:
     return older.unionByName(newer, allowMissingColumns=True)
 
 
-def replace_where(old: DataFrame, new: DataFrame, predicate: str) -> DataFrame:
-    """Swap the rows that match ``predicate`` for ``new``.
+def replace_where(old: DataFrame | None, new: DataFrame, predicate: str) -> DataFrame:
+    """Swap the rows that match ``predicate`` for ``new`` (no ``old``: a first load).
 
     A new row outside the predicate fails the job: it would land in a part of
     the table that is not being replaced.  Rows where the predicate is NULL
@@ -93,4 +93,4 @@ def replace_where(old: DataFrame, new: DataFrame, predicate: str) -> DataFrame:
     inside = F.coalesce(F.expr(predicate), F.lit(False))
     message = F.lit(f"a new row does not satisfy: {predicate}")
     checked = new.filter(F.when(inside, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
-    return old.filter(~inside).unionByName(checked)
+    return checked if old is None else old.filter(~inside).unionByName(checked)

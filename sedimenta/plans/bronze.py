@@ -14,6 +14,7 @@ from sedimenta.operators.changes import apply_changes
 from sedimenta.operators.merge import upsert
 from sedimenta.sinks.tables import write_snapshot, write_staging
 from sedimenta.sources.feeds import changes_after, rows_after_watermark
+from sedimenta.sources.tables import read_path
 
 
 def initial_load(source: DataFrame, run_id: str, as_of: Column | dt.datetime | str) -> DataFrame:
@@ -43,8 +44,10 @@ def run_initial_load(
     cluster_by: Sequence[str] = (),
 ) -> DataFrame:
     """Stage the copy, then write version 1 from the staged files (the source is read once)."""
-    staged = write_staging(initial_load(source, run_id, as_of), root, table, "initial", run_id)
-    return write_snapshot(source.sparkSession.read.parquet(staged), f"{root}/{table}", 1, cluster_by=cluster_by)
+    loaded = initial_load(source, run_id, as_of)
+    staged = write_staging(loaded, root, table, "initial", run_id)
+    copy = read_path(source.sparkSession, staged, loaded.schema)
+    return write_snapshot(copy, f"{root}/{table}", 1, cluster_by=cluster_by)
 
 
 def run_incremental_load(
@@ -65,6 +68,6 @@ def run_incremental_load(
     and the change feed is queried once.
     """
     staged = write_staging(changes_after(changes, last), root, table, "incremental", run_id)
-    batch = target.sparkSession.read.parquet(staged)
+    batch = read_path(target.sparkSession, staged, changes.schema)
     state = apply_changes(target, batch, keys, run_id, as_of)
     return write_snapshot(state, f"{root}/{table}", version, cluster_by=keys if cluster_by is None else cluster_by)

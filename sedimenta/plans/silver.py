@@ -15,8 +15,16 @@ from sedimenta.functions.strings import clean_strings
 from sedimenta.operators.changes import require_unique
 from sedimenta.operators.history import scd2_apply
 from sedimenta.operators.merge import upsert
-from sedimenta.operators.quality import load_metrics, rejected_rows, stop_on_error, tag_rows, valid_rows
+from sedimenta.operators.quality import (
+    load_metrics,
+    orphan_rows,
+    rejected_rows,
+    stop_on_error,
+    tag_rows,
+    valid_rows,
+)
 from sedimenta.sinks.tables import write_quarantine, write_snapshot
+from sedimenta.sources.tables import read_path
 
 
 @dataclass(frozen=True)
@@ -91,10 +99,9 @@ def run_silver(
     if on_error == "fail":
         cleaned = stop_on_error(cleaned, rules, parents)
     staged = f"{root.rstrip('/')}/staging/{config.name}/{run_id}"
-    tag_rows(cleaned, rules, parents).write.mode("overwrite").partitionBy("_accepted").parquet(staged)
-    # The schema is stated because an outcome without rows leaves no folder.
-    schema = tag_rows(cleaned, rules, parents).schema
-    tagged = spark.read.schema(schema).parquet(staged)
+    tagged = tag_rows(cleaned, rules, parents)
+    tagged.write.mode("overwrite").partitionBy("_accepted").parquet(staged)
+    tagged = read_path(spark, staged, tagged.schema)
     accepted = tagged.filter("_accepted").select(*cleaned.columns)
     refused = tagged.filter("NOT _accepted").select(*cleaned.columns, "_failed_rules")
 
@@ -103,3 +110,24 @@ def run_silver(
     write_snapshot(state, f"{root}/{config.name}", version, config.partition_by, config.cluster_by)
     write_quarantine(refused, quarantine_root, "silver", config.name, run_id, as_of)
     return load_metrics(tagged, run_id).withColumn("table_name", F.lit(config.name))
+
+
+def run_reference_audit(
+    child: DataFrame,
+    column: str,
+    parent: DataFrame,
+    parent_column: str,
+    rule_id: str,
+    report: Sequence[str],
+    table: str,
+    run_id: str,
+    as_of: Column | dt.datetime | str,
+    quarantine_root: str,
+) -> str:
+    """After the load: write the ``report`` columns of orphaned rows, tagged with the rule.
+
+    One job; no orphans leave no lines.  Returns the folder, which
+    ``quarantine_summary`` counts.
+    """
+    orphans = orphan_rows(child, column, parent, parent_column, rule_id).select(*report, "rule_id")
+    return write_quarantine(orphans, quarantine_root, "audit", table, run_id, as_of)

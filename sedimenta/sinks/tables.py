@@ -33,6 +33,7 @@ def write_snapshot(
     cluster_by: Sequence[str] = (),
 ) -> DataFrame:
     """Write a full state as a new version, with its own schema, and read it back."""
+    schema = df.schema
     if cluster_by:
         df = clustered(df, cluster_by, within=partition_by)
     elif partition_by:
@@ -41,7 +42,7 @@ def write_snapshot(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(snapshot_path(root, version))
-    return read_snapshot(df.sparkSession, root, version)
+    return read_snapshot(df.sparkSession, root, version, schema).select(*schema.names)
 
 
 def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -54,7 +55,7 @@ def write_replacing(
     new: DataFrame, root: str, version: int, predicate: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:
     """New version in which the rows matching ``predicate`` are replaced by ``new``."""
-    old = read_snapshot(new.sparkSession, root, version - 1)
+    old = read_snapshot(new.sparkSession, root, version - 1) if version > 1 else None
     return write_snapshot(replace_where(old, new, predicate), root, version, partition_by)
 
 

@@ -19,9 +19,15 @@ def snapshot_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/version={version:010d}"
 
 
-def read_snapshot(spark: SparkSession, root: str, version: int) -> DataFrame:
-    """The table as of a version (an older one is time travel)."""
-    return spark.read.parquet(snapshot_path(root, version))
+def read_snapshot(
+    spark: SparkSession, root: str, version: int, schema: StructType | None = None
+) -> DataFrame:
+    """The table as of a version (an older one is time travel).
+
+    With a schema no file is opened to infer one, and the values of partition
+    folders keep their declared type.
+    """
+    return read_path(spark, snapshot_path(root, version), schema)
 
 
 def dates_between(bounds: DataFrame, first: str = "first_day", last: str = "last_day") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.functions.columns import month_key
 from sedimenta.operators.changes import (
     apply_changes,
     decode_changes,
@@ -13,11 +14,14 @@ from sedimenta.operators.changes import (
     latest_per_key,
 )
 from sedimenta.operators.merge import replace_where, union_evolving
-from sedimenta.plans.bronze import initial_load, watermark_load
+from sedimenta.plans.bronze import initial_load, run_incremental_load, run_initial_load, watermark_load
+from sedimenta.session import fresh_path
 from sedimenta.sinks.layout import clustered
+from sedimenta.sinks.tables import write_snapshot
 from sedimenta.sources.feeds import changes_after, in_log_order
+from sedimenta.sources.tables import read_snapshot
 from workload.inputs import CHANGE_LOAD, FIRST_LOAD, RUN_1, RUN_2, SECOND_LOAD, frame, latest_sql, table, with_inputs
-from workload.registry import query
+from workload.registry import ORACLES, query
 
 KEY = ["user_id"]
 ORDER = ("_cdc_version", "_cdc_seq")
@@ -163,3 +167,55 @@ def replace_where_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("cluster_layout", "SELECT * FROM orders")
 def cluster_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderdate"])
+
+
+# ---- loads with their writes -----------------------------------------------
+
+
+@query(
+    "bronze_incremental_load",
+    with_inputs(
+        ["changes", "accounts"],
+        f"""applied AS (SELECT max(_cdc_version) AS last FROM changes
+                        WHERE _change_timestamp < TIMESTAMP '2024-01-03 00:00:00'),
+            {_DECODED},
+            fresh AS (SELECT * FROM decoded WHERE _cdc_version > (SELECT last FROM applied)),
+            latest AS ({latest_sql('fresh', 'user_id', '_cdc_version DESC, _cdc_seq DESC')})""",
+        f"""SELECT user_id, value, 'F' AS _cdc_operation, '{RUN_1}' AS _pipeline_run_id,
+                   TIMESTAMP '{FIRST_LOAD}' AS _ingest_timestamp
+            FROM accounts WHERE user_id NOT IN (SELECT user_id FROM latest)
+            UNION ALL
+            SELECT user_id, value, _cdc_operation, '{RUN_2}', TIMESTAMP '{CHANGE_LOAD}'
+            FROM latest WHERE _cdc_operation <> 'DELETE'""",
+    ),
+)
+def bronze_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage, write version 1; stage the changes behind the mark, write version 2; read it back."""
+    root, changes = fresh_path(spark, "raw"), frame(spark, sf_dir, "changes")
+    state = run_initial_load(frame(spark, sf_dir, "accounts"), root, "accounts", RUN_1, FIRST_LOAD, KEY)
+    applied = high_water_mark(changes.filter("_change_timestamp < TIMESTAMP '2024-01-03 00:00:00'"))
+    return run_incremental_load(
+        state, changes, KEY, root, "accounts", 2, RUN_2, CHANGE_LOAD, last=applied.scalar()
+    )
+
+
+@query("snapshot_time_travel", ORACLES["bronze_initial_load"])
+def snapshot_time_travel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Version 1 as it still reads after version 2 (other columns, fewer rows) was written."""
+    root = fresh_path(spark, "versions")
+    first = initial_load(table(spark, sf_dir, "orders"), RUN_1, FIRST_LOAD)
+    write_snapshot(first, root, 1)
+    write_snapshot(read_snapshot(spark, root, 1).filter("o_orderstatus = 'O'").select("o_orderkey"), root, 2)
+    return read_snapshot(spark, root, 1)
+
+
+@query(
+    "partitioned_write",
+    """SELECT *, CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS month_key FROM orders""",
+)
+def partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in one folder per month, clustered by customer and order within the month."""
+    orders = table(spark, sf_dir, "orders").withColumn("month_key", month_key("o_orderdate"))
+    return write_snapshot(
+        orders, fresh_path(spark, "by-month"), 1, ["month_key"], ["o_custkey", "o_orderkey"]
+    )

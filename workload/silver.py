@@ -28,7 +28,7 @@ from sedimenta.operators.quality import (
     valid_rows,
     warned_rows,
 )
-from sedimenta.plans.silver import silver_transform
+from sedimenta.plans.silver import run_silver, silver_transform
 from sedimenta.session import fresh_path
 from sedimenta.sinks.tables import write_quarantine
 from sedimenta.sources.tables import quarantine_summary
@@ -393,3 +393,29 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scd2_initial(earlier, CUSTOMER_TABLE.tracked, FIRST_LOAD)
     source = frame(spark, sf_dir, "raw_customers")
     return silver_transform(source, target, CUSTOMER_TABLE, CUSTOMER_RULES, RUN_2, AS_OF_DAY).state
+
+
+@query(
+    "silver_load_metrics",
+    with_inputs(
+        ["raw_customers"],
+        _CHECKED,
+        f"""SELECT count(*) AS records_read, count(*) FILTER (WHERE n1 AND f1 AND v1) AS records_written,
+                   count(*) FILTER (WHERE NOT (n1 AND f1 AND v1)) AS records_quarantined,
+                   '{RUN_2}' AS pipeline_run_id, 'customers' AS table_name FROM checked""",
+    ),
+)
+def silver_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load with its writes: staging, next version, quarantine; its metrics row."""
+    root = fresh_path(spark, "conformed")
+    return run_silver(
+        frame(spark, sf_dir, "raw_customers"),
+        None,
+        CUSTOMER_TABLE,
+        CUSTOMER_RULES,
+        root,
+        1,
+        RUN_2,
+        AS_OF_DAY,
+        f"{root}-quarantine",
+    )
