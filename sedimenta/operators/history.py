@@ -69,7 +69,7 @@ def scd2_new_rows(
     as_of: Column | dt.datetime | str,
 ) -> DataFrame:
     """Source rows whose key has no current version, as first versions."""
-    unseen = source.join(current_rows(target).select(*keys), list(keys), "left_anti")
+    unseen = source.join(current_rows(target).select(*keys), list(keys), "left_anti").select(*source.columns)
     opened = _opened(unseen, tracked, _stamp(target, as_of))
     return opened.withColumn("_valid_to", F.lit(None).cast(target.schema["_valid_to"].dataType))
 

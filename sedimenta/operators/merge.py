@@ -29,7 +29,8 @@ def merge_rows(
         written = written.join(target.select(*keys, *kept_columns).dropna(subset=keys), keys, "left")
     if touched is None:
         touched = written.select(*keys)
-    return target.join(touched, keys, "left_anti").unionByName(written, allowMissingColumns=True)
+    kept = target.join(touched, keys, "left_anti").select(*target.columns)
+    return kept.unionByName(written, allowMissingColumns=True)
 
 
 def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:

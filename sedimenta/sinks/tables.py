@@ -56,7 +56,9 @@ def write_replacing(
 ) -> DataFrame:
     """New version in which the rows matching ``predicate`` are replaced by ``new``."""
     old = read_snapshot(new.sparkSession, root, version - 1) if version > 1 else None
-    return write_snapshot(replace_where(old, new, predicate), root, version, partition_by)
+    return write_snapshot(
+        replace_where(old, new, predicate).select(*new.columns), root, version, partition_by
+    )
 
 
 def write_quarantine(
