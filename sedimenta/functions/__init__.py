@@ -1,6 +1,7 @@
 from sedimenta.functions.columns import (
     all_present,
     any_differs,
+    any_missing,
     conform,
     date_key,
     decode_operation,
@@ -14,6 +15,7 @@ from sedimenta.functions.strings import cast_timestamps, clean_strings
 __all__ = [
     "all_present",
     "any_differs",
+    "any_missing",
     "cast_timestamps",
     "clean_strings",
     "conform",

@@ -48,15 +48,15 @@ def decode_operation(code: Column | str) -> Column:
     return decoded.otherwise(UNKNOWN)
 
 
-def row_hash(df: DataFrame, columns: Iterable[str]) -> Column:
-    """SHA-256 over the listed columns that no two different rows share.
+def row_hash(df: DataFrame, columns: Iterable[str], alias: str | None = None) -> Column:
+    """SHA-256 over the listed columns (of ``df``, or of its alias in a join).
 
     Each value is written with its length in front and NULL has its own mark,
     so neither a separator inside a value nor a NULL can make rows collide.
     """
     parts = []
     for name in columns:
-        text = F.col(name)
+        text = F.col(f"{alias}.{name}" if alias else name)
         if not isinstance(df.schema[name].dataType, StringType):
             text = text.cast("string")
         counted = F.concat(F.length(text).cast("string"), F.lit(":"), text)
@@ -74,6 +74,10 @@ def all_present(columns: Iterable[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in columns])
 
 
+def any_missing(columns: Iterable[str]) -> Column:
+    return reduce(or_, [F.col(c).isNull() for c in columns])
+
+
 def date_key(column: Column | str) -> Column:
     """``yyyymmdd`` as int, by arithmetic (no formatter call per row)."""
     return (F.year(column) * 10000 + F.month(column) * 100 + F.day(column)).cast("int")

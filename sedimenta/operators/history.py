@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.functions.columns import all_present, any_differs, moment, row_hash
+from sedimenta.functions.columns import all_present, any_differs, any_missing, moment, row_hash
 
 HISTORY_COLUMNS = ("_hash_key", "_is_current", "_valid_from", "_valid_to")
 
@@ -99,47 +99,53 @@ def scd2_apply(
     """Next state of a history table.
 
     Closed versions pass through without a shuffle.  Current versions meet the
-    source in one full outer join, so each side is shuffled once; each joined
-    pair then becomes one or two output rows.  Both sides hold a key once;
-    rows with a NULL key match nothing and bypass the join, so no partition of
-    it can be hot.
+    source in one full outer join, so each side is shuffled once, data columns
+    only; each joined pair then becomes one or two output rows.  Both sides hold
+    a key once, and rows with a NULL key match nothing and bypass the join, so
+    no partition of it can be hot.
     """
     if target is None:
         return scd2_initial(source, tracked, as_of)
     keys = list(keys)
-    since = _stamp(target, as_of)
-    end_type = target.schema["_valid_to"].dataType
-    incoming = _opened(source, tracked, since).withColumn("_valid_to", F.lit(None).cast(end_type))
-    columns = [*target.columns, *[c for c in incoming.columns if c not in target.columns]]
-    types = {f.name: f.dataType for f in [*incoming.schema.fields, *target.schema.fields]}
-
-    keyed = all_present(keys)
-    joinable = F.coalesce(F.col("_is_current"), F.lit(False)) & keyed
-    live = target.filter(joinable).withColumn("_seen", F.lit(True)).alias("t")
-    arriving = incoming.filter(keyed).withColumn("_seen", F.lit(True)).alias("s")
+    stamps = {
+        "_is_current": F.lit(True),
+        "_valid_from": _stamp(target, as_of),
+        "_valid_to": F.lit(None),
+    }
+    types = {f.name: f.dataType for f in [*source.schema.fields, *target.schema.fields]}
+    columns = [*target.columns, *[c for c in source.columns if c not in target.columns]]
+
+    def version(side: str | None, have: Sequence[str], given: dict[str, Column]) -> list[Column]:
+        """All output columns, taken from one side of the join (or the frame itself)."""
+        prefix = f"{side}." if side else ""
+        return [
+            (given[c] if c in given else F.col(f"{prefix}{c}") if c in have else F.lit(None))
+            .cast(types[c])
+            .alias(c)
+            for c in columns
+        ]
+
+    live = target.filter(F.col("_is_current") & all_present(keys)).alias("t")
+    arriving = source.filter(all_present(keys)).alias("s")
     on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-
-    def row(side: str, have: Sequence[str], replace: dict[str, Column] | None = None) -> Column:
-        replace = replace or {}
-        return F.struct(
-            *[
-                (replace[c] if c in replace else F.col(f"{side}.{c}") if c in have else F.lit(None))
-                .cast(types[c])
-                .alias(c)
-                for c in columns
-            ]
-        )
-
-    kept = row("t", target.columns)
-    closed = row("t", target.columns, {"_is_current": F.lit(False), "_valid_to": since})
-    opened = row("s", incoming.columns)
+    kept = F.struct(*version("t", target.columns, {}))
+    closed = F.struct(
+        *version("t", target.columns, {"_is_current": F.lit(False), "_valid_to": stamps["_valid_from"]})
+    )
+    opened = F.struct(
+        *version("s", source.columns, {**stamps, "_hash_key": row_hash(source, tracked, "s")})
+    )
+    # Keys are never NULL here, so a NULL key tells that a side is absent.
     versions = (
-        F.when(F.col("t._seen").isNull(), F.array(opened))
-        .when(F.col("s._seen").isNull(), F.array(kept))
+        F.when(F.col(f"t.{keys[0]}").isNull(), F.array(opened))
+        .when(F.col(f"s.{keys[0]}").isNull(), F.array(kept))
         .when(any_differs("t", "s", tracked), F.array(closed, opened))
         .otherwise(F.array(kept))
     )
     joined = live.join(arriving, on, "full").select(F.inline(versions))
-    return joined.unionByName(target.filter(~joinable), allowMissingColumns=True).unionByName(
-        incoming.filter(~keyed), allowMissingColumns=True
-    )
+
+    current = F.col("_is_current")
+    passed = target.filter(~current | current.isNull() | any_missing(keys))
+    keyless = source.filter(any_missing(keys))
+    added = keyless.select(*version(None, source.columns, {**stamps, "_hash_key": row_hash(source, tracked)}))
+    return joined.unionByName(passed, allowMissingColumns=True).unionByName(added)

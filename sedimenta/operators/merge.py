@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.functions.columns import all_present
+from sedimenta.functions.columns import all_present, any_missing
 
 
 def merge_rows(
@@ -59,10 +59,10 @@ def upsert_keeping(
         return source
     keys, columns = list(keys), target.columns
     extra = [c for c in source.columns if c not in columns]
-    keyed = all_present(keys)
-    old = target.filter(keyed).withColumn("_seen", F.lit(True)).alias("t")
-    new = source.filter(keyed).withColumn("_seen", F.lit(True)).alias("s")
+    old, new = target.filter(all_present(keys)).alias("t"), source.filter(all_present(keys)).alias("s")
     on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+    # Keys are never NULL here, so a NULL key tells that a side is absent.
+    in_target, in_source = F.col(f"t.{keys[0]}").isNotNull(), F.col(f"s.{keys[0]}").isNotNull()
 
     def pick(name: str) -> Column:
         if name not in columns:
@@ -70,12 +70,12 @@ def upsert_keeping(
         if name not in source.columns:
             return F.col(f"t.{name}")
         if name in keep:
-            return F.when(F.col("t._seen"), F.col(f"t.{name}")).otherwise(F.col(f"s.{name}")).alias(name)
-        return F.when(F.col("s._seen"), F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).alias(name)
+            return F.when(in_target, F.col(f"t.{name}")).otherwise(F.col(f"s.{name}")).alias(name)
+        return F.when(in_source, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).alias(name)
 
     merged = old.join(new, on, "full").select(*[pick(c) for c in [*columns, *extra]])
-    return merged.unionByName(target.filter(~keyed), allowMissingColumns=True).unionByName(
-        source.filter(~keyed), allowMissingColumns=True
+    return merged.unionByName(target.filter(any_missing(keys)), allowMissingColumns=True).unionByName(
+        source.filter(any_missing(keys)), allowMissingColumns=True
     )
 
 
