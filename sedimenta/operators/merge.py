@@ -40,6 +40,32 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) ->
     return merge_rows(target, source, keys)
 
 
+def touched_partitions(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], partition: str
+) -> DataFrame:
+    """Partition values an upsert changes: those it writes to and those its rows leave.
+
+    Of the target only the key and partition columns are read.
+    """
+    keys = list(keys)
+    left = target.select(*keys, partition).join(source.select(*keys), keys, "left_semi").select(partition)
+    return source.select(partition).unionByName(left).distinct()
+
+
+def upsert_touched(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], partition: str, touched: Sequence
+) -> DataFrame:
+    """Next state of the touched partitions only (an emptied one has no rows).
+
+    ``touched`` holds the collected values of :func:`touched_partitions`, at most
+    one per partition folder.  As constants they prune the target's folders
+    before the job starts.  The partition column must not be NULL.
+    """
+    if any(value is None for value in touched):
+        raise ValueError(f"rows without a {partition} have no partition to be written to")
+    return upsert(target.filter(F.col(partition).isin(*touched)), source, keys)
+
+
 def upsert_keeping(
     target: DataFrame | None,
     source: DataFrame,

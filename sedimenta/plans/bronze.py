@@ -60,14 +60,16 @@ def run_incremental_load(
     run_id: str,
     as_of: Column | dt.datetime | str,
     last: Any = None,
-    cluster_by: Sequence[str] | None = None,
+    cluster_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Stage the new change rows, then write the next version clustered by key.
+    """Stage the new change rows, then write the next version.
 
     Staging comes first, so the merge (which uses the batch twice) reads files
-    and the change feed is queried once.
+    and the change feed is queried once.  ``cluster_by`` (usually the keys) adds
+    a range shuffle of the whole table; on large tables do it now and then
+    rather than in every load.
     """
     staged = write_staging(changes_after(changes, last), root, table, "incremental", run_id)
     batch = read_path(target.sparkSession, staged, changes.schema)
     state = apply_changes(target, batch, keys, run_id, as_of)
-    return write_snapshot(state, f"{root}/{table}", version, cluster_by=keys if cluster_by is None else cluster_by)
+    return write_snapshot(state, f"{root}/{table}", version, cluster_by=cluster_by)

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from sedimenta.functions.columns import with_audit
-from sedimenta.operators.merge import replace_where
+from sedimenta.operators.merge import replace_where, touched_partitions, upsert_touched
 from sedimenta.sinks.layout import by_partition, clustered
-from sedimenta.sources.tables import read_snapshot, snapshot_path
+from sedimenta.sources.tables import read_path, read_snapshot, snapshot_path
 
 
 def write_staging(df: DataFrame, root: str, table: str, mode: str, run_id: str) -> str:
@@ -94,3 +94,53 @@ def register_table(
 def publish(spark: SparkSession, name: str, root: str, version: int) -> None:
     """Point the readers of ``name`` at one version (a catalog view, replaced in one step)."""
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{snapshot_path(root, version)}`")
+
+
+def upsert_into_partitions(
+    table: str, source: DataFrame, keys: Sequence[str], partition: str, root: str, version: int
+) -> list[int]:
+    """Upsert into a registered table, rewriting only the partitions it touches.
+
+    The touched partitions are written to a new version folder; then the table's
+    entries for them are moved there, and those of emptied partitions dropped.
+    The rest of a large table is neither rewritten nor (but for its keys) read.
+    The partition column holds whole numbers, as date and month keys are.
+    Returns the touched partition values.
+    """
+    spark = source.sparkSession
+    target = spark.table(table)
+    # One value per touched partition: the catalog entries are driver work anyway.
+    touched = [row[0] for row in touched_partitions(target, source, keys, partition).collect()]
+    folder = snapshot_path(root, version)
+    state = upsert_touched(target, source.select(*target.columns), keys, partition, touched)
+    by_partition(state, [partition]).write.mode("errorifexists").partitionBy(partition).parquet(folder)
+
+    written = read_path(spark, folder, target.schema).select(partition).distinct()
+    kept = {row[0] for row in written.collect()}
+    for value in touched:
+        spec = f"{partition} = {value}"
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        if value in kept:
+            place = f"{folder}/{partition}={value}"
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{place}'")
+    spark.catalog.refreshTable(table)
+    return touched
+
+
+def write_bucketed(
+    df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int
+) -> DataFrame:
+    """Store a table hash-bucketed by key: merges by that key then do not shuffle it.
+
+    ``df`` should come key-partitioned into ``buckets`` parts where it is not
+    already (see :func:`sedimenta.operators.merge.merge_rows`), so that a task
+    writes one bucket.
+    """
+    (
+        df.write.bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .option("path", path)
+        .mode("errorifexists")
+        .saveAsTable(table)
+    )
+    return df.sparkSession.table(table)

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from sedimenta.config import ERROR, NULL_CHECK, RANGE_CHECK, Rule, TableConfig
+from sedimenta.operators.merge import upsert, upsert_touched
 from sedimenta.plans.bronze import run_incremental_load, run_initial_load
 from sedimenta.plans.schemas import DIM_PRODUCT
 from sedimenta.plans.silver import run_reference_audit, run_silver, silver_transform
@@ -15,6 +16,8 @@ from sedimenta.sinks.tables import (
     create_database,
     publish,
     register_table,
+    upsert_into_partitions,
+    write_bucketed,
     write_quarantine,
     write_replacing,
     write_snapshot,
@@ -179,3 +182,49 @@ def test_silver_load_end_to_end(spark, tmp_path):
         run_silver(twice, state, CONFIG, RULES, root, 3, "r3", DAY, dlq)
     with pytest.raises(PySparkException, match="breaks rules: N"):
         run_silver(first, state, CONFIG, RULES, root, 4, "r4", DAY, dlq, on_error="fail")
+
+
+def test_upsert_into_partitions(spark, tmp_path):
+    root = str(tmp_path / "facts")
+    create_database(spark, "sales", str(tmp_path / "sales"))
+    columns = "order_number string, n int, d int"
+    rows = [("A", 1, 20240101), ("B", 2, 20240102), ("C", 3, 20240103), ("D", 4, 20240103), ("E", 5, 20240104)]
+    write_snapshot(spark.createDataFrame(rows, columns), root, 1, ["d"])
+    register_table(spark, "sales.orders", spark.createDataFrame([], columns).schema, snapshot_path(root, 1), ["d"])
+    # B moves away and leaves its day empty, C changes, F opens a new day.
+    batch = spark.createDataFrame([("B", 20, 20240104), ("C", 30, 20240103), ("F", 6, 20240105)], columns)
+    touched = upsert_into_partitions("sales.orders", batch, ["order_number"], "d", root, 2)
+    assert sorted(touched) == [20240102, 20240103, 20240104, 20240105]
+    expected = [("A", 1, 20240101), ("B", 20, 20240104), ("C", 30, 20240103), ("D", 4, 20240103), ("E", 5, 20240104), ("F", 6, 20240105)]
+    assert plain(spark.table("sales.orders")) == expected
+    assert not glob.glob(f"{snapshot_path(root, 2)}/d=20240101*")
+    target = spark.table("sales.orders")
+    plan = upsert_touched(target, batch, ["order_number"], "d", [20240103])._jdf.queryExecution().executedPlan().toString()
+    assert "(d#" in plan[plan.index("PartitionFilters") :][:60]
+    with pytest.raises(ValueError, match="no partition"):
+        upsert_touched(target, batch, ["order_number"], "d", [None])
+    # The same batch again changes nothing; the table now reads from several version folders.
+    upsert_into_partitions("sales.orders", batch, ["order_number"], "d", root, 3)
+    assert plain(spark.table("sales.orders")) == expected
+    assert sorted(r[0] for r in spark.sql("SHOW PARTITIONS sales.orders").collect()) == [
+        "d=20240101", "d=20240103", "d=20240104", "d=20240105",
+    ]
+
+
+def test_bucketed_target_is_not_shuffled(spark, tmp_path):
+    create_database(spark, "buckets", str(tmp_path / "db"))
+    rows = spark.range(0, 20000, 1, 4).selectExpr("id AS k", "'old' AS v")
+    target = write_bucketed(rows.repartition(8, "k"), "buckets.t1", str(tmp_path / "t1"), ["k"], 8)
+    batch = spark.range(0, 6000, 1, 4).selectExpr("id * 5 AS k", "'new' AS v").repartition(8, "k")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        state = upsert(target, batch, ["k"])
+        plan = state._jdf.queryExecution().executedPlan().toString()
+        scan = plan[: plan.index("t1")]
+        assert "SortMergeJoin" in scan and "Exchange" not in scan
+        after = write_bucketed(state, "buckets.t2", str(tmp_path / "t2"), ["k"], 8)
+        assert after.count() == 20000 + 2000 and after.filter("v = 'new'").count() == 6000
+        assert len(glob.glob(str(tmp_path / "t2" / "*.parquet"))) <= 16
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

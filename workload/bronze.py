@@ -195,7 +195,7 @@ def bronze_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = run_initial_load(frame(spark, sf_dir, "accounts"), root, "accounts", RUN_1, FIRST_LOAD, KEY)
     applied = high_water_mark(changes.filter("_change_timestamp < TIMESTAMP '2024-01-03 00:00:00'"))
     return run_incremental_load(
-        state, changes, KEY, root, "accounts", 2, RUN_2, CHANGE_LOAD, last=applied.scalar()
+        state, changes, KEY, root, "accounts", 2, RUN_2, CHANGE_LOAD, applied.scalar(), cluster_by=KEY
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.operators.changes import latest_per_key
 from sedimenta.operators.keys import greatest_key, with_surrogate_key, with_unknown_member
+from sedimenta.operators.merge import touched_partitions, upsert_touched
 from sedimenta.plans import dimensions, facts, snapshots, views
 from sedimenta.plans.star import run_star
 from sedimenta.session import fresh_path, stored
@@ -272,26 +273,40 @@ def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact_orders(spark, sf_dir)
 
 
-@query(
-    "fact_orders_upsert",
-    with_inputs(
-        _ORDER_INPUTS,
-        f"""{_FACT_ORDERS},
-            older AS (SELECT * FROM fact_orders WHERE dim_date_key < 20010101),
-            newer AS (SELECT * REPLACE (1 AS is_delivered, 'Delivered' AS order_status) FROM fact_orders
-                      WHERE dim_date_key >= 20000101)""",
-        f"""SELECT * REPLACE ({_AMOUNTS}) FROM (
-              SELECT * FROM older WHERE order_number NOT IN (SELECT order_number FROM newer)
-              UNION ALL SELECT * FROM newer)""",
-    ),
+_UPSERT = with_inputs(
+    _ORDER_INPUTS,
+    f"""{_FACT_ORDERS},
+        older AS (SELECT * FROM fact_orders WHERE dim_date_key < 20010101),
+        newer AS (SELECT * REPLACE (1 AS is_delivered, 'Delivered' AS order_status) FROM fact_orders
+                  WHERE dim_date_key >= 20000101)""",
+    f"""SELECT * REPLACE ({_AMOUNTS}) FROM (
+          SELECT * FROM older WHERE order_number NOT IN (SELECT order_number FROM newer)
+          UNION ALL SELECT * FROM newer)""",
 )
-def fact_orders_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+
+def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """An earlier order fact and a later batch that overlaps it."""
     built = _fact_orders(spark, sf_dir)
-    older = built.filter("dim_date_key < 20010101")
     newer = built.filter("dim_date_key >= 20000101").withColumns(
         {"is_delivered": F.lit(1), "order_status": F.lit("Delivered")}
     )
-    return facts.upsert_orders(older, newer)
+    return built.filter("dim_date_key < 20010101"), newer
+
+
+@query("fact_orders_upsert", _UPSERT)
+def fact_orders_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return facts.upsert_orders(*_two_loads(spark, sf_dir))
+
+
+@query("fact_orders_partition_upsert", _UPSERT)
+def fact_orders_partition_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same upsert computed for the touched days only, next to the days left alone."""
+    older, newer = _two_loads(spark, sf_dir)
+    keys, partition = ["order_number"], "dim_date_key"
+    touched = [row[0] for row in touched_partitions(older, newer, keys, partition).collect()]
+    untouched = older.filter(~F.col(partition).isin(*touched))
+    return untouched.unionByName(upsert_touched(older, newer, keys, partition, touched))
 
 
 _FACT_LINES = f"""
