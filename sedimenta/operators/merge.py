@@ -20,8 +20,10 @@ def merge_rows(
     keep the target's value on matched rows; columns only the source has appear
     as NULL on the rest.
 
-    ``left_anti`` keeps the target unsplit from NULL keys (they match nothing)
-    and lets adaptive execution split its hot partitions.
+    Rows of the target with a NULL key match nothing and bypass the join.  The
+    rest hold a key once, so no partition of the join can be hot.  The target is
+    read for both parts: give a stored table, where the second read skips every
+    row group without NULL keys.
     """
     keys = list(keys)
     kept_columns = [c for c in target.columns if c not in written.columns]
@@ -29,8 +31,9 @@ def merge_rows(
         written = written.join(target.select(*keys, *kept_columns).dropna(subset=keys), keys, "left")
     if touched is None:
         touched = written.select(*keys)
-    kept = target.join(touched, keys, "left_anti").select(*target.columns)
-    return kept.unionByName(written, allowMissingColumns=True)
+    kept = target.filter(all_present(keys)).join(touched, keys, "left_anti").select(*target.columns)
+    passed = target.filter(any_missing(keys))
+    return kept.unionByName(passed).unionByName(written, allowMissingColumns=True)
 
 
 def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType
 
 from sedimenta.config import ERROR, REF_INTEGRITY, WARNING, Rule, active
 from sedimenta.functions.columns import all_present
@@ -41,12 +42,19 @@ def with_parent_flag(
 ) -> DataFrame:
     """Mark the rows whose ``column`` occurs in the parent.  NULL does not occur.
 
-    The parent is reduced to its distinct keys first, so rows never multiply;
-    the left join lets adaptive execution split a hot child key.
+    The parent is reduced to its distinct keys first, so rows never multiply.
     """
     known = parent.select(F.col(parent_column).alias("_key")).dropna().distinct()
-    joined = df.join(known, df[column] == F.col("_key"), "left")
-    return joined.withColumn(flag, F.col("_key").isNotNull()).drop("_key")
+    match = df[column] == F.col("_key")
+    if df.schema[column].dataType == known.schema["_key"].dataType and not isinstance(
+        df.schema[column].dataType, FractionalType
+    ):
+        # Adaptive execution splits a hot child key only where both join inputs
+        # come straight from a shuffle.  The distinct keys would not: they are
+        # already placed by key.  A second, implied condition makes Spark place
+        # them again (keys only), which leaves the child's partitions splittable.
+        match = match & (F.xxhash64(df[column]) == F.xxhash64(F.col("_key")))
+    return df.join(known, match, "left").withColumn(flag, F.col("_key").isNotNull()).drop("_key")
 
 
 def _with_parents(df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFrame]) -> DataFrame:

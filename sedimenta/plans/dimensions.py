@@ -174,7 +174,7 @@ def dim_customer_apply(
         DIM_CUSTOMER,
     )
 
-    closing = opened.filter("_version > 1").select(F.col("customer_id").alias("_closing")).distinct()
+    closing = opened.filter("_version > 1").select(F.col("customer_id").alias("_closing"))
     is_live = F.coalesce(F.col("_is_current"), F.lit(False))
     closed = F.col("_closing").isNotNull()
     stamp = moment(as_of, target.schema["_valid_to"].dataType)

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from sedimenta.operators.changes import apply_changes, latest_per_key
 from sedimenta.operators.history import scd2_apply, scd2_initial
 from sedimenta.operators.keys import lookup_key, with_surrogate_key
-from sedimenta.operators.merge import upsert
+from sedimenta.operators.merge import upsert, upsert_keeping
 from sedimenta.operators.quality import orphan_rows, table_rules, with_parent_flag
 from sedimenta.plans.bronze import initial_load
+from sedimenta.plans.facts import fact_orders
 from sedimenta.plans.snapshots import customer_monthly_base
 from sedimenta.plans.views import v_monthly_sales_trend, v_product_performance
 
@@ -74,21 +75,30 @@ def test_lookup_splits_a_hot_key(spark, facts, dimension):
         assert df.filter("customer_id IS NULL AND sk <> -1").count() == 0
 
 
-def test_reference_checks_split_a_hot_key(spark, facts, dimension):
+def test_reference_checks_split_a_hot_key(spark, facts, dimension, tmp_path):
+    # From files and with repeated keys, so that the distinct step is a real one.
+    dimension.unionByName(dimension).write.parquet(str(tmp_path / "parents"))
+    parents = spark.read.parquet(str(tmp_path / "parents"))
     with small_thresholds(spark):
-        flagged = with_parent_flag(facts, "customer_id", dimension, "customer_id", "known")
-        assert "skew=true" in final_plan(flagged)
-        orphans = orphan_rows(facts, "customer_id", dimension, "customer_id", "R")
+        flagged = with_parent_flag(facts, "customer_id", parents, "customer_id", "known")
+        plan = final_plan(flagged)
+        assert "skew=true" in plan and "HashAggregate" in plan
+        assert flagged.count() == ROWS
+        orphans = orphan_rows(facts, "customer_id", parents, "customer_id", "R")
         assert "skew=true" in final_plan(orphans)
         assert orphans.count() == flagged.filter("NOT known").count()
+        narrower = facts.withColumn("customer_id", F.col("customer_id").cast("int"))
+        same = with_parent_flag(narrower, "customer_id", parents, "customer_id", "known")
+        assert same.filter("known").count() == flagged.filter("known").count()
 
 
-def test_merge_splits_a_hot_null_key(spark, facts):
-    with small_thresholds(spark):
-        target = facts.selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id END AS id", "payload")
-        written = spark.range(0, 30000, 1, 4).selectExpr("id", "'new' AS payload")
-        df = upsert(target, written, ["id"])
-        assert "skew=true" in final_plan(df)
+def test_merges_keep_null_keys_out_of_the_join(spark, facts, tmp_path):
+    facts.selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id END AS id", "payload").write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    written = spark.range(0, 30000, 1, 4).selectExpr("id", "'new' AS payload")
+    for df in (upsert(target, written, ["id"]), upsert_keeping(target, written, ["id"], [], {})):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PushedFilters: [IsNotNull(id)]" in plan and "PushedFilters: [IsNull(id)]" in plan
         assert df.filter("payload = 'new'").count() == 30000
         assert df.filter("id IS NULL").count() == ROWS // 3
 
@@ -181,3 +191,28 @@ def test_product_view_filters_the_fact_scan(spark, tmp_path):
     plan = view._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*dim_date_key#\d+ >= 20240121", plan)
     assert view.first()["units_sold"] == 1000 - sum(1 for i in range(1000) if i % 28 < 20)
+
+
+def test_order_facts_split_hot_customers_and_addresses(spark, tmp_path):
+    spark.range(0, ROWS, 1, 12).selectExpr(
+        "'ORD-' || id AS order_number",
+        "CASE WHEN id % 3 = 0 THEN 7L ELSE pmod(xxhash64(id), 5000) END AS customer_id",
+        "CASE WHEN id % 3 = 1 THEN NULL ELSE pmod(xxhash64(id, 1), 5000) END AS shipping_address_id",
+        "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS order_date", "'Shipped' AS order_status", "'card' AS payment_method",
+        *[f"CAST(id AS DOUBLE) AS {c}_amount" for c in ("total", "subtotal", "discount", "tax", "shipping")],
+    ).write.parquet(str(tmp_path / "orders"))
+    spark.range(0, 4000, 1, 4).selectExpr("id AS customer_id", "id + 1 AS dim_customer_key", "true AS _is_current").write.parquet(
+        str(tmp_path / "customers")
+    )
+    spark.range(0, 4000, 1, 4).selectExpr("id AS address_id", "id + 1 AS dim_location_key").write.parquet(
+        str(tmp_path / "locations")
+    )
+    orders, customers, locations = (
+        spark.read.parquet(str(tmp_path / n)) for n in ("orders", "customers", "locations")
+    )
+    with small_thresholds(spark), settings(spark, spark__sql__files__maxPartitionBytes="400k"):
+        df = fact_orders(orders, customers, locations, "r", "2024-02-01 00:00:00")
+        assert final_plan(df).split("== Initial Plan ==")[0].count("skew=true") == 2
+        assert df.count() == ROWS
+        assert df.filter("dim_customer_key = 8").count() >= ROWS // 3
+        assert df.filter("dim_location_key = -1").count() >= ROWS // 3
