@@ -95,6 +95,7 @@ def scd2_apply(
     keys: Sequence[str],
     tracked: Sequence[str],
     as_of: Column | dt.datetime | str,
+    small_source: bool = False,
 ) -> DataFrame:
     """Next state of a history table.
 
@@ -103,6 +104,11 @@ def scd2_apply(
     only; each joined pair then becomes one or two output rows.  Both sides hold
     a key once, and rows with a NULL key match nothing and bypass the join, so
     no partition of it can be hot.
+
+    ``small_source`` suits a stored batch whose files are below Spark's broadcast
+    threshold: left and semi joins take the place of the full outer one, so the target is read a second time
+    (keys only) but not shuffled.  The result is the same either way, and so is
+    it when the batch turns out too large to broadcast.
     """
     if target is None:
         return scd2_initial(source, tracked, as_of)
@@ -136,13 +142,20 @@ def scd2_apply(
         *version("s", source.columns, {**stamps, "_hash_key": row_hash(source, tracked, "s")})
     )
     # Keys are never NULL here, so a NULL key tells that a side is absent.
-    versions = (
-        F.when(F.col(f"t.{keys[0]}").isNull(), F.array(opened))
-        .when(F.col(f"s.{keys[0]}").isNull(), F.array(kept))
+    met = (
+        F.when(F.col(f"s.{keys[0]}").isNull(), F.array(kept))
         .when(any_differs("t", "s", tracked), F.array(closed, opened))
         .otherwise(F.array(kept))
     )
-    joined = live.join(arriving, on, "full").select(F.inline(versions))
+    if small_source:
+        seen = target.filter(F.col("_is_current")).select(*keys).join(source.select(*keys), keys, "left_semi")
+        fresh = arriving.join(seen, keys, "left_anti").alias("s").select(opened.alias("row")).select("row.*")
+        joined = live.join(arriving, on, "left").select(F.inline(met)).unionByName(fresh)
+    else:
+        absent = F.col(f"t.{keys[0]}").isNull()
+        joined = live.join(arriving, on, "full").select(
+            F.inline(F.when(absent, F.array(opened)).otherwise(met))
+        )
 
     current = F.col("_is_current")
     passed = target.filter(~current | current.isNull() | any_missing(keys))

@@ -41,10 +41,11 @@ def _next_state(
     config: TableConfig,
     run_id: str,
     as_of: Column | dt.datetime | str,
+    small_source: bool = False,
 ) -> DataFrame:
     loaded = with_audit(valid, run_id, {"_load_timestamp": as_of})
     if config.scd_type == 2:
-        return scd2_apply(target, loaded, config.keys, config.tracked, as_of)
+        return scd2_apply(target, loaded, config.keys, config.tracked, as_of, small_source)
     return upsert(target, loaded, config.keys)
 
 
@@ -87,12 +88,14 @@ def run_silver(
     quarantine_root: str,
     parents: Mapping[str, DataFrame] | None = None,
     on_error: str = "reject",
+    small_source: bool = False,
 ) -> DataFrame:
     """One load end to end; returns its metrics row.
 
     The source is cleaned and tagged once and staged, split by outcome.  The
     merge, the quarantine and the metrics all read those files, so none of them
-    repeats the source scan, the rules or the parent joins.
+    repeats the source scan, the rules or the parent joins.  ``small_source`` is
+    passed on to the history merge.
     """
     spark = source.sparkSession
     cleaned = clean_strings(source)
@@ -106,7 +109,7 @@ def run_silver(
     refused = tagged.filter("NOT _accepted").select(*cleaned.columns, "_failed_rules")
 
     require_unique(accepted, config.keys)
-    state = _next_state(accepted, target, config, run_id, as_of)
+    state = _next_state(accepted, target, config, run_id, as_of, small_source)
     write_snapshot(state, f"{root}/{config.name}", version, config.partition_by, config.cluster_by)
     write_quarantine(refused, quarantine_root, "silver", config.name, run_id, as_of)
     return load_metrics(tagged, run_id).withColumn("table_name", F.lit(config.name))

@@ -63,6 +63,8 @@ def test_apply_equals_fold(spark, seed):
         before, state = state, scd2_apply(state, source, KEYS, TRACKED, now)
         expected = fold(expected, rows, now)
         assert shown(state) == sorted(expected, key=repr)
+        small = scd2_apply(before, source, KEYS, TRACKED, now, small_source=True)
+        assert small.columns == state.columns and shown(small) == shown(state)
 
         # The separate operators describe the same step.
         keyed = source.dropna(subset=KEYS)

@@ -361,6 +361,12 @@ def history_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2_apply(_history_2(spark, sf_dir), _profile(spark, sf_dir, "profile_3"), KEY, TRACKED, THIRD_LOAD)
 
 
+@query("scd2_apply_small_source", with_inputs(_PROFILES, _HISTORY, apply_sql("h2", "p3", THIRD_LOAD)))
+def history_apply_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state, source = _history_2(spark, sf_dir), _profile(spark, sf_dir, "profile_3")
+    return scd2_apply(state, source, KEY, TRACKED, THIRD_LOAD, small_source=True)
+
+
 @query("scd2_current", with_inputs(_PROFILES, _HISTORY, "SELECT * FROM h2 WHERE _is_current"))
 def history_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_rows(_history_2(spark, sf_dir))
