@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sedimenta.config import ERROR, FORMAT_CHECK, NULL_CHECK, RANGE_CHECK, REF_INTEGRITY, WARNING, Rule, TableConfig
 from sedimenta.functions.columns import row_hash, with_audit
