@@ -5,15 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sedimenta.llm.mixing import mixed_rows
+from sedimenta.llm.packing import pack_documents
+from sedimenta.llm.queries import tokenizer_path
+from sedimenta.llm.secrets import without_secrets
 from sedimenta.session import stored
 
 
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row stays; secrets in its text are replaced by a mark."""
+    return without_secrets(docs)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows repeated or left out so that sources reach their target weights."""
     return mixed_rows(docs)
 
 
-STAGES = [("mixing sources", mixing)]
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences of 2048 tokens."""
+    return pack_documents(docs, tokenizer_path())
+
+
+STAGES = [("secret scans", secret_scans), ("mixing sources", mixing), ("best-fit packing", packing)]
 ORACLE_SQL = None
 
 

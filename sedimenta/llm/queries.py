@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.chat import chat_digest, chat_examples
 from sedimenta.llm.mixing import mix_sources
+from sedimenta.llm.packing import pack_documents
+from sedimenta.llm.secrets import joined_spans, with_secret_spans
 from sedimenta.llm.topk import exact_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +21,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def _query(sql: str | None = None):
     def register(run):
         QUERIES[run.__name__] = run
@@ -123,3 +131,24 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@_query()
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_secret_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def of(*kinds: str):
+        return F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+
+    base = ("assign", "access", "hex")
+    return found.select(
+        "doc_id",
+        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in base],
+        F.sha2(joined_spans(of(*base)), 256).alias("base_sha256"),
+        joined_spans(F.col("secrets")).alias("spans"),
+    )
+
+
+@_query()
+def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
