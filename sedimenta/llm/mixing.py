@@ -53,9 +53,13 @@ def mix_sources(
     share: float = 1.5,
     most: float = 2.0,
     seed: str = "mix",
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``size``, ``source_size``, ``target`` and ``copies`` to every row of ``docs``.
 
+    ``keep`` names the columns that come along; all if not given.  Without the text
+    far less is moved.
+
     Within a source, documents are ordered by size, then by a hash.  Each expects
     ``target / source_size`` copies; these are prefix-summed, one random offset per
     source is added, and a document is emitted once per integer boundary its
@@ -77,7 +81,7 @@ def mix_sources(
     clash = sorted({c.lower() for c in docs.columns} & set(own))
     if clash:
         raise ValueError(f"columns this operator adds are there already: {clash}")
-    names = list(docs.columns)
+    names = list(docs.columns if keep is None else keep)
     # A key without NULL, so that joins and partitions treat NULL as one source.
     key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
     sized = docs.withColumns(
@@ -88,7 +92,7 @@ def mix_sources(
             "_hash": F.md5(F.col("doc_id").cast("string")),
             "_tie": F.xxhash64("text"),
         }
-    )
+    ).select(*names, "size", "_k", "_source", "_hash", "_tie")
     order = ["_k", "size", "_hash", "_tie"]
     placed = stored(
         sized.repartitionByRange(*order)

@@ -12,6 +12,7 @@ from sedimenta.llm.mixing import mix_sources
 from sedimenta.llm.packing import pack_documents
 from sedimenta.llm.secrets import joined_spans, with_secret_spans
 from sedimenta.llm.topk import exact_top_k
+from sedimenta.llm.toxicity import ToxicityModel, fit_toxicity, toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +28,20 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def held_out():
+    """Whether a row's labels must not be learned from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(True))
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> ToxicityModel:
+    labels = _table(spark, sf_dir, "labels").filter(~held_out())
+    return fit_toxicity(docs.filter(~held_out()), labels)
+
+
+#: Least score that counts as toxic.
+TOXIC = 0.3
+
+
 def _query(sql: str | None = None):
     def register(run):
         QUERIES[run.__name__] = run
@@ -75,7 +90,7 @@ def _query(sql: str | None = None):
 )
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    mixed = mix_sources(docs)
+    mixed = mix_sources(docs, keep=["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
@@ -152,3 +167,12 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
+@_query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity_scores(docs, toxicity_model(spark, docs, sf_dir))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted")
+    )
