@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm.chat import chat_digest, chat_examples
+from sedimenta.llm.language import fit_language, language_predictions
 from sedimenta.llm.mixing import mix_sources
 from sedimenta.llm.packing import pack_documents
 from sedimenta.llm.secrets import joined_spans, with_secret_spans
@@ -176,3 +177,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted")
     )
+
+
+@_query()
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = fit_language(docs.filter(~held_out()))
+    named = language_predictions(docs.select("doc_id", "text"), model)
+    return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
