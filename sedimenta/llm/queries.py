@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sedimenta.llm.chat import chat_digest, chat_examples
 from sedimenta.llm.language import fit_language, language_predictions
 from sedimenta.llm.mixing import mix_sources
+from sedimenta.llm.neighbours import nearest_neighbours
 from sedimenta.llm.packing import pack_documents
 from sedimenta.llm.secrets import joined_spans, with_secret_spans
 from sedimenta.llm.topk import exact_top_k
@@ -185,3 +186,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_language(docs.filter(~held_out()))
     named = language_predictions(docs.select("doc_id", "text"), model)
     return named.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@_query()
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
