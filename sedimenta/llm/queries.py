@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm.chat import chat_digest, chat_examples
+from sedimenta.llm.jaccard import similarity_classes
 from sedimenta.llm.language import fit_language, language_predictions
 from sedimenta.llm.mixing import mix_sources
 from sedimenta.llm.neighbours import nearest_neighbours
@@ -191,3 +192,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@_query()
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
