@@ -14,6 +14,7 @@ from sedimenta.llm.mixing import mix_sources
 from sedimenta.llm.neighbours import nearest_neighbours
 from sedimenta.llm.packing import pack_documents
 from sedimenta.llm.secrets import joined_spans, with_secret_spans
+from sedimenta.llm.substrings import repeated_spans
 from sedimenta.llm.topk import exact_top_k
 from sedimenta.llm.toxicity import ToxicityModel, fit_toxicity, toxicity_scores
 
@@ -197,3 +198,15 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query()
+def op5_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
