@@ -1,0 +1,91 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from sedimenta.llm.packing import Encoder, bin_patterns, fullest, pack_documents
+from tests.llm.helpers import documents, words
+
+PATH = str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_ids_are_those_of_the_tokenizer():
+    encoder, tokenizer = Encoder(PATH), Tokenizer.from_file(PATH)
+    texts = ["", " ", "it's 'S we'll\n\n x  y\t", "Éauouon ßkeit ñ", "日本 語", "a<|endoftext|>b", "² ½ Ⅷ \x1c\x85 x", "é́", "x" * 5000, "12345 678"]
+    pick = random.Random(5)
+    texts += ["".join(pick.choice("aé 'st\n.1Z  -") for _ in range(80)) for _ in range(300)]
+    for text in texts:
+        assert list(encoder.ids(text)) == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_fullest_is_the_best_sum():
+    pick = random.Random(1)
+    for _ in range(200):
+        available = {pick.randint(1, 30): pick.randint(1, 4) for _ in range(6)}
+        first, capacity = max(available), 60
+        chosen = fullest(first, available, capacity)
+        assert all(n <= available[k] for k, n in chosen.items()) and chosen[first] >= 1
+        sums = {first}
+        for k, n in available.items():
+            sums = {s + k * i for s in sums for i in range(n + 1 - (k == first)) if s + k * i <= capacity}
+        assert sum(k * n for k, n in chosen.items()) == max(sums)
+
+
+def test_patterns_use_every_piece_once():
+    counts = Counter(random.Random(2).choices(range(1, 200), k=5000))
+    patterns = bin_patterns(counts, 200)
+    used = Counter()
+    for pattern, times in patterns:
+        assert sum(k * n for k, n in pattern.items()) <= 200
+        for k, n in pattern.items():
+            used[k] += n * times
+    assert used == counts
+    assert sum(t for _, t in patterns) <= -(-sum(k * n for k, n in counts.items()) // 200) + 1
+
+
+def check(out, rows, longest):
+    tokenizer = Tokenizer.from_file(PATH)
+    ids = {d: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0] for d, t in rows}
+    places = defaultdict(list)
+    for r in out:
+        own = ids[r.doc_id][r.start : r.start + r.length]
+        assert zlib.crc32(np.array(own, "<u4").tobytes()) == r.ids_crc32
+        assert r.length == longest or r.piece == 0 or r.length <= longest
+        places[r.sequence_id].append((r.offset, r.length))
+    for own in places.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= longest
+    return len(places)
+
+
+def test_packed_pieces_round_trip(spark):
+    rows = [(i, " ".join(words(i, random.Random(i).randint(0, 90)))) for i in range(300)]
+    rows += [(900, None), (901, ""), (902, "long text " * 700), (903, "x " * 39)]
+    docs = documents(spark, rows).withColumnRenamed("lang", "length")
+    out = pack_documents(docs, PATH, longest=64).collect()
+    used = check(out, rows, 64)
+    total = sum(r.length for r in out)
+    assert used <= -(-total // 64) + 2
+    by_doc = defaultdict(list)
+    for r in out:
+        by_doc[r.doc_id].append((r.piece, r.start, r.length))
+    for pieces in by_doc.values():
+        pieces.sort()
+        assert [p[0] for p in pieces] == list(range(len(pieces)))
+        assert all(p[2] == 64 for p in pieces[1:])
+        assert all(a[1] + a[2] == b[1] for a, b in zip(pieces, pieces[1:], strict=False))
+
+
+def test_repeated_rows_ids_and_empty_table(spark):
+    docs = documents(spark, [(1, "same text"), (1, "same text"), (None, "no id")])
+    out = pack_documents(docs, PATH, keep_ids=True).collect()
+    assert len(out) == 3
+    assert all(np.frombuffer(r.ids, "<u4")[-1] == 0 for r in out)
+    assert len({(r.sequence_id, r.offset) for r in out}) == 3
+    assert pack_documents(docs.limit(0), PATH).count() == 0

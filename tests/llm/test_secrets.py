@@ -1,0 +1,86 @@
+import math
+import re
+from collections import Counter
+
+import pytest
+
+from sedimenta.llm import secrets
+from sedimenta.llm.secrets import redacted, secret_spans, with_secret_spans, without_secrets
+from tests.llm.helpers import documents
+
+KEY = "AKIA" + "ABCDEFGHIJKLMNOP"
+MIXED = "aB3dE9fGh2JkLm4NpQ7rS"
+
+
+def brute_base(text):
+    found = []
+    for m in re.finditer(
+        r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.A
+    ):
+        if len(m[2]) >= 6:
+            found.append((m.start(), m.end(), "assign"))
+    for kind, pattern, least in (("access", "AKIA[A-Z0-9]+", 20), ("hex", "[0-9a-f]+", 24)):
+        found += [(m.start(), m.end(), kind) for m in re.finditer(pattern, text) if m.end() - m.start() >= least]
+    return sorted(found, key=lambda x: (x[0], ("assign", "access", "hex").index(x[2])))
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "",
+        None,
+        "nothing here",
+        "password=abcde",
+        "password=abcdef",
+        "PassWord : 'abc.def-1' x",
+        "api_key='k" + "0" * 30 + "'",
+        f"x {KEY} AKIASHORT",
+        f"token={'0a' * 20} and {'0a' * 12}",
+        f"ünï secret = {MIXED}",
+        "ſecret=abcdef toKen:abcdefg",  # letters that only fold to ASCII ones don't count
+        "password=password=abcdefgh",
+        "0123456789abcdef" * 3000,
+    ],
+)
+def test_base_spans_are_those_of_the_patterns(text):
+    found = secret_spans(text)
+    base = [s for s in found if not s[2].startswith("entropy")]
+    assert base == brute_base(text or "")
+    assert found == sorted(found, key=lambda s: (s[0], secrets.KINDS.index(s[2])))
+
+
+def test_entropy_by_counts_equals_entropy_from_scratch():
+    def scratch(window):
+        return -sum(n / len(window) * math.log2(n / len(window)) for n in Counter(window).values())
+
+    text = "aaaaaaaaaabbbbbbbbbb" + MIXED + "0" * 25 + "Zz9" * 9
+    _, _, least, needed = secrets.CLASSES[1]
+    hot = [
+        i
+        for i in range(len(text) - secrets.WINDOW + 1)
+        if scratch(w := text[i : i + secrets.WINDOW]) >= least and all(set(w) & k for k in needed)
+    ]
+    covered = {p for i in hot for p in range(i, i + secrets.WINDOW)}
+    spans = secrets.entropy_spans(text, least, needed)
+    assert covered == {p for s, e in spans for p in range(s, e)}
+
+
+def test_allow_list_suppresses_and_base_spans_stay():
+    assert secret_spans(f"see {MIXED} now")[0][2] == "entropy_mixed"
+    assert secret_spans(f"see https://host/{MIXED} now") == []
+    assert secret_spans("550E8400-e29b-41d4-a716-44665544ffff") == []
+    assert secret_spans("ABCDEFGHIJklmnopqr0123456789") == []
+    kinds = [k for _, _, k in secret_spans(f"token={MIXED}")]
+    assert kinds == ["assign"]
+
+
+def test_redaction_and_columns(spark):
+    assert redacted(f"a password=abcdef123 b {KEY}.") == "a [SECRET] b [SECRET]."
+    assert redacted("token=" + "0a" * 20 + " x") == "[SECRET] x"
+    docs = documents(spark, [(1, f"k {KEY}"), (2, None), (3, ""), (1, f"k {KEY}")]).withColumnRenamed("lang", "start")
+    out = without_secrets(docs)
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in out.collect() if r.text is not None) == [(1, "k [SECRET]")] * 2 + [(3, "")]
+    spans = {r.doc_id: [tuple(s) for s in r.secrets] for r in with_secret_spans(docs).collect()}
+    assert spans == {1: [(2, 22, "access")], 2: [], 3: []}
+    assert with_secret_spans(docs.limit(0)).count() == 0

@@ -1,0 +1,95 @@
+import itertools
+
+import numpy as np
+import pytest
+
+from sedimenta.llm.toxicity import FEATURES, GRAMMAR, SYMBOLS, ToxicityModel, Transducer, _fading, _reported, fit_toxicity, toxicity_scores
+from tests.llm.helpers import documents, words
+
+MODEL = ToxicityModel({"fool": 1.0, "grub*": 1.0}, tuple(2.0 * w for w in FEATURES.values()), -2.5)
+
+
+def run(machine, text):
+    return "".join(SYMBOLS[s] for s in machine.run([SYMBOLS.index(c) for c in text]))
+
+
+def test_composition_is_one_machine_after_the_other():
+    layers = [_fading("N", 3, "n", "IT"), _reported(), _fading("P", 4, "A", "I")]
+    for text in map("".join, itertools.product("ITPNRQCo", repeat=4)):
+        step = text
+        for layer in layers:
+            step = run(layer, step)
+        assert run(GRAMMAR, text) == step
+
+
+def test_negation_report_and_target():
+    assert run(GRAMMAR, "oIo") == "oIo"
+    assert run(GRAMMAR, "PoI") == "PoA"
+    assert run(GRAMMAR, "PNI") == "PNn"
+    assert run(GRAMMAR, "NCI") == "NCI"
+    assert run(GRAMMAR, "NoooI") == "NoooI"
+    assert run(GRAMMAR, "QIQI") == "QqQI"
+    assert run(GRAMMAR, "RoIC") == "RoqC"
+    assert isinstance(GRAMMAR, Transducer)
+
+
+@pytest.mark.parametrize(
+    ("text", "name"),
+    [("You are a fool.", "A"), ("a Fool; so", "I"), ("you are not a fool", "n"), ('she said: "fool"', "q"), ("we will kill", "T"), ("GRUBBISH!", "I")],
+)
+def test_features(text, name):
+    got = dict(zip(FEATURES, MODEL.features(text), strict=True))
+    assert {k for k, v in got.items() if v} == {name}
+
+
+def test_scores_order_and_bounds():
+    score = lambda t: MODEL.score(MODEL.features(t))
+    assert 0 <= score(None) == score("") == score("a plain text") < 0.3
+    assert score("you fool") > score("a fool") > score("not a fool") > score("")
+    assert score("fool. " * 100_000) <= 1
+
+
+def corpus(n=800):
+    rows, labels = [], []
+    for i in range(n):
+        toxic = i % 8 == 0
+        text = words(i, 60)
+        if toxic:
+            for k in (7, 21, 40):
+                text[k] = ("blarg", "snarfoo", "snarfish", "snarfab")[(i // 8 + k) % 4]
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(toxic)))
+    return rows, labels
+
+
+def test_learned_grammar_on_held_out_rows(spark):
+    rows, labels = corpus()
+    docs = documents(spark, rows)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = fit_toxicity(docs.filter("doc_id % 4 < 3"), known.filter("doc_id % 5 < 4"))
+    assert "blarg" in model.insults
+    assert any(w.startswith("snarf") for w in model.insults)
+    out = {r.doc_id: r.score for r in toxicity_scores(docs, model).collect()}
+    wrong = [i for i, toxic in labels if (out[i] >= 0.3) != bool(toxic)]
+    assert len(wrong) <= len(labels) // 100
+
+
+def test_near_copies_do_not_make_insults(spark):
+    rows, labels = corpus()
+    copied = "zzcopy " + " ".join(words(999, 80))
+    rows += [(10_000 + i, copied) for i in range(200)]
+    labels += [(10_000 + i, 1) for i in range(200)]
+    model = fit_toxicity(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert "zzcopy" not in model.insults
+
+
+def test_without_labels_and_empty(spark):
+    docs = documents(spark, [(1, "kill"), (2, None), (2, None)]).withColumnRenamed("lang", "key")
+    none = spark.createDataFrame([(1, None)], "doc_id long, toxic int")
+    model = fit_toxicity(docs, none)
+    assert model.insults == {}
+    out = toxicity_scores(docs, model)
+    assert out.columns == [*docs.columns, "score"]
+    assert out.count() == 3
+    assert toxicity_scores(docs.limit(0), model).count() == 0
+    assert np.isfinite([r.score for r in out.collect()]).all()
