@@ -17,9 +17,14 @@ from sedimenta.llm.texts import mixed, shingle_sets
 from sedimenta.session import stored
 
 #: Sampled tokens per set: of each of so many hash orders, the first token.
-SAMPLED = 64
+SAMPLED = 128
 #: A node's sets are split on one sampled token, in one node of SECOND on two.
 SECOND = 4
+#: A node that keeps this share of its parent's sets is a cluster that more splits
+#: would only copy: it is a leaf, compared in blocks.
+CLUSTER = 0.7
+#: Sets per block of a large leaf.
+BLOCK = 2048
 _SEEDS = np.random.default_rng(977).integers(0, 1 << 63, SAMPLED, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ID_SEED = np.uint64(0x5851F42D4C957F2D)
 
@@ -89,23 +94,29 @@ def _children(node: Column | None, run: int | None) -> Column:
 def chosen_paths(sets: DataFrame, runs: int, depth: int, small: int) -> DataFrame:
     """Leaves: ``node``, ``sid`` and the number of sets in the node, 2 at least.
 
-    Sets start in one root per run.  A node of at most ``small`` sets is a leaf;
-    larger ones split on sampled tokens, ``depth`` times at most.  Every level is
-    one aggregation and one join, written to the shared folder.
+    Sets start in one root per run.  A node of at most ``small`` sets is a leaf, and
+    so is a cluster of similar ones; others split on sampled tokens, ``depth``
+    times at most.  Every level is one aggregation and one join, written to the shared folder.
     """
-    rooted = sets.select("sid", F.explode(F.concat(*[_children(None, r) for r in range(runs)])).alias("node"))
+    rooted = sets.select(
+        "sid",
+        F.explode(F.concat(*[_children(None, r) for r in range(runs)])).alias("node"),
+        F.lit(None).cast("long").alias("above"),
+    )
     leaves = None
     for level in range(1, depth + 1):
-        counts = rooted.groupBy("node").count().filter(F.col("count") > 1)
-        here = stored(rooted.join(counts, "node").select("node", "sid", "count"), "paths")
-        more = here.filter(F.col("count") > small)
+        counts = rooted.groupBy("node").agg(F.count(F.lit(1)).alias("count"), F.min("above").alias("above"))
+        splits = (F.col("count") > small) & (F.col("above").isNull() | (F.col("count") < F.lit(CLUSTER) * F.col("above")))
+        counts = counts.filter(F.col("count") > 1).select("node", "count", splits.alias("splits"))
+        here = stored(rooted.select("node", "sid").join(counts, "node").select("node", "sid", "count", "splits"), "paths")
+        more = here.filter("splits")
         last = level == depth or more.isEmpty()
-        found = here if last else here.filter(F.col("count") <= small)
+        found = (here if last else here.filter("NOT splits")).drop("splits")
         leaves = found if leaves is None else leaves.unionByName(found)
         if last:
             break
         rooted = more.join(sets.select("sid", "tokens"), "sid").select(
-            "sid", F.explode(_children(F.col("node"), None)).alias("node")
+            "sid", F.explode(_children(F.col("node"), None)).alias("node"), F.col("count").alias("above")
         )
     return leaves
 
@@ -237,14 +248,12 @@ def _roots(n: int, left: np.ndarray, right: np.ndarray, names: np.ndarray) -> np
         label = new
 
 
-def _buckets(leaves: DataFrame, small: int) -> DataFrame:
-    """Leaves, with those beyond ``small`` cut into blocks that meet pair by pair:
-    exact at any size, in tasks of bounded memory."""
-    blocks = F.ceil(F.col("count") / F.lit(small)).cast("int")
+def _buckets(leaves: DataFrame, block: int) -> DataFrame:
+    """Leaves, with large ones cut into blocks that meet pair by pair: exact at any
+    size, in tasks of bounded memory."""
+    blocks = F.ceil(F.col("count") / F.lit(block)).cast("int")
     own = F.pmod(F.xxhash64("sid", "leaf"), blocks).cast("int")
-    cut = leaves.withColumn("_b", F.when(F.col("count") > small, blocks).otherwise(F.lit(1))).withColumn(
-        "_own", F.when(F.col("count") > small, own).otherwise(F.lit(0))
-    )
+    cut = leaves.withColumn("_b", blocks).withColumn("_own", own)
     met = cut.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_b") - 1)))
     return met.withColumns(
         {
@@ -260,7 +269,7 @@ def _by_bucket(rows: DataFrame) -> DataFrame:
     return rows.repartition("leaf", "one", "two").sortWithinPartitions("leaf", "one", "two", "sid")
 
 
-def linked_sets(docs: DataFrame, similarity: float, recall: float, depth: int, small: int) -> tuple[DataFrame, DataFrame]:
+def linked_sets(docs: DataFrame, similarity: float, recall: float, depth: int, small: int, block: int) -> tuple[DataFrame, DataFrame]:
     """Documents with the ids of their sets (``doc_id, sid, n``) and, per set, its
     ``copies``, ``links`` to documents of other sets and component (``least``)."""
     signed = stored(
@@ -286,24 +295,26 @@ def linked_sets(docs: DataFrame, similarity: float, recall: float, depth: int, s
 
     kinds = "sid long, leaf long, n long, copies long, sketch binary, paths array<long>, one int, two int, side int"
     names = [k.split()[0] for k in kinds.split(", ")]
-    met = _by_bucket(_buckets(filled, small).select(*names)).mapInArrow(candidates, kinds)
+    met = _by_bucket(_buckets(filled, block).select(*names)).mapInArrow(candidates, kinds)
     wanted = stored(met, "candidates")
     needed = wanted.select("sid").distinct().join(sets.select("sid", "doc_id"), "sid").select("doc_id", "sid")
 
-    @F.pandas_udf("sid long, shingles binary")
-    def shingles(text: pd.Series) -> pd.DataFrame:
-        found = shingle_sets([(t or "").encode() for t in text])
-        return pd.DataFrame({"sid": set_ids(found), "shingles": [s.tobytes() for s in found]})
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                found = shingle_sets([(t or "").encode() for t in part.column(1).to_pylist()])
+                # Ids may repeat with other texts.
+                same = np.flatnonzero(set_ids(found) == part.column(0).to_numpy())
+                held = pa.array([found[i].tobytes() for i in same], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(same)), held], names=["sid", "shingles"])
 
-    # Ids may repeat with other texts, so the set is compared as well; NULL ids match.
     texts = docs.select(F.col("doc_id").alias("_d"), "text")
-    read = texts.join(needed, F.col("_d").eqNullSafe(F.col("doc_id"))).withColumn("_s", shingles("text"))
-    contents = stored(
-        read.filter(F.col("_s.sid") == F.col("sid")).select("sid", "_s.shingles").dropDuplicates(["sid"]), "contents"
-    )
+    read = texts.join(needed, F.col("_d").eqNullSafe(F.col("doc_id"))).select("sid", "text")
+    contents = stored(read.mapInArrow(shingles, "sid long, shingles binary").dropDuplicates(["sid"]), "contents")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _grouped(batches, 1024):
+        for table in _grouped(batches, 2048):
             pairs = _pairs_of(table, agree)
             sets_here = [np.frombuffer(b, np.uint64) for b in table.column("shingles").to_pylist()]
             left, right = pairs.left, pairs.right
@@ -339,7 +350,7 @@ def _kinds(docs: DataFrame) -> str:
 
 
 def similarity_classes(
-    docs: DataFrame, similarity: float = 0.8, recall: float = 0.999999, depth: int = 5, small: int = 64
+    docs: DataFrame, similarity: float = 0.8, recall: float = 0.999999, depth: int = 5, small: int = 2048, block: int = BLOCK
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``class_id`` and ``n_links``.
 
@@ -357,7 +368,7 @@ def similarity_classes(
     in several leaves counts in the first.  Leaves emit each set's count and
     the smallest linked set, never pairs; large leaves are compared in blocks.
     """
-    signed, classes = linked_sets(docs, similarity, recall, depth, small)
+    signed, classes = linked_sets(docs, similarity, recall, depth, small, block)
     ids = classes.groupBy("least").agg(F.min("doc_id").alias("class_id"))
     named = classes.join(ids, "least").select("sid", "class_id", (F.col("copies") - 1 + F.col("links")).alias("n_links"))
     joined = signed.join(named, "sid", "left")
@@ -370,7 +381,7 @@ def similarity_classes(
 
 
 def one_of_each(
-    docs: DataFrame, similarity: float = 0.8, recall: float = 0.999999, depth: int = 5, small: int = 64
+    docs: DataFrame, similarity: float = 0.8, recall: float = 0.999999, depth: int = 5, small: int = 2048, block: int = BLOCK
 ) -> DataFrame:
     """``docs`` with the document of the smallest id of each class of
     :func:`similarity_classes`.
@@ -378,7 +389,7 @@ def one_of_each(
     NULL ids come last in a class.  Documents without words all stay; rows that
     repeat an id and a text are one document.  Other columns come along.
     """
-    signed, classes = linked_sets(docs, similarity, recall, depth, small)
+    signed, classes = linked_sets(docs, similarity, recall, depth, small, block)
     order = Window.partitionBy("least").orderBy(F.col("doc_id").asc_nulls_last(), "sid")
     first = (
         signed.filter(F.col("n") > 0)

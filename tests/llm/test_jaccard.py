@@ -68,7 +68,7 @@ def test_classes_and_links_equal_brute_force(spark):
 
 def test_small_leaves_and_blocks_lose_nothing(spark):
     data = rows(60)
-    found = [tuple(r) for r in similarity_classes(documents(spark, data), depth=2, small=8).collect()]
+    found = [tuple(r) for r in similarity_classes(documents(spark, data), depth=2, small=8, block=16).collect()]
     assert sorted(found, key=key) == sorted(brute(data), key=key)
 
 
