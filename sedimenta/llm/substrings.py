@@ -24,6 +24,8 @@ PERIOD, COVER = 13, (0, 1, 3, 9)
 _SHIFT = np.array([min((c - r) % PERIOD for c in COVER) for r in range(PERIOD)])
 _POSITION_BITS = 17
 _CHUNK = 1 << 16
+#: Masks that keep the first 0 to 8 bytes of a word.
+_KEEP = np.array([((1 << 64) - 1) ^ ((1 << (64 - 8 * n)) - 1) for n in range(9)], dtype=np.uint64)
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -100,14 +102,14 @@ def _content_hash(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.n
 
 def _words(data: np.ndarray, start: np.ndarray, size: np.ndarray | int, n: int) -> np.ndarray:
     """The ``n`` big-endian 8-byte words from each start on, zero beyond ``size``."""
-    padded = np.concatenate([data, np.zeros(8 * n, np.uint8)])
+    padded = np.concatenate([data, np.zeros(8 * n + 8, np.uint8)])
+    # A word begins at every byte, so words are read where they lie.
+    word_at = np.ndarray((len(padded) - 7,), ">u8", padded, strides=(1,))
     out = np.empty((len(start), n), _U)
     for k in range(n):
-        word = np.zeros(len(start), _U)
-        for b in range(8):
-            at = 8 * k + b
-            word = (word << _U(8)) | np.where(at < size, padded[start + at], 0).astype(_U)
-        out[:, k] = word
+        used = np.clip(size - 8 * k, 0, 8)
+        keep = _KEEP[used]
+        out[:, k] = word_at[start + 8 * k].astype(_U) & keep
     return out
 
 
