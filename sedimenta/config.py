@@ -22,6 +22,12 @@ FORMAT_CHECK = "FORMAT_CHECK"
 REF_INTEGRITY = "REF_INTEGRITY"
 RULE_TYPES = (NULL_CHECK, RANGE_CHECK, FORMAT_CHECK, REF_INTEGRITY)
 
+# How a raw table is loaded.
+FULL = "FULL"
+CDC = "CDC"
+WATERMARK = "WATERMARK"
+LOAD_TYPES = (FULL, CDC, WATERMARK)
+
 _FALSE_TEXT = {"0", "false", "f", "n", "no", ""}
 
 
@@ -73,6 +79,43 @@ class TableConfig:
         )
 
 
+@dataclass(frozen=True)
+class RawConfig:
+    """How one raw table is loaded, and from where on.
+
+    ``last`` is the position (changes) or watermark value up to which rows are in;
+    ``watermark`` names the column of the latter.
+    """
+
+    name: str
+    keys: tuple[str, ...]
+    load_type: str = CDC
+    initial_load_completed: bool = False
+    last: Any = None
+    watermark: str | None = None
+    cluster_by: tuple[str, ...] = ()
+
+    def __post_init__(self) -> None:
+        if not self.keys:
+            raise ValueError(f"table {self.name!r} needs at least one key column")
+        if self.load_type not in LOAD_TYPES:
+            raise ValueError(f"table {self.name!r}: unknown load type {self.load_type!r}")
+        if self.load_type == WATERMARK and not self.watermark:
+            raise ValueError(f"table {self.name!r}: a watermark load needs its column")
+
+    @classmethod
+    def from_row(cls, row: Mapping[str, Any]) -> RawConfig:
+        """The row's column names are fixed values of the settings table."""
+        return cls(
+            name=row["table_name"],
+            keys=parse_columns(row["primary_key_columns"]),
+            load_type=row.get("load_type") or CDC,
+            initial_load_completed=_flag(row.get("initial_load_completed")),
+            last=row.get("last_sync_version"),
+            watermark=row.get("watermark_column"),
+        )
+
+
 @dataclass(frozen=True)
 class Rule:
     """One row rule.
@@ -115,11 +158,11 @@ class Rule:
             rule_id=row["rule_id"],
             rule_type=row["rule_type"],
             column_name=row.get("column_name"),
-            expression=None if parent else row["rule_expression"],
+            expression=None if row["rule_type"] == REF_INTEGRITY else row["rule_expression"],
             severity=row.get("severity") or SKIP_ROW,
             is_active=_flag(row.get("is_active", True)),
-            parent=parent,
-            parent_column=parent_column,
+            parent=parent or row.get("parent_table_name"),
+            parent_column=parent_column or row.get("parent_column_name"),
         )
 
 

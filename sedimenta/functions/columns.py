@@ -89,11 +89,17 @@ def month_key(column: Column | str) -> Column:
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Columns of ``schema`` in its order and types.  A value that does not fit becomes NULL."""
+    """Columns of ``schema`` in its order and types.  A value that does not fit stops the job."""
     have = {f.name: f.dataType for f in df.schema.fields}
+
+    def fitted(name: str, kind: DataType) -> Column:
+        value = F.col(name).try_cast(kind)
+        message = F.concat(
+            F.lit(f"{name}: no {kind.simpleString()} can hold "), F.col(name).cast("string")
+        )
+        lost = F.col(name).isNotNull() & value.isNull()
+        return F.when(lost, F.raise_error(message).cast(kind)).otherwise(value).alias(name)
+
     return df.select(
-        *[
-            F.col(f.name) if have[f.name] == f.dataType else F.col(f.name).try_cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
+        *[F.col(f.name) if have[f.name] == f.dataType else fitted(f.name, f.dataType) for f in schema.fields]
     )

@@ -1,7 +1,7 @@
 """History tables: one row per version of a key.
 
 ``_is_current`` marks the open version, ``_valid_from``/``_valid_to`` bound it.
-The source must hold each key once.  Keys the source does not mention stay as
+The source must hold each key once; one that occurs twice stops the job.  Keys the source does not mention stay as
 they are.  Everything is derived from one unchanging target, so the order in
 which parts run cannot matter.
 """
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.columns import all_present, any_differs, any_missing, moment, row_hash
+from sedimenta.operators.merge import unique_rows
 
 HISTORY_COLUMNS = ("_hash_key", "_is_current", "_valid_from", "_valid_to")
 
@@ -110,9 +111,10 @@ def scd2_apply(
     (keys only) but not shuffled.  The result is the same either way, and so is
     it when the batch turns out too large to broadcast.
     """
+    keys = list(keys)
+    source = unique_rows(source, keys)
     if target is None:
         return scd2_initial(source, tracked, as_of)
-    keys = list(keys)
     stamps = {
         "_is_current": F.lit(True),
         "_valid_from": _stamp(target, as_of),

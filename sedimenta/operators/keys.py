@@ -30,16 +30,17 @@ def with_surrogate_key(
     Gives what ``row_number()`` over the whole table gives, but on all
     executors: rows are range-partitioned and sorted, each takes its position in
     its partition, and the partition's start is added from a table with one row
-    per partition.  ``order_by`` should be a total order; it also bounds how
-    finely hot values can be split.
+    per partition.  ``order_by`` should be a total order.  A hash of the row ends
+    the range order, so a value that many rows share fills several partitions.
 
     Range bounds come from sampling, so the placed rows are written once to the
     shared folder; a lost executor re-reads them.
     """
     order_by = list(order_by)
-    ranged = df.repartitionByRange(*([partitions] if partitions else []), *order_by)
+    spread = F.xxhash64(*df.columns)
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *order_by, spread)
     placed = stored(
-        ranged.sortWithinPartitions(*order_by).withColumn("_slot", F.monotonically_increasing_id()),
+        ranged.sortWithinPartitions(*order_by, spread).withColumn("_slot", F.monotonically_increasing_id()),
         f"keys-{name}",
     )
     part = F.shiftright(F.col("_slot"), _POSITION_BITS)

@@ -4,12 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.functions.columns import all_present, any_missing
 
 
+def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` as it is; a key that occurs twice stops the job that reads it.
+
+    The rows of a key are counted where the merge needs them together anyway, so
+    no job and no shuffle is added to a join by the same keys.  Rows with a NULL key
+    match nothing, may be many, and stay out of it.
+    """
+    keys = list(keys)
+    shown = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys])
+    message = F.concat(F.lit("several source rows share one key ("), shown, F.lit("); keep one row per key first"))
+    counted = df.filter(all_present(keys)).withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    once = F.when(F.col("_rows") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return counted.filter(once).drop("_rows").unionByName(df.filter(any_missing(keys)))
+
+
 def merge_rows(
     target: DataFrame, written: DataFrame, keys: Sequence[str], touched: DataFrame | None = None
 ) -> DataFrame:
@@ -37,7 +52,11 @@ def merge_rows(
 
 
 def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Replace matched rows, add the rest, delete nothing.  No target: the source is the table."""
+    """Replace matched rows, add the rest, delete nothing.  No target: the source is the table.
+
+    A source key that occurs twice stops the job.
+    """
+    source = unique_rows(source, keys)
     if target is None:
         return source
     return merge_rows(target, source, keys)
@@ -81,9 +100,11 @@ def upsert_keeping(
     ``keep`` columns (for example a surrogate key) come from the target where
     the key exists; otherwise from the source, or from ``defaults`` if the
     source lacks them.  One full outer join, so each side is shuffled once.
-    Rows with a NULL key match nothing and stay out of the join.
+    Rows with a NULL key match nothing and stay out of the join.  A source key
+    that occurs twice stops the job.
     """
     source = source.withColumns({n: v for n, v in defaults.items() if n not in source.columns})
+    source = unique_rows(source, keys)
     if target is None:
         return source
     keys, columns = list(keys), target.columns

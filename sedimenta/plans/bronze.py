@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.functions.columns import INITIAL_LOAD, moment
+from sedimenta.config import CDC, FULL, RawConfig
+from sedimenta.functions.columns import DELETE, INITIAL_LOAD, decode_operation, moment
 from sedimenta.operators.changes import apply_changes
 from sedimenta.operators.merge import upsert
 from sedimenta.sinks.tables import write_snapshot, write_staging
@@ -17,6 +19,29 @@ from sedimenta.sources.feeds import changes_after, rows_after_watermark
 from sedimenta.sources.tables import read_path
 
 
+@dataclass(frozen=True)
+class RawLoad:
+    """What a load yields: the next state, and one row on the batch.
+
+    ``metrics`` has ``records_read``, ``records_deleted``, ``high_water_mark`` (from
+    which the next load goes on; the mark before, if nothing new came) and
+    ``_pipeline_run_id``.
+    """
+
+    state: DataFrame
+    metrics: DataFrame
+
+
+def _metrics(batch: DataFrame, position: str, last: Any, run_id: str, deleted: Column) -> DataFrame:
+    kind = batch.schema[position].dataType
+    before = last if isinstance(last, Column) else F.lit(last)
+    return batch.agg(
+        F.count(F.lit(1)).alias("records_read"),
+        F.count_if(deleted).alias("records_deleted"),
+        F.coalesce(F.max(position), before.cast(kind)).alias("high_water_mark"),
+    ).withColumn("_pipeline_run_id", F.lit(run_id))
+
+
 def initial_load(source: DataFrame, run_id: str, as_of: Column | dt.datetime | str) -> DataFrame:
     """Every source row with the load's audit columns."""
     return source.withColumns(
@@ -61,15 +86,80 @@ def run_incremental_load(
     as_of: Column | dt.datetime | str,
     last: Any = None,
     cluster_by: Sequence[str] = (),
-) -> DataFrame:
+    since: Any = None,
+    until: Any = None,
+) -> RawLoad:
     """Stage the new change rows, then write the next version.
 
-    Staging comes first, so the merge (which uses the batch twice) reads files
-    and the change feed is queried once.  ``cluster_by`` (usually the keys) adds
+    Staging comes first, so the merge (which uses the batch twice) and the metrics
+    read files and the change feed is queried once.  ``since`` and ``until`` bound
+    the changes' time.  ``cluster_by`` (usually the keys) adds
     a range shuffle of the whole table; on large tables do it now and then
     rather than in every load.
     """
-    staged = write_staging(changes_after(changes, last), root, table, "incremental", run_id)
+    fresh = changes_after(changes, last, since=since, until=until)
+    staged = write_staging(fresh, root, table, "incremental", run_id)
     batch = read_path(target.sparkSession, staged, changes.schema)
     state = apply_changes(target, batch, keys, run_id, as_of)
-    return write_snapshot(state, f"{root}/{table}", version, cluster_by=cluster_by)
+    gone = decode_operation("_cdc_operation_code") == DELETE
+    return RawLoad(
+        write_snapshot(state, f"{root}/{table}", version, cluster_by=cluster_by),
+        _metrics(batch, "_cdc_version", last, run_id, gone),
+    )
+
+
+def run_watermark_load(
+    target: DataFrame | None,
+    source: DataFrame,
+    keys: Sequence[str],
+    column: str,
+    root: str,
+    table: str,
+    version: int,
+    run_id: str,
+    last: Any = None,
+    cluster_by: Sequence[str] = (),
+) -> RawLoad:
+    """Stage the rows at or behind the watermark, then write the next version."""
+    staged = write_staging(rows_after_watermark(source, column, last), root, table, "watermark", run_id)
+    batch = read_path(source.sparkSession, staged, source.schema)
+    return RawLoad(
+        write_snapshot(upsert(target, batch, keys), f"{root}/{table}", version, cluster_by=cluster_by),
+        _metrics(batch, column, last, run_id, F.lit(False)),
+    )
+
+
+def run_raw_load(
+    config: RawConfig,
+    source: DataFrame,
+    target: DataFrame | None,
+    root: str,
+    version: int,
+    run_id: str,
+    as_of: Column | dt.datetime | str,
+) -> RawLoad:
+    """The load that a settings row asks for.
+
+    A full copy where the setting says so or no load is complete yet; else changes
+    behind the last position, or rows at or behind the last watermark.
+    """
+    full = config.load_type == FULL or (config.load_type == CDC and (target is None or not config.initial_load_completed))
+    if full:
+        loaded = initial_load(source, run_id, as_of)
+        staged = read_path(
+            source.sparkSession, write_staging(loaded, root, config.name, "initial", run_id), loaded.schema
+        )
+        metrics = staged.agg(F.count(F.lit(1)).alias("records_read")).select(
+            "records_read",
+            F.lit(0).cast("long").alias("records_deleted"),
+            F.lit(config.last).alias("high_water_mark"),
+            F.lit(run_id).alias("_pipeline_run_id"),
+        )
+        return RawLoad(write_snapshot(staged, f"{root}/{config.name}", version, cluster_by=config.cluster_by), metrics)
+    if config.load_type == CDC:
+        return run_incremental_load(
+            target, source, config.keys, root, config.name, version, run_id, as_of, config.last, config.cluster_by
+        )
+    return run_watermark_load(
+        target, source, config.keys, config.watermark, root, config.name, version, run_id, config.last, config.cluster_by
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sedimenta.functions.columns import any_differs, conform, date_key, moment, with_audit
 from sedimenta.operators.history import current_rows
 from sedimenta.operators.keys import UNKNOWN_KEY, greatest_key, with_surrogate_key, with_unknown_member
-from sedimenta.operators.merge import upsert_keeping
+from sedimenta.operators.merge import unique_rows, upsert_keeping
 from sedimenta.plans.schemas import DIM_CUSTOMER, DIM_DATE, DIM_LOCATION, DIM_PRODUCT
 
 # Placeholders the published tables carry.
@@ -45,6 +45,26 @@ UNKNOWN_CUSTOMER = {
 }
 
 
+UNKNOWN_PRODUCT = {
+    "product_id": UNKNOWN_KEY,
+    "sku": "UNKNOWN",
+    "product_name": "Unknown",
+    "brand_name": "Unknown",
+    "category_name": "Unknown",
+}
+UNKNOWN_LOCATION = {"address_id": UNKNOWN_KEY, "city": "Unknown", "state": "Unknown"}
+
+
+def with_unknown_product(dim: DataFrame) -> DataFrame:
+    """The row that lines of unknown products point at."""
+    return with_unknown_member(dim, "dim_product_key", UNKNOWN_PRODUCT)
+
+
+def with_unknown_location(dim: DataFrame) -> DataFrame:
+    """The row that orders to unknown addresses point at."""
+    return with_unknown_member(dim, "dim_location_key", UNKNOWN_LOCATION)
+
+
 def dim_date(days: DataFrame) -> DataFrame:
     """One row per day of ``days`` (column ``full_date``)."""
     day = F.col("full_date")
@@ -136,7 +156,7 @@ def dim_customer_initial(
 ) -> DataFrame:
     """First load: dense keys in customer order, plus the unknown customer."""
     rows = _customer_versions(
-        customers.select(*CUSTOMER_ATTRIBUTES), SEGMENT_FIRST_LOAD, F.lit(1), run_id, as_of
+        unique_rows(customers.select(*CUSTOMER_ATTRIBUTES), ["customer_id"]), SEGMENT_FIRST_LOAD, F.lit(1), run_id, as_of
     )
     keyed = with_surrogate_key(rows, ["customer_id"], "dim_customer_key", partitions=partitions)
     return with_unknown_member(conform(keyed, DIM_CUSTOMER), "dim_customer_key", UNKNOWN_CUSTOMER)
@@ -155,7 +175,7 @@ def dim_customer_apply(
     close is then read off that table instead of comparing everything again.
     """
     live = current_rows(target).select("customer_id", *CUSTOMER_TRACKED, "_version").alias("t")
-    incoming = customers.select(*CUSTOMER_ATTRIBUTES).alias("s")
+    incoming = unique_rows(customers.select(*CUSTOMER_ATTRIBUTES), ["customer_id"]).alias("s")
     unseen = F.col("t._version").isNull()
     opening = (
         incoming.join(live, F.col("s.customer_id") == F.col("t.customer_id"), "left")

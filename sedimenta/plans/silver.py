@@ -109,9 +109,10 @@ def run_silver(
     refused = tagged.filter("NOT _accepted").select(*cleaned.columns, "_failed_rules")
 
     require_unique(accepted, config.keys)
+    # Quarantine first: a run that fails in between is simply run again.
+    write_quarantine(refused, quarantine_root, "silver", config.name, run_id, as_of)
     state = _next_state(accepted, target, config, run_id, as_of, small_source)
     write_snapshot(state, f"{root}/{config.name}", version, config.partition_by, config.cluster_by)
-    write_quarantine(refused, quarantine_root, "silver", config.name, run_id, as_of)
     return load_metrics(tagged, run_id).withColumn("table_name", F.lit(config.name))
 
 

@@ -6,18 +6,21 @@ import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sedimenta.functions.columns import date_key
 from sedimenta.operators.merge import replace_where
 from sedimenta.plans import dimensions, facts, snapshots
 from sedimenta.plans.schemas import PARTITIONED_BY, STAR_SCHEMA
-from sedimenta.sinks.tables import create_database, publish, register_table, write_snapshot
-from sedimenta.sources.tables import date_range, read_snapshot, snapshot_path
-
-# First and last day of the date dimension, and the first day of
-# the lines that a build replaces.
-FIRST_DAY = "2020-01-01"
-LAST_DAY = "2030-12-31"
-LINES_FROM = 20200101
+from sedimenta.sinks.tables import (
+    create_database,
+    publish,
+    register_table,
+    replace_partitions,
+    upsert_into_partitions,
+    write_snapshot,
+)
+from sedimenta.sources.tables import dates_between, read_snapshot, snapshot_path
 
 
 def read_star(spark: SparkSession, root: str, name: str, version: int) -> DataFrame:
@@ -32,9 +35,10 @@ def run_star(
     version: int,
     run_id: str,
     as_of: Column | dt.datetime | str,
-    first_day: str = FIRST_DAY,
-    last_day: str = LAST_DAY,
-    lines_from: int = LINES_FROM,
+    first_day: str | None = None,
+    last_day: str | None = None,
+    lines_from: int | None = None,
+    database: str | None = None,
     partition_by: Mapping[str, tuple[str, ...]] = PARTITIONED_BY,
     cluster_by: Mapping[str, tuple[str, ...]] | None = None,
 ) -> dict[str, DataFrame]:
@@ -43,6 +47,14 @@ def run_star(
     ``silver`` holds customers, products, brands, categories, addresses,
     city_tiers, orders and order_lines.  Each table is written before the next
     one reads it, so nothing is computed twice.
+
+    The date dimension spans the days of the orders and of the build before, or
+    the days given.  Lines from ``lines_from`` on are replaced; by default from the
+    first day of the orders given.  Every dimension has its unknown member.
+
+    With a ``database`` both facts are catalog tables: a build rewrites only the
+    partitions its orders enter or leave, and those of the lines it replaces;
+    the others keep their files.
     """
     spark = silver["orders"].sparkSession
     cluster_by = cluster_by or {}
@@ -55,16 +67,28 @@ def run_star(
             df, f"{root}/{name}", version, partition_by.get(name, ()), cluster_by.get(name, ())
         )
 
-    days = write("dim_date", dimensions.dim_date(date_range(spark, first_day, last_day)))
+    bounds = silver["orders"].agg(
+        F.min("order_date").cast("date").alias("first_day"), F.max("order_date").cast("date").alias("last_day")
+    )
+    for name, day in (("first_day", first_day), ("last_day", last_day)):
+        if day is not None:
+            bounds = bounds.withColumn(name, F.lit(day).cast("date"))
+    made = dimensions.dim_date(dates_between(bounds))
+    before = earlier("dim_date")
+    if before is not None:
+        made = made.unionByName(before.join(made, "dim_date_key", "left_anti").select(*made.columns))
+    days = write("dim_date", made)
     products = write(
         "dim_product",
-        dimensions.dim_product(
-            earlier("dim_product"),
-            silver["products"],
-            silver["brands"],
-            silver["categories"],
-            run_id,
-            as_of,
+        dimensions.with_unknown_product(
+            dimensions.dim_product(
+                earlier("dim_product"),
+                silver["products"],
+                silver["brands"],
+                silver["categories"],
+                run_id,
+                as_of,
+            )
         ),
     )
     customers = write(
@@ -73,24 +97,46 @@ def run_star(
     )
     locations = write(
         "dim_location",
-        dimensions.dim_location(
-            earlier("dim_location"), silver["addresses"], silver["city_tiers"], run_id, as_of
-        ),
-    )
-    orders = write(
-        "fact_orders",
-        facts.upsert_orders(
-            earlier("fact_orders"),
-            facts.fact_orders(silver["orders"], customers, locations, run_id, as_of),
+        dimensions.with_unknown_location(
+            dimensions.dim_location(
+                earlier("dim_location"), silver["addresses"], silver["city_tiers"], run_id, as_of
+            )
         ),
     )
+    orders = facts.fact_orders(silver["orders"], customers, locations, run_id, as_of)
     lines = facts.fact_order_lines(
         silver["order_lines"], silver["orders"], products, customers, run_id, as_of
     )
-    lines = write(
-        "fact_order_lines",
-        replace_where(earlier("fact_order_lines"), lines, f"dim_date_key >= {lines_from}"),
-    )
+    if lines_from is None:
+        lines_from = bounds.select(date_key("first_day")).first()[0] or 0
+    if database and version > 1:
+        upsert_into_partitions(
+            f"{database}.fact_orders", orders, ["order_number"], "dim_date_key", f"{root}/fact_orders", version
+        )
+        replace_partitions(
+            f"{database}.fact_order_lines", lines, "dim_date_key", lines_from, f"{root}/fact_order_lines", version
+        )
+    else:
+        write("fact_orders", facts.upsert_orders(earlier("fact_orders"), orders))
+        write(
+            "fact_order_lines",
+            replace_where(earlier("fact_order_lines"), lines, f"dim_date_key >= {lines_from}"),
+        )
+        if database:
+            create_database(spark, database)
+            for name in ("fact_orders", "fact_order_lines"):
+                register_table(
+                    spark,
+                    f"{database}.{name}",
+                    STAR_SCHEMA[name],
+                    snapshot_path(f"{root}/{name}", version),
+                    PARTITIONED_BY[name],
+                )
+
+    def fact(name: str) -> DataFrame:
+        return spark.table(f"{database}.{name}") if database else read_star(spark, root, name, version)
+
+    orders, lines = fact("fact_orders"), fact("fact_order_lines")
     snapshot = write(
         "agg_customer_monthly_snapshot",
         snapshots.customer_monthly_snapshot(orders, days, run_id, as_of),

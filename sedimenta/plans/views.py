@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.functions.columns import date_key, moment
@@ -89,6 +89,39 @@ def v_product_performance(
     )
 
 
+_VIEW_SQL = {
+    "v_customer_360": """
+        SELECT c.customer_id, c.first_name, c.last_name, c.customer_type, c.rfm_segment,
+               s.month_key AS latest_activity_month, s.lifetime_revenue, s.lifetime_orders, s.aov_lifetime,
+               s.recency_days
+        FROM {db}.agg_customer_monthly_snapshot s JOIN {db}.dim_customer c USING (dim_customer_key)
+        WHERE s.month_key = (SELECT max(month_key) FROM {db}.agg_customer_monthly_snapshot) AND c._is_current""",
+    "v_monthly_sales_trend": """
+        SELECT year, month_name, month_number, sum(total_amount) AS total_revenue,
+               count(DISTINCT order_number) AS total_orders, avg(total_amount) AS aov
+        FROM {db}.fact_orders JOIN {db}.dim_date USING (dim_date_key)
+        GROUP BY year, month_name, month_number ORDER BY year DESC, month_number DESC""",
+    "v_product_performance": """
+        SELECT category_name, brand_name, product_name, sum(quantity) AS units_sold,
+               CAST(sum(line_amount) AS DECIMAL(28,2)) AS revenue_generated
+        FROM {db}.fact_order_lines JOIN {db}.dim_product USING (dim_product_key)
+        JOIN {db}.dim_date USING (dim_date_key)
+        WHERE full_date >= date_sub({day}, {days})
+        GROUP BY category_name, brand_name, product_name ORDER BY revenue_generated DESC""",
+}
+
+
+def publish_views(spark: SparkSession, database: str, day: str = "current_date()") -> None:
+    """Create the three reports as catalog views over the star's tables in ``database``.
+
+    They outlive the session and read whatever the tables hold when queried;
+    ``day`` is the SQL of the day up to which products are reported.
+    """
+    for name, text in _VIEW_SQL.items():
+        body = text.format(db=database, day=day, days=PRODUCT_WINDOW_DAYS)
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {body}")
+
+
 def register_views(
     tables: dict[str, DataFrame], as_of: Column | dt.datetime | str
 ) -> dict[str, DataFrame]:

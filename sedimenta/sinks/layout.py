@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
+from sedimenta.operators.keys import with_surrogate_key
+from sedimenta.session import stored
+
 
 def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Bring the rows of a partition folder together before a partitioned write.
@@ -18,12 +22,9 @@ def by_partition(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def _measure(df: DataFrame, name: str) -> Column:
-    """A number that orders like the column (strings: like their first seven bytes)."""
+def _number(df: DataFrame, name: str) -> Column:
+    """A number that orders like the column."""
     column, kind = F.col(name), df.schema[name].dataType
-    if isinstance(kind, StringType):
-        head = F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("double")
     if isinstance(kind, DateType):
         return F.unix_date(column).cast("double")
     if isinstance(kind, TimestampType):
@@ -37,7 +38,21 @@ def _measure(df: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot cluster by {name}: {kind.simpleString()}")
 
 
-def _bucket(measure: str, bounds: Sequence[float], bits: int) -> list[tuple[str, Column]]:
+def _text_bounds(df: DataFrame, name: str, count: int) -> list[str]:
+    """Whole values that cut the column's distinct values into ``count`` equal parts.
+
+    Strings have no quantile function, so the distinct values are numbered in
+    order on all executors and those at the cuts are kept.
+    """
+    values = with_surrogate_key(df.select(name).dropna().distinct(), [name], "_at")
+    values = stored(values, "values")
+    total = values.count()
+    cuts = sorted({max(1, total * i // count) for i in range(1, count)}) if total else []
+    at = {row["_at"]: row[name] for row in values.filter(F.col("_at").isin(cuts)).collect()} if cuts else {}
+    return [at[max(1, total * i // count)] for i in range(1, count)] if total else []
+
+
+def _bucket(value: Column, label: str, bounds: Sequence, bits: int) -> list[tuple[str, Column]]:
     """Binary search of a quantile bucket, one step (one column) per bit.
 
     Step columns hold how many bounds are known to lie at or below the value.
@@ -47,19 +62,25 @@ def _bucket(measure: str, bounds: Sequence[float], bits: int) -> list[tuple[str,
     found: Column = F.lit(0)
     for level in reversed(range(bits)):
         half = 1 << level
-        reached = F.element_at(table, (found + F.lit(half)).cast("int")) <= F.col(measure)
-        name = f"{measure}_{level}"
+        reached = F.element_at(table, (found + F.lit(half)).cast("int")) <= value
+        name = f"{label}_{level}"
         steps.append((name, found + F.when(reached, F.lit(half)).otherwise(F.lit(0))))
         found = F.col(name)
     return steps
 
 
+def _bits(df: DataFrame, columns: int, partitions: int | None) -> int:
+    """Bits per column: enough cells for every output partition, 64 buckets at least."""
+    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(62 // columns, max(6, ceil(log2(max(2, parts)) / columns) + 2))
+
+
 def clustered(
     df: DataFrame,
     columns: Sequence[str],
     within: Sequence[str] = (),
     partitions: int | None = None,
-    bits: int = 6,
+    bits: int | None = None,
 ) -> DataFrame:
     """Rows that are close in ``columns`` end up in the same files.
 
@@ -68,6 +89,7 @@ def clustered(
     A hash of the whole row comes last in the range order, so a value that many
     rows share is spread over several partitions instead of filling one.
     ``within`` names the partition folders of the write, which come first.
+    ``df`` is read several times: give a stored table.
     """
     columns, within = list(columns), list(within)
     spread = F.xxhash64(*df.columns)
@@ -76,20 +98,26 @@ def clustered(
         ranged = df.repartitionByRange(*count, *[F.col(c) for c in [*within, *columns]], spread)
         return ranged.sortWithinPartitions(*within, *columns)
 
-    # Quantile bounds: one mergeable aggregate over the cluster columns, a fixed
-    # number of values per column whatever the table's size.
-    wanted = [i / (1 << bits) for i in range(1, 1 << bits)]
-    measures = {c: _measure(df, c) for c in columns}
-    found = df.agg(*[F.percentile_approx(m, wanted, 10_000).alias(c) for c, m in measures.items()]).first()
+    bits = bits or _bits(df, len(columns), partitions)
+    parts = 1 << bits
+    # Bounds: a number of values per column that follows the partitions, not the rows.
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, StringType)]
+    numbers = {c: _number(df, c) for c in columns if c not in texts}
+    bounds: dict[str, Sequence] = {c: _text_bounds(df, c, parts) for c in texts}
+    if numbers:
+        wanted = [i / parts for i in range(1, parts)]
+        accuracy = max(10_000, 20 * parts)
+        found = df.agg(*[F.percentile_approx(m, wanted, accuracy).alias(c) for c, m in numbers.items()]).first()
+        bounds.update({c: found[c] or [] for c in numbers})
     placed = df
     code: Column = F.lit(0).cast("long")
     for index, name in enumerate(columns):
-        bounds = found[name] or [0.0] * len(wanted)
-        measure = f"_m{index}"
-        placed = placed.withColumn(measure, measures[name])
-        for step, value in _bucket(measure, bounds, bits):
+        label = f"_m{index}"
+        if not bounds[name]:  # no value at all
+            continue
+        for step, value in _bucket(numbers.get(name, F.col(name)), label, bounds[name], bits):
             placed = placed.withColumn(step, value)
-        bucket = F.coalesce(F.col(f"{measure}_0"), F.lit(0)).cast("long")
+        bucket = F.coalesce(F.col(f"{label}_0"), F.lit(0)).cast("long")
         for bit in range(bits):
             part = F.shiftright(bucket, bit).bitwiseAND(F.lit(1))
             code = code.bitwiseOR(F.shiftleft(part, bit * len(columns) + index))

@@ -10,12 +10,24 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
 
 from sedimenta.functions.columns import with_audit
-from sedimenta.operators.merge import replace_where, touched_partitions, upsert_touched
+from sedimenta.operators.merge import replace_where, touched_partitions, unique_rows, upsert_touched
+from sedimenta.session import stored
 from sedimenta.sinks.layout import by_partition, clustered
-from sedimenta.sources.tables import read_path, read_snapshot, snapshot_path
+from sedimenta.sources.tables import read_snapshot, snapshot_path
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the folder has come to its end."""
+    return _exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
 def write_staging(df: DataFrame, root: str, table: str, mode: str, run_id: str) -> str:
@@ -32,19 +44,38 @@ def write_snapshot(
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Write a full state as a new version, with its own schema, and read it back."""
+    """Write a full state as a new version, with its own schema, and read it back.
+
+    A folder without its success marker is what a failed write left: it counts as
+    absent and is replaced.  A complete version is never written over.
+    """
     schema = df.schema
+    mode = "overwrite" if not is_complete(df.sparkSession, snapshot_path(root, version)) else "errorifexists"
+    df, partition_by = _by_day(df, partition_by)
     if cluster_by:
-        df = clustered(df, cluster_by, within=partition_by)
+        # Finding and sampling the ranges reads the state several times.
+        df = clustered(stored(df, "unclustered"), cluster_by, within=partition_by)
     elif partition_by:
         df = by_partition(df, partition_by)
-    writer = df.write.mode("errorifexists")
+    writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(snapshot_path(root, version))
     return read_snapshot(df.sparkSession, root, version, schema).select(*schema.names)
 
 
+def _by_day(df: DataFrame, partition_by: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Partition columns that hold a time become its day (``<name>_day``): a folder
+    per moment would hold a row or two."""
+    names = []
+    for name in partition_by:
+        if isinstance(df.schema[name].dataType, (TimestampType, TimestampNTZType)):
+            df = df.withColumn(f"{name}_day", F.to_date(name))
+            name = f"{name}_day"
+        names.append(name)
+    return df, names
+
+
 def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Add rows to a table that is only ever added to."""
     writer = (by_partition(df, partition_by) if partition_by else df).write.mode("append")
@@ -69,9 +100,12 @@ def write_quarantine(
     run_id: str,
     as_of: Column | dt.datetime | str,
 ) -> str:
-    """Append rejected rows as JSON lines under the run's folder.  Returns the folder."""
+    """Write rejected rows as JSON lines to the run's folder.  Returns the folder.
+
+    A re-run of the same run replaces its rows.
+    """
     path = f"{root.rstrip('/')}/{layer}/{table}/{run_id}"
-    with_audit(rejected, run_id, {"_rejection_timestamp": as_of}).write.mode("append").json(path)
+    with_audit(rejected, run_id, {"_rejection_timestamp": as_of}).write.mode("overwrite").json(path)
     return path
 
 
@@ -101,32 +135,71 @@ def upsert_into_partitions(
 ) -> list[int]:
     """Upsert into a registered table, rewriting only the partitions it touches.
 
-    The touched partitions are written to a new version folder; then the table's
-    entries for them are moved there, and those of emptied partitions dropped.
+    The source is stored once.  The touched partitions are written to a new version
+    folder; then the table's entries are pointed there: existing ones in place, so
+    readers never miss a partition, new ones in one statement, emptied ones dropped.
     The rest of a large table is neither rewritten nor (but for its keys) read.
     The partition column holds whole numbers, as date and month keys are.
     Returns the touched partition values.
     """
     spark = source.sparkSession
     target = spark.table(table)
+    source = stored(unique_rows(source.select(*target.columns), keys), "batch")
     # One value per touched partition: the catalog entries are driver work anyway.
     touched = [row[0] for row in touched_partitions(target, source, keys, partition).collect()]
     folder = snapshot_path(root, version)
-    state = upsert_touched(target, source.select(*target.columns), keys, partition, touched)
-    by_partition(state, [partition]).write.mode("errorifexists").partitionBy(partition).parquet(folder)
-
-    written = read_path(spark, folder, target.schema).select(partition).distinct()
-    kept = {row[0] for row in written.collect()}
-    for value in touched:
-        spec = f"{partition} = {value}"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-        if value in kept:
-            place = f"{folder}/{partition}={value}"
-            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{place}'")
-    spark.catalog.refreshTable(table)
+    mode = "errorifexists" if is_complete(spark, folder) else "overwrite"
+    state = upsert_touched(target, source, keys, partition, touched)
+    by_partition(state, [partition]).write.mode(mode).partitionBy(partition).parquet(folder)
+
+    _point_at(spark, table, partition, folder, touched)
     return touched
 
 
+def _partition_values(spark: SparkSession, table: str) -> set[int]:
+    return {int(row[0].split("=")[1]) for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+
+
+def _written_values(spark: SparkSession, folder: str, partition: str) -> set[int]:
+    """Partition values that a write left folders for: a listing, no file is read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    names = [status.getPath().getName() for status in found]
+    return {int(name.split("=")[1]) for name in names if name.startswith(f"{partition}=")}
+
+
+def _point_at(spark: SparkSession, table: str, partition: str, folder: str, values: Sequence[int]) -> None:
+    """Let the table's entries of ``values`` read ``folder``; those not written there go."""
+    known = _partition_values(spark, table)
+    places = {value: f"{folder}/{partition}={value}" for value in values}
+    kept = set(values) & _written_values(spark, folder, partition)
+    for value in sorted(kept & known):
+        spark.sql(f"ALTER TABLE {table} PARTITION ({partition} = {value}) SET LOCATION '{places[value]}'")
+    added = " ".join(f"PARTITION ({partition} = {v}) LOCATION '{places[v]}'" for v in sorted(kept - known))
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD {added}")
+    gone = ", ".join(f"PARTITION ({partition} = {v})" for v in sorted(set(values) & known - kept))
+    if gone:
+        spark.sql(f"ALTER TABLE {table} DROP {gone}")
+    spark.catalog.refreshTable(table)
+
+
+def replace_partitions(
+    table: str, new: DataFrame, partition: str, first: int, root: str, version: int
+) -> None:
+    """Swap all partitions from ``first`` on for ``new``; earlier ones keep their files.
+
+    A new row of an earlier partition stops the job.  Only ``new`` is written.
+    """
+    spark = new.sparkSession
+    folder = snapshot_path(root, version)
+    mode = "errorifexists" if is_complete(spark, folder) else "overwrite"
+    rows = replace_where(None, new.select(*spark.table(table).columns), f"{partition} >= {first}")
+    by_partition(rows, [partition]).write.mode(mode).partitionBy(partition).parquet(folder)
+    old = {value for value in _partition_values(spark, table) if value >= first}
+    _point_at(spark, table, partition, folder, sorted(old | _written_values(spark, folder, partition)))
+
+
 def write_bucketed(
     df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int
 ) -> DataFrame:

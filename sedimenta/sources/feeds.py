@@ -40,5 +40,12 @@ def in_log_order(changes: DataFrame, *order_by: str) -> DataFrame:
 
 
 def rows_after_watermark(df: DataFrame, column: str, last: Any = None) -> DataFrame:
-    """Rows newer than the last greatest value of ``column``."""
-    return df if last is None else df.filter(F.col(column) > _column(last))
+    """Rows at or behind the last greatest value of ``column``.
+
+    Rows that arrive late with that very value are read as well; the load is an
+    upsert, so reading a row twice changes nothing.  Rows without a value have no
+    place before or after and are read every time.
+    """
+    if last is None:
+        return df
+    return df.filter((F.col(column) >= _column(last)) | F.col(column).isNull())

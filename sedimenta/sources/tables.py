@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -47,14 +47,17 @@ def date_range(spark: SparkSession, first: dt.date | str, last: dt.date | str) -
 def quarantine_summary(spark: SparkSession, root: str) -> DataFrame:
     """Quarantined rows per layer, table and run, all taken from the file paths.
 
-    Files hold one row per line, so lines are counted without parsing them.
+    Files hold one row per line, so lines are counted without parsing them.  Parts
+    are counted from the path's end and decoded, whatever the root looks like.
     """
-    prefix = root.rstrip("/")
-    lines = spark.read.option("recursiveFileLookup", "true").text(prefix)
-    path = F.col("_metadata.file_path")
-    tail = F.split(F.substring_index(path, f"{prefix.split('://')[-1]}/", -1), "/")
+    lines = spark.read.option("recursiveFileLookup", "true").text(root.rstrip("/"))
+    parts = F.split(F.col("_metadata.file_path"), "/")
+
+    def part(from_end: int) -> Column:
+        return F.url_decode(F.replace(F.element_at(parts, -from_end), F.lit("+"), F.lit("%2B")))
+
     return (
-        lines.select(tail[0].alias("layer"), tail[1].alias("table_name"), tail[2].alias("run_id"))
+        lines.select(part(4).alias("layer"), part(3).alias("table_name"), part(2).alias("run_id"))
         .groupBy("layer", "table_name", "run_id")
         .agg(F.count(F.lit(1)).alias("row_count"))
     )

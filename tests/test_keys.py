@@ -43,3 +43,15 @@ def test_lookup_falls_back_to_the_unknown_key(spark):
     found = lookup_key(facts, dim, "c", "id", "sk")
     assert sorted(map(tuple, found.select("f", "sk").collect())) == [(1, 7), (2, -1), (3, -1)]
     assert found.columns == ["f", "c", "sk"]
+
+
+def test_hot_order_value_fills_several_partitions(spark):
+    df = spark.range(0, 24000, 1, 6).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id END AS k", "id")
+    keyed = with_surrogate_key(df, ["k", "id"], "sk", partitions=8)
+    wanted = {r.id: r.n for r in df.withColumn("n", F.row_number().over(Window.orderBy("k", "id"))).collect()}
+    assert {r.id: r.sk for r in keyed.collect()} == wanted
+    hot = with_surrogate_key(df.select("k"), ["k"], "sk", partitions=8)
+    assert sorted(r.sk for r in hot.collect()) == list(range(1, 24001))
+    keyed = with_surrogate_key(df, ["k"], "sk", partitions=8)
+    sizes = [r["count"] for r in keyed.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) < 2 * 24000 / 8

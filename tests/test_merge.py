@@ -2,7 +2,16 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from sedimenta.operators.merge import merge_rows, replace_where, union_evolving, upsert, upsert_keeping
+from sedimenta.operators.history import scd2_apply, scd2_initial
+from sedimenta.operators.merge import (
+    merge_rows,
+    replace_where,
+    union_evolving,
+    upsert,
+    upsert_keeping,
+    upsert_touched,
+)
+from sedimenta.plans.bronze import watermark_load
 
 
 def plain(df, *columns):
@@ -18,6 +27,37 @@ def test_upsert(spark):
     assert plain(upsert(upsert(old, new.dropna(), ["k"]), new.dropna(), ["k"])) == plain(upsert(old, new.dropna(), ["k"]))
 
 
+def test_a_key_that_occurs_twice_stops_every_merge(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    twice = spark.createDataFrame([(2, "B"), (2, "C"), (None, "x"), (None, "y")], "k int, v string")
+    history = scd2_initial(old, ["v"], "2024-01-01 00:00:00")
+    for merge in (
+        lambda: upsert(old, twice, ["k"]),
+        lambda: upsert(None, twice, ["k"]),
+        lambda: upsert_keeping(old, twice, ["k"], ["v"], {}),
+        lambda: scd2_apply(history, twice, ["k"], ["v"], "2024-02-01 00:00:00"),
+        lambda: scd2_apply(history, twice, ["k"], ["v"], "2024-02-01 00:00:00", small_source=True),
+        lambda: watermark_load(old, twice, ["k"], "v"),
+        lambda: upsert_touched(old, twice, ["k"], "k", [2]),
+    ):
+        with pytest.raises(PySparkException, match="share one key \\(k=2\\)"):
+            merge().collect()
+
+
+def test_the_check_adds_no_shuffle(spark):
+    old, new = (spark.range(0, 2000).withColumn("v", F.lit(i)).selectExpr("id AS k", "v") for i in range(2))
+    big = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in big}
+    try:
+        for k, v in big.items():
+            spark.conf.set(k, v)
+        plan = upsert_keeping(old, new, ["k"], ["v"], {})._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_upsert_with_unlike_columns(spark):
     old = spark.createDataFrame([(1, "a", 10), (2, "b", 20)], "k int, v string, kept int")
     new = spark.createDataFrame([(2, "B", True), (3, "c", False)], "k int, v string, added boolean")

@@ -1,7 +1,9 @@
 import datetime as dt
+import glob
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from sedimenta.plans import dimensions, facts, snapshots, views
 from sedimenta.plans.schemas import PARTITIONED_BY, STAR_SCHEMA
@@ -124,10 +126,12 @@ def test_declared_schemas(star):
 def test_dimensions(star):
     tables = star[1]
     assert plain(tables["dim_product"], "dim_product_key", "product_name", "list_price", "brand_name", "category_name") == [
+        (-1, "Unknown", None, "Unknown", "Unknown"),
         (50, "Cup", Decimal("3.00"), "Acme", "Kitchen"),
         (51, "Mug", Decimal("4.00"), None, None),
     ]
     assert plain(tables["dim_location"], "dim_location_key", "city_tier", "is_metro", "region") == [
+        (-1, None, None, None),
         (100, 1, True, "N"),
         (101, None, None, None),
     ]
@@ -178,13 +182,16 @@ def test_views(spark, star):
         (2024, 2, Decimal("40.00"), 1),
         (2024, 1, Decimal("30.00"), 2),
     ]
-    # Product 99 is unknown and the other sales are older than thirty days.
-    assert spark.table("v_product_performance").collect() == []
+    # Product 99 is unknown, and reported as such; the other sales are older than thirty days.
+    assert [tuple(r) for r in spark.table("v_product_performance").collect()] == [
+        ("Unknown", "Unknown", "Unknown", 1, Decimal("5.00"))
+    ]
     earlier = views.v_product_performance(
         star[1]["fact_order_lines"], star[1]["dim_product"], star[1]["dim_date"], "2024-01-20 00:00:00"
     )
     assert [tuple(r) for r in earlier.collect()] == [
         ("Kitchen", "Acme", "Cup", 2, Decimal("6.00")),
+        ("Unknown", "Unknown", "Unknown", 1, Decimal("5.00")),
         (None, None, "Mug", 1, Decimal("4.00")),
     ]
 
@@ -199,6 +206,7 @@ def test_second_build(spark, star):
         [(-1, -1, 1), (1, 3, 2), (2, 2, 1), (3, 4, 1)], key=repr
     )
     assert plain(tables["dim_product"], "product_id", "sku", "_created_date", "_pipeline_run_id") == [
+        (-1, "UNKNOWN", None, None),
         (50, "Cup", dt.datetime(2024, 3, 31), "r2"),
         (51, "s51", dt.datetime(2024, 3, 31), "r1"),
     ]
@@ -219,9 +227,52 @@ def test_second_build(spark, star):
     assert spark.table("gold.dim_customer").filter("_is_current").count() == 3
     publish_star(spark, "gold", root, 2)
     assert spark.table("gold.dim_customer").filter("_is_current").count() == 4
+    views.publish_views(spark, "gold", "DATE'2024-01-20'")
+    frames = {
+        "v_customer_360": views.v_customer_360(tables["dim_customer"], tables["agg_customer_monthly_snapshot"]),
+        "v_monthly_sales_trend": views.v_monthly_sales_trend(tables["fact_orders"], tables["dim_date"]),
+        "v_product_performance": views.v_product_performance(
+            tables["fact_order_lines"], tables["dim_product"], tables["dim_date"], "2024-01-20 00:00:00"
+        ),
+    }
+    for name, frame in frames.items():
+        assert plain(spark.table(f"gold.{name}")) == plain(frame), name
     assert set(PARTITIONED_BY) < set(STAR_SCHEMA)
 
 
+def test_builds_into_a_database_rewrite_only_what_they_touch(spark, tmp_path):
+    root = str(tmp_path)
+    plainly = str(tmp_path / "plain")
+    first = run_star(silver(spark), root, 1, "r1", T3, database="star_db")
+    run_star(silver(spark), plainly, 1, "r1", T3)
+    later = silver(spark)
+    later["orders"] = later["orders"].filter("order_number = 'B'")
+    later["order_lines"] = later["order_lines"].filter("order_number = 'B'")
+    day = later["orders"].selectExpr("CAST(date_format(order_date, 'yyyyMMdd') AS INT) AS d").first().d
+    before = {f: open(f, "rb").read() for f in glob.glob(f"{root}/fact_orders/version=0000000001/*/*.parquet")}
+    second = run_star(later, root, 2, "r2", T3, database="star_db")
+    same = run_star(later, plainly, 2, "r2", T3)
+    for name in STAR_SCHEMA:
+        assert plain(second[name].select(*STAR_SCHEMA[name].names)) == plain(same[name].select(*STAR_SCHEMA[name].names)), name
+    assert {f: open(f, "rb").read() for f in before} == before
+    written = {p.split("=")[-1] for p in glob.glob(f"{root}/fact_orders/version=0000000002/dim_date_key=*")}
+    assert written == {str(day)}
+    assert first["fact_orders"].count() == second["fact_orders"].count()
+
+
+def test_days_are_those_of_the_orders(star):
+    days = star[1]["dim_date"].selectExpr("min(full_date) AS a", "max(full_date) AS b", "count(*) AS n").first()
+    assert (days.b - days.a).days + 1 == days.n
+    assert star[1]["fact_orders"].join(star[1]["dim_date"], "dim_date_key", "left_anti").count() == 0
+
+
+def test_amounts_that_do_not_fit_stop_the_build(spark, tmp_path):
+    tables = silver(spark)
+    tables["orders"] = tables["orders"].withColumn("total_amount", F.lit("1e20").cast("double"))
+    with pytest.raises(Exception, match="no decimal"):
+        run_star(tables, str(tmp_path), 1, "r1", T3)
+
+
 def test_lines_outside_the_replaced_range_fail(spark, tmp_path):
     with pytest.raises(Exception, match="does not satisfy"):
         run_star(silver(spark), str(tmp_path), 1, "r1", T3, lines_from=20240201)

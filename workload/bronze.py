@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.config import RawConfig
 from sedimenta.functions.columns import month_key
 from sedimenta.operators.changes import (
     apply_changes,
@@ -14,10 +15,16 @@ from sedimenta.operators.changes import (
     latest_per_key,
 )
 from sedimenta.operators.merge import replace_where, union_evolving
-from sedimenta.plans.bronze import initial_load, run_incremental_load, run_initial_load, watermark_load
-from sedimenta.session import fresh_path
+from sedimenta.plans.bronze import (
+    initial_load,
+    run_incremental_load,
+    run_initial_load,
+    run_raw_load,
+    watermark_load,
+)
+from sedimenta.session import fresh_path, stored
 from sedimenta.sinks.layout import clustered
-from sedimenta.sinks.tables import write_snapshot
+from sedimenta.sinks.tables import append_rows, write_snapshot
 from sedimenta.sources.feeds import changes_after, in_log_order
 from sedimenta.sources.tables import read_snapshot
 from workload.inputs import CHANGE_LOAD, FIRST_LOAD, RUN_1, RUN_2, SECOND_LOAD, frame, latest_sql, table, with_inputs
@@ -102,11 +109,11 @@ def cdc_high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "watermark_incremental",
     with_inputs(
-        ["profile_1", "profile_2"],
+        ["profile_1", "profile_all"],
         f"""older AS ({latest_sql('profile_1', 'customer_id', 'last_order_date DESC, last_order_id DESC')}),
-            every AS (SELECT * FROM profile_1 UNION ALL SELECT * FROM profile_2),
-            newest AS ({latest_sql('every', 'customer_id', 'last_order_date DESC, last_order_id DESC')}),
-            fresh AS (SELECT * FROM newest WHERE last_order_date > (SELECT max(last_order_date) FROM older))""",
+            newest AS ({latest_sql('profile_all', 'customer_id', 'last_order_date DESC, last_order_id DESC')}),
+            fresh AS (SELECT * FROM newest WHERE last_order_date >= (SELECT max(last_order_date) FROM older)
+                      OR last_order_date IS NULL)""",
         """SELECT customer_id, customer_type, status, last_order_id, last_order_date FROM older
            WHERE customer_id NOT IN (SELECT customer_id FROM fresh)
            UNION ALL SELECT customer_id, customer_type, status, last_order_id, last_order_date FROM fresh""",
@@ -114,10 +121,9 @@ def cdc_high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def watermark_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = ("last_order_date", "last_order_id")
-    older_rows = frame(spark, sf_dir, "profile_1")
-    every = older_rows.unionByName(frame(spark, sf_dir, "profile_2"))
+    older_rows, every = frame(spark, sf_dir, "profile_1"), frame(spark, sf_dir, "profile_all")
     keep = ["customer_id", "customer_type", "status", "last_order_id", "last_order_date"]
-    older = latest_per_key(older_rows.select(*keep), ["customer_id"], newest)
+    older = stored(latest_per_key(older_rows.select(*keep), ["customer_id"], newest), "older")
     source = latest_per_key(every.select(*keep), ["customer_id"], newest)
     last = older.agg(F.max("last_order_date")).scalar()
     return watermark_load(older, source, ["customer_id"], "last_order_date", last)
@@ -196,7 +202,88 @@ def bronze_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     applied = high_water_mark(changes.filter("_change_timestamp < TIMESTAMP '2024-01-03 00:00:00'"))
     return run_incremental_load(
         state, changes, KEY, root, "accounts", 2, RUN_2, CHANGE_LOAD, applied.scalar(), cluster_by=KEY
+    ).state
+
+
+_PART_METRICS = """SELECT '{run}' AS _pipeline_run_id, count(*) AS records_read,
+  count(*) FILTER (WHERE _cdc_operation_code = 1) AS records_deleted, max(_cdc_version) AS high_water_mark
+FROM changes WHERE {rows}"""
+_UNTIL = "2024-01-15 00:00:00"
+
+
+@query(
+    "bronze_load_metrics",
+    with_inputs(
+        ["changes"],
+        f"first_load AS ({_PART_METRICS.format(run=RUN_1, rows=f"_change_timestamp <= TIMESTAMP '{_UNTIL}'")})",
+        f"""SELECT * FROM first_load UNION ALL
+            {_PART_METRICS.format(run=RUN_2, rows='_cdc_version > (SELECT high_water_mark FROM first_load)')}""",
+    ),
+)
+def bronze_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads in a row; the second goes on from the mark that the first returned."""
+    root, changes = fresh_path(spark, "raw"), frame(spark, sf_dir, "changes")
+    state = stored(_accounts(spark, sf_dir), "accounts")
+    first = run_incremental_load(state, changes, KEY, root, "accounts", 1, RUN_1, CHANGE_LOAD, until=_UNTIL)
+    mark = first.metrics.first()["high_water_mark"]
+    second = run_incremental_load(first.state, changes, KEY, root, "accounts", 2, RUN_2, CHANGE_LOAD, mark)
+    return first.metrics.unionByName(second.metrics)
+
+
+@query(
+    "config_driven_load",
+    with_inputs(
+        ["changes", "accounts"],
+        f"{_DECODED}, {_LATEST}",
+        f"""SELECT user_id, value, 'F' AS _cdc_operation, '{RUN_1}' AS _pipeline_run_id,
+                   TIMESTAMP '{FIRST_LOAD}' AS _ingest_timestamp
+            FROM accounts WHERE user_id NOT IN (SELECT user_id FROM latest)
+            UNION ALL
+            SELECT user_id, value, _cdc_operation, '{RUN_2}', TIMESTAMP '{CHANGE_LOAD}'
+            FROM latest WHERE _cdc_operation <> 'DELETE'""",
+    ),
+)
+def config_driven_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table's settings row asks for a full copy first, then for changes."""
+    root = fresh_path(spark, "raw")
+    row = {"table_name": "accounts", "primary_key_columns": "user_id", "load_type": "CDC"}
+    copied = run_raw_load(
+        RawConfig.from_row(row), frame(spark, sf_dir, "accounts"), None, root, 1, RUN_1, FIRST_LOAD
     )
+    later = RawConfig.from_row({**row, "initial_load_completed": True, "last_sync_version": -1})
+    changes = frame(spark, sf_dir, "changes")
+    return run_raw_load(later, changes, copied.state, root, 2, RUN_2, CHANGE_LOAD).state
+
+
+@query(
+    "cdc_window_read",
+    with_inputs(
+        ["changes"],
+        "",
+        """SELECT * FROM changes WHERE _change_timestamp >= TIMESTAMP '2024-01-03 00:00:00'
+           AND _change_timestamp <= TIMESTAMP '2024-01-20 00:00:00'""",
+    ),
+)
+def cdc_window_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changes_after(
+        frame(spark, sf_dir, "changes"),
+        since=F.lit("2024-01-03 00:00:00").cast("timestamp"),
+        until=F.lit("2024-01-20 00:00:00").cast("timestamp"),
+    )
+
+
+@query("append_rows", "SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderstatus = 'P'")
+def append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is only added to, after two writes."""
+    orders, path = table(spark, sf_dir, "orders"), fresh_path(spark, "log")
+    append_rows(orders, path, ["o_orderstatus"])
+    append_rows(orders.filter("o_orderstatus = 'P'"), path, ["o_orderstatus"])
+    return spark.read.schema(orders.schema).parquet(path)
+
+
+@query("cluster_layout_text", "SELECT * FROM customer")
+def cluster_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustered(table(spark, sf_dir, "customer"), ["c_name", "c_mktsegment"])
 
 
 @query("snapshot_time_travel", ORACLES["bronze_initial_load"])

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.operators.changes import latest_per_key
 from sedimenta.operators.keys import greatest_key, with_surrogate_key, with_unknown_member
-from sedimenta.operators.merge import touched_partitions, upsert_touched
 from sedimenta.plans import dimensions, facts, snapshots, views
+from sedimenta.plans.schemas import STAR_SCHEMA
 from sedimenta.plans.star import run_star
 from sedimenta.session import fresh_path, stored
-from sedimenta.sources.tables import dates_between
+from sedimenta.sinks.tables import create_database, register_table, upsert_into_partitions, write_snapshot
+from sedimenta.sources.tables import dates_between, snapshot_path
 from workload.inputs import (
     FIRST_LOAD,
     RUN_1,
@@ -167,6 +170,32 @@ def _dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "dim_product_unknown",
+    with_inputs(
+        ["products", "brands", "categories"],
+        _PRODUCT,
+        f"""SELECT * REPLACE ({_MONEY}) FROM dim_product UNION ALL
+            SELECT -1, -1, 'UNKNOWN', 'Unknown', NULL, 'Unknown', NULL, 'Unknown', NULL, NULL, NULL, NULL""",
+    ),
+)
+def dim_product_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dimensions.with_unknown_product(_dim_product(spark, sf_dir))
+
+
+@query(
+    "dim_location_unknown",
+    with_inputs(
+        ["addresses", "city_tiers"],
+        _LOCATION,
+        """SELECT * FROM dim_location UNION ALL
+           SELECT -1, -1, 'Unknown', 'Unknown', NULL, NULL, NULL, NULL, NULL, NULL""",
+    ),
+)
+def dim_location_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dimensions.with_unknown_location(_dim_location(spark, sf_dir))
+
+
 @query("dim_location", with_inputs(["addresses", "city_tiers"], _LOCATION, "SELECT * FROM dim_location"))
 def dim_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dim_location(spark, sf_dir)
@@ -233,7 +262,9 @@ def _profile(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 )
 def dim_customer_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = dimensions.dim_customer(None, _profile(spark, sf_dir, "profile_1"), RUN_1, FIRST_LOAD)
+    state = stored(state, "customers")  # as in a run of builds: each reads the stored table before
     state = dimensions.dim_customer(state, _profile(spark, sf_dir, "profile_2"), RUN_2, SECOND_LOAD)
+    state = stored(state, "customers")
     return dimensions.dim_customer(state, _profile(spark, sf_dir, "profile_3"), RUN_3, THIRD_LOAD)
 
 
@@ -287,7 +318,7 @@ _UPSERT = with_inputs(
 
 def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """An earlier order fact and a later batch that overlaps it."""
-    built = _fact_orders(spark, sf_dir)
+    built = stored(_fact_orders(spark, sf_dir), "facts")
     newer = built.filter("dim_date_key >= 20000101").withColumns(
         {"is_delivered": F.lit(1), "order_status": F.lit("Delivered")}
     )
@@ -296,17 +327,26 @@ def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 @query("fact_orders_upsert", _UPSERT)
 def fact_orders_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts.upsert_orders(*_two_loads(spark, sf_dir))
+    older, newer = _two_loads(spark, sf_dir)
+    return facts.upsert_orders(stored(older, "facts"), newer)
 
 
 @query("fact_orders_partition_upsert", _UPSERT)
 def fact_orders_partition_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same upsert computed for the touched days only, next to the days left alone."""
-    older, newer = _two_loads(spark, sf_dir)
-    keys, partition = ["order_number"], "dim_date_key"
-    touched = [row[0] for row in touched_partitions(older, newer, keys, partition).collect()]
-    untouched = older.filter(~F.col(partition).isin(*touched))
-    return untouched.unionByName(upsert_touched(older, newer, keys, partition, touched))
+    """The same upsert into a catalog table by month, of which only the touched months are rewritten."""
+    older, newer = (
+        df.withColumn("month_key", (F.col("dim_date_key") / 100).cast("int")) for df in _two_loads(spark, sf_dir)
+    )
+    root, database = fresh_path(spark, "facts"), f"facts_{uuid.uuid4().hex}"
+    first = write_snapshot(older, root, 1, ["month_key"])
+    create_database(spark, database, f"{root}-database")
+    register_table(spark, f"{database}.orders", first.schema, snapshot_path(root, 1), ["month_key"])
+    upsert_into_partitions(f"{database}.orders", newer, ["order_number"], "month_key", root, 2)
+    return spark.table(f"{database}.orders").select(*_fact_columns())
+
+
+def _fact_columns() -> list[str]:
+    return list(STAR_SCHEMA["fact_orders"].names)
 
 
 _FACT_LINES = f"""
@@ -484,9 +524,10 @@ def v_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_inputs(
         [*_ORDER_INPUTS, "silver_lines", "products", "brands", "categories"],
         f"""{_SNAPSHOT}, {_FACT_LINES.strip().removeprefix(_CUSTOMER.strip()).lstrip(', ' + chr(10))}""",
-        """SELECT 'dim_product' AS table_name, count(*) AS row_count, CAST(NULL AS DOUBLE) AS amount FROM dim_product
+        """SELECT 'dim_product' AS table_name, count(*) + 1 AS row_count, CAST(NULL AS DOUBLE) AS amount FROM dim_product
            UNION ALL SELECT 'dim_customer', count(*), NULL FROM dim_customer
-           UNION ALL SELECT 'dim_location', count(*), NULL FROM dim_location
+           UNION ALL SELECT 'dim_location', count(*) + 1, NULL FROM dim_location
+           UNION ALL SELECT 'dim_date', CAST(max(o_orderdate) AS DATE) - CAST(min(o_orderdate) AS DATE) + 1, NULL FROM orders
            UNION ALL SELECT 'fact_orders', count(*), CAST(sum(total_amount) AS DOUBLE) FROM fact_orders
            UNION ALL SELECT 'fact_order_lines', count(*), CAST(sum(line_amount) AS DOUBLE) FROM fact_order_lines
            UNION ALL SELECT 'agg_customer_monthly_snapshot', count(*), CAST(sum(lifetime_revenue) AS DOUBLE)
@@ -507,9 +548,6 @@ def star_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     root = fresh_path(spark, "star")
     settings = {
-        "first_day": "1995-01-01",
-        "last_day": "2001-12-31",
-        "lines_from": 19950101,
         # A folder per day suits large facts only; here it would mean files of a few rows.
         "partition_by": {"agg_customer_monthly_snapshot": ("month_key",)},
     }
@@ -519,6 +557,7 @@ def star_build(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dim_product": F.lit(None),
         "dim_customer": F.lit(None),
         "dim_location": F.lit(None),
+        "dim_date": F.lit(None),
         "fact_orders": F.sum("total_amount"),
         "fact_order_lines": F.sum("line_amount"),
         "agg_customer_monthly_snapshot": F.sum("lifetime_revenue"),

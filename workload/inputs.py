@@ -2,8 +2,10 @@
 
 Each input is stated once, as SQL expressions both engines read alike: Spark
 selects them from the parquet table, the oracle puts the same text into a CTE.
-All inputs cover their whole table; the few conditions create the situations the
-operators exist for (missing parents, unseen keys, rows of an earlier load).
+All inputs cover their whole table.  Where a situation needs missing parents or
+unseen keys, some rows' keys are shifted to values that nothing else has; no row
+is left out.  Only the order profiles are cut by date, and every query that uses
+them takes profiles that together cover all orders.
 """
 
 from __future__ import annotations
@@ -43,10 +45,18 @@ class Input:
         return df.distinct() if self.distinct else df
 
 
+# Added to keys that are to match nothing.
+ELSEWHERE = 1_000_000_000
+
+
+def shifted(key: str, condition: str) -> str:
+    return f"CASE WHEN {condition} THEN {key} + {ELSEWHERE} ELSE {key} END"
+
+
 _TOTAL = "CAST(o_totalprice AS DECIMAL(18,2))"
 
 
-def _profile(period: str) -> Input:
+def _profile(period: str | None) -> Input:
     """Customers as their orders of a period describe them (several rows per customer)."""
     return Input(
         "orders",
@@ -67,6 +77,8 @@ def _profile(period: str) -> Input:
     )
 
 
+_BUILDING = "c_mktsegment = 'BUILDING'"
+
 INPUTS: dict[str, Input] = {
     # raw layer
     "changes": Input(
@@ -81,7 +93,9 @@ INPUTS: dict[str, Input] = {
             "ts AS _change_timestamp",
         ),
     ),
-    "accounts": Input("customer", ("c_custkey AS user_id", "c_acctbal AS value"), "c_mktsegment <> 'BUILDING'"),
+    "accounts": Input(
+        "customer", (f"{shifted('c_custkey', _BUILDING)} AS user_id", "c_acctbal AS value")
+    ),
     # conformed layer
     "raw_customers": Input(
         "customer",
@@ -98,20 +112,21 @@ INPUTS: dict[str, Input] = {
     "earlier_customers": Input(
         "customer",
         (
-            "c_custkey AS customer_id",
+            f"{shifted('c_custkey', 'c_nationkey = 7')} AS customer_id",
             "c_name AS name",
             "lower(replace(c_name, '#', '.')) || '@example.com' AS email",
             "c_mktsegment AS customer_type",
             "'Active' AS status",
             "c_acctbal AS balance",
         ),
-        "c_nationkey <> 7",
     ),
     "profile_1": _profile(f"o_orderdate < TIMESTAMP '{FIRST_LOAD}'"),
     "profile_2": _profile(
         f"o_orderdate >= TIMESTAMP '{FIRST_LOAD}' AND o_orderdate < TIMESTAMP '{SECOND_LOAD}'"
     ),
     "profile_3": _profile(f"o_orderdate >= TIMESTAMP '{SECOND_LOAD}'"),
+    "profile_later": _profile(f"o_orderdate >= TIMESTAMP '{FIRST_LOAD}'"),
+    "profile_all": _profile(None),
     # star schema
     "silver_orders": Input(
         "orders",
@@ -155,30 +170,28 @@ INPUTS: dict[str, Input] = {
     "earlier_products": Input(
         "part",
         (
-            "p_partkey AS product_id",
+            f"{shifted('p_partkey', 'p_size > 25')} AS product_id",
             "'OLD-' || CAST(p_partkey AS STRING) AS sku",
             "p_name AS item_name",
             "p_retailprice AS list_price",
             "p_brand AS brand_id",
             "p_type AS category_id",
         ),
-        "p_size <= 25",
     ),
     "brands": Input(
         "part",
         (
-            "p_brand AS brand_id",
+            "CASE WHEN p_brand = 'Brand#9' THEN 'Brand#9 renamed' ELSE p_brand END AS brand_id",
             "lower(p_brand) AS brand_name",
             "CASE WHEN p_brand < 'Brand#20' THEN 'Premium' ELSE 'Standard' END AS brand_tier",
         ),
-        "p_brand <> 'Brand#9'",
         distinct=True,
     ),
     "categories": Input("part", ("p_type AS category_id", "lower(p_type) AS category_name"), distinct=True),
     "known_customers": Input(
         "customer",
         (
-            "c_custkey AS customer_id",
+            f"{shifted('c_custkey', _BUILDING)} AS customer_id",
             "lower(replace(c_name, '#', '.')) || '@example.com' AS email",
             "'Customer' AS first_name",
             "substr(c_name, 10) AS last_name",
@@ -188,8 +201,9 @@ INPUTS: dict[str, Input] = {
             "c_mktsegment AS customer_type",
             "CASE WHEN c_acctbal < 0 THEN 'Dormant' ELSE 'Active' END AS status",
         ),
-        "c_mktsegment <> 'BUILDING'",
     ),
+    # Customers as the parents of orders; those in debt are not found under their key.
+    "parents": Input("customer", (f"{shifted('c_custkey', 'c_acctbal <= 0')} AS c_custkey",)),
 }
 
 
@@ -215,13 +229,15 @@ def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_TIER_CITY = "CASE WHEN n_name = 'NATION_7' THEN 'NOWHERE' ELSE n_name END"
+
+
 def city_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "nation")
-        .filter("n_name <> 'NATION_7'")
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .selectExpr(
-            "n_name AS city",
+            f"{_TIER_CITY} AS city",
             "r_name AS state",
             "CASE WHEN n_nationkey < 8 THEN 1 WHEN n_nationkey < 16 THEN 2 ELSE 3 END AS city_tier",
             "n_nationkey < 8 AS is_metro",
@@ -236,10 +252,10 @@ _JOINED_SQL = {
                CAST(110000 + c_nationkey AS STRING) AS pincode
         FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "city_tiers": """
-        SELECT n_name AS city, r_name AS state,
+        SELECT CASE WHEN n_name = 'NATION_7' THEN 'NOWHERE' ELSE n_name END AS city, r_name AS state,
                CASE WHEN n_nationkey < 8 THEN 1 WHEN n_nationkey < 16 THEN 2 ELSE 3 END AS city_tier,
                n_nationkey < 8 AS is_metro, r_name AS region
-        FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_name <> 'NATION_7'""",
+        FROM nation JOIN region ON n_regionkey = r_regionkey""",
 }
 
 

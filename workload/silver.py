@@ -28,7 +28,7 @@ from sedimenta.operators.quality import (
     warned_rows,
 )
 from sedimenta.plans.silver import run_silver, silver_transform
-from sedimenta.session import fresh_path
+from sedimenta.session import fresh_path, stored
 from sedimenta.sinks.tables import write_quarantine
 from sedimenta.sources.tables import quarantine_summary
 from workload.inputs import (
@@ -139,12 +139,16 @@ def dq_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "dq_ref_integrity_rule",
-    """SELECT o.*, CASE WHEN c.c_custkey IS NULL THEN 'DQ-R-001' ELSE '' END AS _failed_rules, '' AS _warnings,
+    with_inputs(
+        ["parents"],
+        "",
+        """SELECT o.*, CASE WHEN c.c_custkey IS NULL THEN 'DQ-R-001' ELSE '' END AS _failed_rules, '' AS _warnings,
               c.c_custkey IS NOT NULL AS _accepted
-       FROM orders o LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) c ON o.o_custkey = c.c_custkey""",
+       FROM orders o LEFT JOIN parents c ON o.o_custkey = c.c_custkey""",
+    ),
 )
 def dq_ref_integrity_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parents = {"customers": table(spark, sf_dir, "customer").filter("c_acctbal > 0")}
+    parents = {"customers": frame(spark, sf_dir, "parents")}
     return tag_rows(table(spark, sf_dir, "orders"), [CUSTOMER_EXISTS], parents)
 
 
@@ -195,25 +199,29 @@ def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "ri_orphans",
-    """SELECT o_orderkey, o_custkey, 'DQ-R-001' AS rule_id FROM orders o
-       WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_acctbal > 0)""",
+    with_inputs(
+        ["parents"],
+        "",
+        """SELECT o_orderkey, o_custkey, 'DQ-R-001' AS rule_id FROM orders o
+           WHERE NOT EXISTS (SELECT 1 FROM parents c WHERE c.c_custkey = o.o_custkey)""",
+    ),
 )
 def ri_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     child = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    parent = table(spark, sf_dir, "customer").filter("c_acctbal > 0")
+    parent = frame(spark, sf_dir, "parents")
     return orphan_rows(child, "o_custkey", parent, "c_custkey", "DQ-R-001")
 
 
 @query(
     "dlq_summary",
     with_inputs(
-        ["raw_customers"],
+        ["raw_customers", "parents"],
         _CHECKED,
         f"""SELECT 'silver' AS layer, 'customers' AS table_name, '{RUN_2}' AS run_id, count(*) AS row_count
             FROM checked WHERE NOT (n1 AND f1 AND v1) HAVING count(*) > 0
             UNION ALL
             SELECT 'audit', 'orders', '{RUN_2}', count(*) FROM orders o
-            WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_acctbal > 0)
+            WHERE NOT EXISTS (SELECT 1 FROM parents c WHERE c.c_custkey = o.o_custkey)
             HAVING count(*) > 0""",
     ),
 )
@@ -225,6 +233,24 @@ def dlq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quarantine_summary(spark, root)
 
 
+@query(
+    "dlq_rerun",
+    with_inputs(
+        ["raw_customers"],
+        _CHECKED,
+        f"""SELECT 'silver' AS layer, 'my customers' AS table_name, '{RUN_2}' AS run_id, count(*) AS row_count
+            FROM checked WHERE NOT (n1 AND f1 AND v1) HAVING count(*) > 0""",
+    ),
+)
+def dlq_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that is repeated leaves its rejected rows once; the root's name needs encoding."""
+    root = f"{fresh_path(spark, 'quarantine')}/all of it"
+    refused = rejected_rows(_cleaned(spark, sf_dir), CUSTOMER_RULES)
+    for _ in range(2):
+        write_quarantine(refused, root, "silver", "my customers", RUN_2, THIRD_LOAD)
+    return quarantine_summary(spark, root)
+
+
 # ---- current state and history -----------------------------------------
 
 
@@ -284,9 +310,10 @@ def _profile_sql(name: str) -> str:
     return f"SELECT {_PROFILE} FROM ({latest})"
 
 
-_PROFILES = ["profile_1", "profile_2", "profile_3"]
+_PROFILES = ["profile_1", "profile_2", "profile_3", "profile_later", "profile_all"]
 _HISTORY = f"""
 p1 AS ({_profile_sql('profile_1')}), p2 AS ({_profile_sql('profile_2')}), p3 AS ({_profile_sql('profile_3')}),
+later AS ({_profile_sql('profile_later')}), whole AS ({_profile_sql('profile_all')}),
 h1 AS ({initial_sql('p1', FIRST_LOAD)}),
 h2 AS ({apply_sql('h1', 'p2', SECOND_LOAD)})
 """
@@ -302,7 +329,10 @@ def _history_1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _history_2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd2_apply(_history_1(spark, sf_dir), _profile(spark, sf_dir, "profile_2"), KEY, TRACKED, SECOND_LOAD)
+    # As in a run of loads, the next load finds a stored table.
+    target = stored(_history_1(spark, sf_dir), "history")
+    state = scd2_apply(target, _profile(spark, sf_dir, "profile_2"), KEY, TRACKED, SECOND_LOAD)
+    return stored(state, "history")
 
 
 @query(
@@ -323,17 +353,18 @@ def hash_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_inputs(
         _PROFILES,
         _HISTORY,
-        """SELECT * FROM p1 WHERE customer_id NOT IN (SELECT customer_id FROM p2)
-           UNION ALL SELECT * FROM p2""",
+        """SELECT * FROM p1 WHERE customer_id NOT IN (SELECT customer_id FROM later)
+           UNION ALL SELECT * FROM later""",
     ),
 )
 def scd1_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert(_profile(spark, sf_dir, "profile_1"), _profile(spark, sf_dir, "profile_2"), KEY)
+    target = stored(_profile(spark, sf_dir, "profile_1"), "profile")
+    return upsert(target, stored(_profile(spark, sf_dir, "profile_later"), "profile"), KEY)
 
 
-@query("scd2_initial", with_inputs(_PROFILES, _HISTORY, "SELECT * FROM h1"))
+@query("scd2_initial", with_inputs(_PROFILES, _HISTORY, initial_sql("whole", FIRST_LOAD)))
 def history_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _history_1(spark, sf_dir)
+    return scd2_initial(_profile(spark, sf_dir, "profile_all"), TRACKED, FIRST_LOAD)
 
 
 @query("scd2_changed_keys", with_inputs(_PROFILES, _HISTORY, changed_sql("h2", "p3")))
@@ -341,11 +372,10 @@ def history_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2_changed_keys(_history_2(spark, sf_dir), _profile(spark, sf_dir, "profile_3"), KEY, TRACKED)
 
 
-@query("scd2_new_rows", with_inputs(_PROFILES, _HISTORY, new_sql("h1", "p2", SECOND_LOAD)))
+@query("scd2_new_rows", with_inputs(_PROFILES, _HISTORY, new_sql("h1", "later", SECOND_LOAD)))
 def history_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd2_new_rows(
-        _history_1(spark, sf_dir), _profile(spark, sf_dir, "profile_2"), KEY, TRACKED, SECOND_LOAD
-    )
+    target = stored(_history_1(spark, sf_dir), "history")
+    return scd2_new_rows(target, _profile(spark, sf_dir, "profile_later"), KEY, TRACKED, SECOND_LOAD)
 
 
 @query("scd2_expired_rows", with_inputs(_PROFILES, _HISTORY, expired_sql("h2", "p3", THIRD_LOAD)))
@@ -357,18 +387,25 @@ def history_expired(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("scd2_apply", with_inputs(_PROFILES, _HISTORY, apply_sql("h2", "p3", THIRD_LOAD)))
 def history_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd2_apply(_history_2(spark, sf_dir), _profile(spark, sf_dir, "profile_3"), KEY, TRACKED, THIRD_LOAD)
+    source = stored(_profile(spark, sf_dir, "profile_3"), "batch")
+    return scd2_apply(_history_2(spark, sf_dir), source, KEY, TRACKED, THIRD_LOAD)
 
 
 @query("scd2_apply_small_source", with_inputs(_PROFILES, _HISTORY, apply_sql("h2", "p3", THIRD_LOAD)))
 def history_apply_small(spark: SparkSession, sf_dir: str) -> DataFrame:
-    state, source = _history_2(spark, sf_dir), _profile(spark, sf_dir, "profile_3")
+    state = _history_2(spark, sf_dir)
+    source = stored(_profile(spark, sf_dir, "profile_3"), "batch")
     return scd2_apply(state, source, KEY, TRACKED, THIRD_LOAD, small_source=True)
 
 
-@query("scd2_current", with_inputs(_PROFILES, _HISTORY, "SELECT * FROM h2 WHERE _is_current"))
+@query(
+    "scd2_current",
+    with_inputs(
+        _PROFILES, _HISTORY, f"SELECT * FROM ({apply_sql('h2', 'p3', THIRD_LOAD)}) WHERE _is_current"
+    ),
+)
 def history_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return current_rows(_history_2(spark, sf_dir))
+    return current_rows(history_apply(spark, sf_dir))
 
 
 CUSTOMER_TABLE = TableConfig("customers", ("customer_id",), 2, ("status", "customer_type", "email"))
