@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from math import ceil, log
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -400,10 +399,13 @@ def one_of_each(
     )
     kept = first.unionByName(signed.filter(F.col("n") == 0).select("doc_id", "sid").distinct())
 
-    def named(text: pd.Series) -> pd.Series:
-        return pd.Series(set_ids(shingle_sets([(t or "").encode() for t in text])))
+    def named(text: pa.Array) -> pa.Array:
+        ids = [np.empty(0, np.int64)]
+        for at in range(0, len(text), 512):
+            ids.append(set_ids(shingle_sets([(t or "").encode() for t in text[at : at + 512].to_pylist()])))
+        return pa.array(np.concatenate(ids))
 
     kept = kept.select(F.col("doc_id").alias("_d"), F.col("sid").alias("_s"))
-    have = docs.withColumn("_sid", F.pandas_udf(named, LongType())("text"))
+    have = docs.withColumn("_sid", F.arrow_udf(named, LongType())("text"))
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_sid") == F.col("_s"))
     return have.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_sid"]).select(*docs.columns)

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -278,15 +279,18 @@ def language_predictions(docs: DataFrame, model: LanguageModel | None) -> DataFr
     """
     kind = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
-    def predict(text: pd.Series) -> pd.DataFrame:
+    def predict(text: pa.Array) -> pa.Array:
         lang = np.full(len(text), UNDETERMINED, dtype=object)
         score = np.zeros(len(text))
-        known = [i for i, t in enumerate(text) if model is not None and t is not None and _LETTER.search(t)]
-        if known:
-            p = document_probabilities(model, [text.iloc[i].encode() for i in known])
-            lang[known] = np.array(model.languages, dtype=object)[p.argmax(axis=1)]
-            score[known] = np.clip(p.max(axis=1), 0.0, 1.0)
-        return pd.DataFrame({"lang_pred": lang, "score": score})
-
-    made = docs.withColumn("_language", F.pandas_udf(predict, kind)("text"))
+        for at in range(0, len(text), 1000):
+            part = text[at : at + 1000].to_pylist()
+            known = [i for i, t in enumerate(part) if model is not None and t is not None and _LETTER.search(t)]
+            if known:
+                p = document_probabilities(model, [part[i].encode() for i in known])
+                places = at + np.array(known)
+                lang[places] = np.array(model.languages, dtype=object)[p.argmax(axis=1)]
+                score[places] = np.clip(p.max(axis=1), 0.0, 1.0)
+        return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score)], ["lang_pred", "score"])
+
+    made = docs.withColumn("_language", F.arrow_udf(predict, kind)("text"))
     return made.withColumns({"lang_pred": F.col("_language.lang_pred"), "score": F.col("_language.score")}).drop("_language")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from math import log2
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
@@ -37,7 +37,7 @@ ALLOWED = re.compile(
     [0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$""",
     re.VERBOSE,
 )
-_ADDRESS = re.compile(r"(?:https?://|www\.)[^\s\"'<>]*$")
+_ADDRESS = re.compile(r"(?:https?:|www\.)[^\s\"'<>]*$")
 
 _TERMS = [0.0] + [n * log2(n) for n in range(1, WINDOW + 1)]
 
@@ -53,11 +53,6 @@ def entropy_spans(candidate: str, least: float, needed: tuple[frozenset, ...]) -
     held = [0] * len(needed)
     total, spans = 0.0, []
     for at, new in enumerate(candidate):
-        n = counts.get(new, 0)
-        counts[new] = n + 1
-        total += _TERMS[n + 1] - _TERMS[n]
-        for i, kind in enumerate(needed):
-            held[i] += new in kind
         if at >= WINDOW:
             old = candidate[at - WINDOW]
             n = counts[old]
@@ -65,6 +60,11 @@ def entropy_spans(candidate: str, least: float, needed: tuple[frozenset, ...]) -
             total += _TERMS[n - 1] - _TERMS[n]
             for i, kind in enumerate(needed):
                 held[i] -= old in kind
+        n = counts.get(new, 0)
+        counts[new] = n + 1
+        total += _TERMS[n + 1] - _TERMS[n]
+        for i, kind in enumerate(needed):
+            held[i] += new in kind
         if at >= WINDOW - 1 and min(held) > 0 and log2(WINDOW) - total / WINDOW >= least:
             start, end = at - WINDOW + 1, at + 1
             if spans and start <= spans[-1][1]:
@@ -109,14 +109,19 @@ _SPANS = ArrayType(
 )
 
 
-@F.pandas_udf(_SPANS)
-def _scan(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: [{"start": s, "end": e, "kind": k} for s, e, k in secret_spans(t)])
+_ARROW_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
+
+
+# Texts become strings one at a time, so a task holds little besides its batch.
+@F.arrow_udf(_SPANS)
+def _scan(texts: pa.Array) -> pa.Array:
+    found = [[{"start": s, "end": e, "kind": k} for s, e, k in secret_spans(t.as_py())] for t in texts]
+    return pa.array(found, _ARROW_SPANS)
 
 
-@F.pandas_udf(StringType())
-def _redact(texts: pd.Series) -> pd.Series:
-    return texts.map(redacted)
+@F.arrow_udf(StringType())
+def _redact(texts: pa.Array) -> pa.Array:
+    return pa.array([redacted(t.as_py()) for t in texts], pa.string())
 
 
 def redacted(text: str | None) -> str | None:

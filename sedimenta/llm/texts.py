@@ -55,7 +55,7 @@ class RollingHash:
         return mixed((self._sums[length:] - self._sums[:n]) * self._down[:n])
 
 
-def slices(texts: Sequence[bytes], most: int = 1_000_000) -> Iterator[range]:
+def slices(texts: Sequence[bytes], most: int = 250_000) -> Iterator[range]:
     """Runs of texts of about ``most`` bytes; a longer text is a run of its own."""
     start = size = 0
     for i, text in enumerate(texts):

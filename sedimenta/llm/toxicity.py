@@ -10,6 +10,7 @@ from math import log
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -219,9 +220,10 @@ def fit_toxicity(
                 seen.update(own)
                 if toxic:
                     bad.update(own)
-            yield pd.DataFrame({"word": list(bad), "n": [seen[w] for w in bad], "bad": list(bad.values())})
-            rest = [w for w in seen if w not in bad]
-            yield pd.DataFrame({"word": rest, "n": [seen[w] for w in rest], "bad": 0})
+            if seen:
+                yield pd.DataFrame(
+                    {"word": list(seen), "n": list(seen.values()), "bad": [bad.get(w, 0) for w in seen]}
+                )
 
     total = train.agg(F.count(F.lit(1)), F.sum(F.when(F.col("toxic") != 0, 1).otherwise(0))).first()
     n_docs, n_bad = total[0], total[1] or 0
@@ -261,7 +263,7 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, name: str = "score")
     text without matches.  All other columns and repeated rows stay.
     """
 
-    def scored(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: model.score(model.features(t)))
+    def scored(text: pa.Array) -> pa.Array:
+        return pa.array([model.score(model.features(t.as_py())) for t in text], pa.float64())
 
-    return docs.withColumn(name, F.pandas_udf(scored, DoubleType())("text"))
+    return docs.withColumn(name, F.arrow_udf(scored, DoubleType())("text"))
