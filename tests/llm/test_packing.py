@@ -34,6 +34,19 @@ def test_fullest_is_the_best_sum():
         assert sum(k * n for k, n in chosen.items()) == max(sums)
 
 
+def best_fit_decreasing(counts, capacity):
+    room = Counter()
+    for length in sorted(counts.elements(), reverse=True):
+        fitting = [r for r in room if r >= length]
+        best = min(fitting, default=capacity)
+        if fitting:
+            room[best] -= 1
+            if not room[best]:
+                del room[best]
+        room[best - length] += 1
+    return room.total()
+
+
 def test_patterns_use_every_piece_once():
     counts = Counter(random.Random(2).choices(range(1, 200), k=5000))
     patterns = bin_patterns(counts, 200)
@@ -43,7 +56,7 @@ def test_patterns_use_every_piece_once():
         for k, n in pattern.items():
             used[k] += n * times
     assert used == counts
-    assert sum(t for _, t in patterns) <= -(-sum(k * n for k, n in counts.items()) // 200) + 1
+    assert sum(t for _, t in patterns) <= best_fit_decreasing(counts, 200)
 
 
 def check(out, rows, longest):
