@@ -67,6 +67,7 @@ class TableConfig:
 
     @classmethod
     def from_row(cls, row: Mapping[str, Any]) -> TableConfig:
+        """The row's column names are fixed values of the settings table."""
         return cls(
             name=row["silver_table_name"],
             keys=parse_columns(row["primary_key_columns"]),
@@ -154,6 +155,8 @@ class Rule:
     def from_row(
         cls, row: Mapping[str, Any], parent: str | None = None, parent_column: str | None = None
     ) -> Rule:
+        """A referential row names its parent in ``parent_table_name`` and
+        ``parent_column_name``; arguments take precedence."""
         return cls(
             rule_id=row["rule_id"],
             rule_type=row["rule_type"],

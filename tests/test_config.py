@@ -39,6 +39,9 @@ def test_rules():
     rule = Rule.from_row(
         {"rule_id": "R", "rule_type": "NULL_CHECK", "rule_expression": "a IS NOT NULL", "severity": None, "is_active": "0"}
     )
+    row = {"rule_id": "R", "rule_type": "REF_INTEGRITY", "rule_expression": "ignored", "column_name": "a"}
+    found = Rule.from_row({**row, "parent_table_name": "p", "parent_column_name": "b"})
+    assert (found.parent, found.parent_column, found.expression) == ("p", "b", None)
     assert rule.severity == SKIP_ROW and not rule.is_active and active([rule]) == []
     with pytest.raises(ValueError):
         Rule("R", "NULL_CHECK", expression="a", severity="LOUD")

@@ -48,6 +48,7 @@ from workload.registry import query
 # Fixed value: the address pattern of the e-mail rule.
 EMAIL_PATTERN = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 
+# The rule ids below.
 EMAIL_PRESENT = Rule("DQ-N-001", NULL_CHECK, "email", "email IS NOT NULL", ERROR)
 EMAIL_FORMAT = Rule("DQ-F-001", FORMAT_CHECK, "email", f"email RLIKE r'{EMAIL_PATTERN}'")
 BALANCE_POSITIVE = Rule("DQ-V-001", RANGE_CHECK, "balance", "balance > 0")
