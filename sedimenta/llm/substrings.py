@@ -131,16 +131,21 @@ def equal_strings(text: np.ndarray, begin: np.ndarray, anchor: np.ndarray, windo
     residue = (nth - anchor[content]) % PERIOD
     shift = _SHIFT[residue]
     target = place + shift
-    sample = np.unique(target)
+    covered = np.zeros(len(text) + 1, np.int64)
+    covered[target] = 1
+    sample = np.flatnonzero(covered)
     bytes_here = _words(text, sample, length, -(-length // 8))
     by_bytes = np.lexsort(bytes_here.T[::-1])
     ordered = bytes_here[by_bytes]
     # Per depth that some residue needs: the class of each covered position's first bytes.
-    at = np.searchsorted(sample, target)
+    at = np.cumsum(covered)[target] - 1
     klass = np.empty(total, np.int64)
-    for s in np.unique(shift):
+    for s in range(int(_SHIFT.max()) + 1):
+        here = shift == s
+        if not here.any():
+            continue
         changes = np.zeros(len(sample), bool)
-        depth = length - int(s)
+        depth = length - s
         for k in range(ordered.shape[1]):
             used = min(8, max(0, depth - 8 * k))
             if used:
@@ -148,16 +153,18 @@ def equal_strings(text: np.ndarray, begin: np.ndarray, anchor: np.ndarray, windo
                 changes[1:] |= word[1:] != word[:-1]
         number = np.empty(len(sample), np.int64)
         number[by_bytes] = np.cumsum(changes)
-        here = shift == s
         klass[here] = number[at[here]]
-    head = _words(text, place, shift, 1)[:, 0]
-    order = np.lexsort((klass, residue, head))
+    # The few bytes leave the low bits free for the residue.
+    head = _words(text, place, shift, 1)[:, 0] | residue.astype(_U)
+    by_head = np.argsort(head)
+    ordered_head = head[by_head]
+    rank = np.zeros(total, np.int64)
+    rank[by_head[1:]] = np.cumsum(ordered_head[1:] != ordered_head[:-1])
+    both = (rank << 32) | klass  # a block holds fewer than 2**31 of either
+    order = np.argsort(both)
+    both = both[order]
     new = np.ones(total, bool)
-    for key in (head, residue, klass):
-        k = key[order]
-        same = k[1:] == k[:-1]
-        new[1:] = same if key is head else new[1:] & same
-    new[1:] = ~new[1:]
+    new[1:] = both[1:] != both[:-1]
     return order, new
 
 
