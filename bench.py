@@ -51,6 +51,8 @@ HEADLINE = (
     "dlq_summary",
     "star_build",
 )
+# Two builds of the whole star with their writes: timed once, after all others.
+ONCE = ("star_build",)
 
 
 def run(spark, name: str, sf_dir: str) -> float:
@@ -69,8 +71,10 @@ def main() -> None:
     )
     seconds = {}
     for name in HEADLINE:
-        run(spark, name, sf_dir)  # warm-up: class loading and code generation
-        seconds[name] = round(statistics.median(run(spark, name, sf_dir) for _ in range(runs)), 3)
+        if name not in ONCE:
+            run(spark, name, sf_dir)  # warm-up: class loading and code generation
+        times = 1 if name in ONCE else runs
+        seconds[name] = round(statistics.median(run(spark, name, sf_dir) for _ in range(times)), 3)
     spark.stop()
     print(
         json.dumps(
