@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right, insort
 from math import log2
 
 import pyarrow as pa
@@ -37,6 +38,9 @@ ALLOWED = re.compile(
     [0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$""",
     re.VERBOSE,
 )
+#: What stands beside a span without being part of a secret.
+_WORD = r"(?:[A-Z]?[a-z]+|[A-Z]+)"
+_WORDS = re.compile(rf"{_WORD}?(?:[+/_=-]+{_WORD})*[+/_=-]*")
 _ADDRESS = re.compile(r"(?:https?:|www\.)[^\s\"'<>]*$")
 
 _TERMS = [0.0] + [n * log2(n) for n in range(1, WINDOW + 1)]
@@ -81,24 +85,52 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The stretches that ``spans`` cover, disjoint and in order."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
+def uncovered(start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The stretches of ``start`` to ``end`` outside ``taken`` (disjoint and in order)."""
+    out = []
+    first = max(0, bisect_left(taken, (start,)) - 1)
+    for a, b in taken[first : bisect_right(taken, (end,))]:
+        if b <= start:
+            continue
+        if a > start:
+            out.append((start, min(a, end)))
+        start = b
+    if start < end:
+        out.append((start, end))
+    return out
+
+
 def secret_spans(text: str | None) -> list[tuple[int, int, str]]:
     """All spans ``(start, end, kind)`` in code points, by start, then kind as listed.
 
-    Base spans always stay; an entropy span is added where it overlaps none of
-    them and its candidate is not on the allow list.
+    Base spans always stay; of an entropy span, the stretches outside them and outside
+    earlier ones are added, unless they are words, if its candidate is not on the
+    allow list.
     """
     text = text or ""
     found = base_spans(text)
-    taken = [(s, e) for s, e, _ in found]
+    taken = merged([(s, e) for s, e, _ in found])
     for kind, candidates, least, needed in CLASSES:
         for m in candidates.finditer(text):
             if ALLOWED.match(m[0]) or _ADDRESS.search(text, max(0, m.start() - 200), m.start()):
                 continue
             for s, e in entropy_spans(m[0], least, needed):
-                s, e = s + m.start(), e + m.start()
-                if all(e <= a or b <= s for a, b in taken):
-                    found.append((s, e, kind))
-                    taken.append((s, e))
+                whole = (s + m.start(), e + m.start())
+                for s, e in uncovered(*whole, taken):
+                    if (s, e) == whole or not _WORDS.fullmatch(text, s, e):
+                        found.append((s, e, kind))
+                        insort(taken, (s, e))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 
