@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 # The base kinds, in order, with their patterns and least lengths.
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_mixed")
+KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_mixed", "entropy_lower", "entropy_upper")
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
     re.IGNORECASE | re.ASCII,
@@ -29,6 +29,8 @@ _LOWER, _UPPER, _DIGIT = (frozenset(s) for s in ("abcdefghijklmnopqrstuvwxyz", "
 CLASSES = (
     ("entropy_hex", re.compile(r"(?<![A-Za-z0-9])[0-9A-Fa-f]{20,}(?![A-Za-z0-9])"), 3.0, (_DIGIT, _LOWER | _UPPER)),
     ("entropy_mixed", re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 3.6, (_DIGIT, _LOWER, _UPPER)),
+    ("entropy_lower", re.compile(r"[a-z0-9]{20,}"), 3.5, (_DIGIT, _LOWER)),
+    ("entropy_upper", re.compile(r"[A-Z0-9]{20,}"), 3.4, (_DIGIT, _UPPER)),
 )
 #: Candidates that are no secrets: addresses and paths, numbered identifiers,
 #: alphabets and counting strings, and placeholders.

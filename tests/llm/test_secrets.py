@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -101,3 +102,25 @@ def test_a_key_joined_to_another_span_is_found(base):
 def test_words_beside_a_span_stay():
     assert secret_spans("my_token=abcdef123") == [(3, 18, "assign")]
     assert redacted("build/4f3c2b1a9e8d7c6b5a4f3c2b/Debug-Out") == "build/[SECRET]/Debug-Out"
+
+
+@pytest.mark.parametrize(
+    ("alphabet", "kind"),
+    [
+        ("abcdefghijklmnopqrstuvwxyz0123456789", "entropy_lower"),
+        ("abcdefghijklmnopqrstuvwxyz234567", "entropy_lower"),
+        ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "entropy_upper"),
+        ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "entropy_upper"),
+    ],
+)
+def test_random_strings_of_one_case_and_digits_are_found(alphabet, kind):
+    pick = random.Random(alphabet)
+    for n in (24, 32, 64):
+        keys = ["".join(pick.choices(alphabet, k=n)) for _ in range(200)]
+        found = [secret_spans(f"the {key} key") for key in keys]
+        assert sum([s[2] for s in spans] == [kind] for spans in found) >= 196
+        assert sum("[SECRET]" in redacted(f"key_{key}/x") for key in keys) >= 196
+
+
+def test_low_entropy_strings_of_one_case_and_digits_are_none():
+    assert secret_spans("aaaabbbbcccc11112222 AAAABBBBCCCC11112222 internationalization") == []
