@@ -32,18 +32,31 @@ CLASSES = (
     ("entropy_lower", re.compile(r"[a-z0-9]{20,}"), 3.5, (_DIGIT, _LOWER)),
     ("entropy_upper", re.compile(r"[A-Z0-9]{20,}"), 3.4, (_DIGIT, _UPPER)),
 )
-#: Candidates that are no secrets: addresses and paths, numbered identifiers,
-#: alphabets and counting strings, and placeholders.
+#: Shortest run of neighbouring letters or digits that counts as an alphabet or counting string.
+_COUNTING = 8
+
+
+def _counting(signs: str) -> str:
+    """A pattern for runs of neighbours in ``signs``."""
+    runs = []
+    for i in range(len(signs) - _COUNTING + 1):
+        more = "".join(f"(?:{c}" for c in signs[i + _COUNTING :]) + ")?" * (len(signs) - i - _COUNTING)
+        runs.append(signs[i : i + _COUNTING] + more)
+    return "|".join(runs)
+
+
+#: What in a candidate is no part of a secret: placeholders, alphabets and counting
+#: strings, and numbered identifiers.
 ALLOWED = re.compile(
-    r"""[a-z]+(?:[/_-][a-z]+)+/?$ | .*(?:example|sample|placeholder|changeme|dummy|xxxx|0{8}) |
-    .*(?:abcdefgh|ABCDEFGH|01234567|12345678) |
-    [0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$""",
-    re.VERBOSE,
+    "example|sample|placeholder|changeme|dummy|x{4,}|0{8,}"
+    f"|{_counting('abcdefghijklmnopqrstuvwxyz')}|{_counting('ABCDEFGHIJKLMNOPQRSTUVWXYZ')}|{_counting('01234567890')}"
+    "|(?<![A-Za-z0-9])[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}(?![A-Za-z0-9])"
 )
+#: An address: user info (not exempt), host and path; a query or fragment may follow.
+_ADDRESS = re.compile(r"""(?:https?:/*|www\.)(?P<user>[^\s"'<>/?\#@]*(?:@[^\s"'<>/?\#@]*)*@)?[^\s"'<>?\#]*""")
 #: What stands beside a span without being part of a secret.
 _WORD = r"(?:[A-Z]?[a-z]+|[A-Z]+)"
 _WORDS = re.compile(rf"{_WORD}?(?:[+/_=-]+{_WORD})*[+/_=-]*")
-_ADDRESS = re.compile(r"(?:https?:|www\.)[^\s\"'<>]*$")
 
 _TERMS = [0.0] + [n * log2(n) for n in range(1, WINDOW + 1)]
 
@@ -113,26 +126,47 @@ def uncovered(start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[
     return out
 
 
+def addresses(text: str) -> list[tuple[int, int]]:
+    """Host and path of each address in ``text``, in order."""
+    out = []
+    for m in _ADDRESS.finditer(text):
+        if m["user"]:
+            out += [(m.start(), m.start("user")), (m.end("user"), m.end())]
+        else:
+            out.append(m.span())
+    return out
+
+
+def judged_spans(text: str, start: int, end: int, least: float, needed: tuple[frozenset, ...]) -> list[tuple[int, int]]:
+    """Entropy spans of ``text`` from ``start`` to ``end``, as if what the allow list
+    matches there weren't in it."""
+    allowed = [m.span() for m in ALLOWED.finditer(text, start, end)]
+    if not allowed:
+        return [(start + s, start + e) for s, e in entropy_spans(text[start:end], least, needed)]
+    places = [i for a, b in uncovered(start, end, allowed) for i in range(a, b)]
+    found = entropy_spans("".join([text[i] for i in places]), least, needed)
+    return [(places[s], places[e - 1] + 1) for s, e in found]
+
+
 def secret_spans(text: str | None) -> list[tuple[int, int, str]]:
     """All spans ``(start, end, kind)`` in code points, by start, then kind as listed.
 
     Base spans always stay; of an entropy span, the stretches outside them and outside
-    earlier ones are added, unless they are words, if its candidate is not on the
-    allow list.
+    earlier ones are added, unless they are words.  Host and path of addresses and
+    what the allow list matches are no part of a candidate; all else of it is.
     """
     text = text or ""
     found = base_spans(text)
     taken = merged([(s, e) for s, e, _ in found])
+    exempt = addresses(text)
     for kind, candidates, least, needed in CLASSES:
         for m in candidates.finditer(text):
-            if ALLOWED.match(m[0]) or _ADDRESS.search(text, max(0, m.start() - 200), m.start()):
-                continue
-            for s, e in entropy_spans(m[0], least, needed):
-                whole = (s + m.start(), e + m.start())
-                for s, e in uncovered(*whole, taken):
-                    if (s, e) == whole or not _WORDS.fullmatch(text, s, e):
-                        found.append((s, e, kind))
-                        insort(taken, (s, e))
+            for start, end in uncovered(*m.span(), exempt):
+                for whole in judged_spans(text, start, end, least, needed):
+                    for s, e in uncovered(*whole, taken):
+                        if (s, e) == whole or not _WORDS.fullmatch(text, s, e):
+                            found.append((s, e, kind))
+                            insort(taken, (s, e))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 

@@ -124,3 +124,34 @@ def test_random_strings_of_one_case_and_digits_are_found(alphabet, kind):
 
 def test_low_entropy_strings_of_one_case_and_digits_are_none():
     assert secret_spans("aaaabbbbcccc11112222 AAAABBBBCCCC11112222 internationalization") == []
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        f"config/example/{MIXED}",
+        f"sample_{MIXED}",
+        f"{MIXED}-xxxx-12345678",
+        "k aB3dE9fGh2Jksample4NpQ7rSx8Uv k",
+        f"id 550E8400-e29b-41d4-a716-44665544ffff/{MIXED}",
+        f"https://host/x?sig={MIXED}&a=b",
+        f"https://host/x#{MIXED}",
+        f"https://user:{MIXED}@host/path",
+        f"https://{MIXED}@host/path",
+    ],
+)
+def test_only_the_allowed_part_is_exempt(text):
+    key = "aB3dE9fGh2Jksample4NpQ7rSx8Uv" if "Jks" in text else MIXED
+    at = text.index(key)
+    assert any(s <= at and at + len(key) <= e for s, e, _ in secret_spans(text)), text
+    assert key not in redacted(text)
+
+
+def test_addresses_and_alphabets_are_none_wherever_they_stand():
+    for n in (10, 150, 250, 5000):
+        assert secret_spans(f"see https://host/{'a-b/' * (n // 4)}{MIXED} now") == []
+        assert len(secret_spans(f"see https://host/{'a-b/' * (n // 4)}?{MIXED} now")) == 1
+    assert secret_spans(f"www.host.org/{MIXED}/x https://u@host:80/{MIXED}") == []
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    assert secret_spans(f"{upper}{upper.lower()}0123456789+/ {upper}234567 {upper.lower()}1234567890") == []
+    assert secret_spans("id 550E8400-e29b-41d4-a716-44665544ffff") == []
