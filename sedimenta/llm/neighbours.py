@@ -180,34 +180,50 @@ def _fitting(values: np.ndarray, unit: float) -> np.ndarray:
     return np.ascontiguousarray(values / unit, dtype=np.float32)
 
 
-_INDEX = "dim int, rb int, unit double, ids binary, vectors binary, sizes array<int>, links binary"
+_INDEX = "dim int, rb int, unit double, ids binary, copies binary, counts array<int>, vectors binary, sizes array<int>, links binary"
 
 
 def vector_index(vectors: DataFrame, k: int, shard_rows: int = 4096) -> tuple[DataFrame, int]:
     """A graph per shard as one row of flat arrays, in the shared folder, and the
     number of shards.
 
-    Every row that can be in a result is indexed: of equal vectors, the ``k + 1``
-    smallest ids (more could never be among ``k`` results, ties going to smaller
-    ids).  ``vectors`` has ``vec_id``, ``dim`` and ``v`` (doubles).
+    A node is a distinct vector; its members are the rows that hold it.  Every row that
+    can be in a result is a member: a query leaves out its own id only, so of
+    equal vectors the ``k + 1`` smallest distinct ids, each with up to ``k`` of its
+    rows, hold the ``k`` smallest rows for any query (ties going to smaller ids).
+    ``vectors`` has ``vec_id``, ``dim`` and ``v`` (doubles).
     """
+    rows = vectors.groupBy("v", "vec_id").agg(F.count(F.lit(1)).alias("_copies"))
     same = Window.partitionBy("v").orderBy("vec_id")
-    kept = vectors.withColumn("_n", F.row_number().over(same)).filter(F.col("_n") <= k + 1).drop("_n")
-    kept = stored(kept, "vectors")
-    dealt, n = blocked(kept, "rb", shard_rows, kept.count())
+    kept = rows.withColumn("_n", F.row_number().over(same)).filter(F.col("_n") <= k + 1)
+    member = F.struct("vec_id", F.least("_copies", F.lit(k)).cast("int").alias("copies"))
+    nodes = kept.groupBy("v").agg(F.sort_array(F.collect_list(member)).alias("_members"))
+    nodes = nodes.select(
+        F.col("_members")[0]["vec_id"].alias("vec_id"),
+        F.size("v").alias("dim"),
+        "v",
+        F.col("_members.vec_id").alias("ids"),
+        F.col("_members.copies").alias("copies"),
+    )
+    nodes = stored(nodes, "vectors")
+    dealt, n = blocked(nodes, "rb", shard_rows, nodes.count())
 
     def build(shard: pa.Table) -> pa.Table:
-        ids, values = shard.column("vec_id").to_numpy(), matrix(shard, "v")
-        heights = _levels(ids)
-        order = np.lexsort((ids, -heights))
-        ids, values, heights = ids[order], values[order], heights[order]
+        first, values = shard.column("vec_id").to_numpy(), matrix(shard, "v")
+        heights = _levels(first)
+        order = np.lexsort((first, -heights))
+        values, heights = values[order], heights[order]
         unit = float(np.abs(values).max(initial=0)) or 1.0
         graph = Graph.built(_fitting(values, unit), heights)
+        members = shard.select(["ids", "copies"]).take(pa.array(order))
+        ids, copies = (members.column(c).combine_chunks() for c in ("ids", "copies"))
         row = {
             "dim": shard.column("dim")[:1].cast(pa.int32()),
             "rb": shard.column("rb")[:1].cast(pa.int32()),
             "unit": pa.array([unit]),
-            "ids": pa.array([ids.astype("<i8").tobytes()], pa.binary()),
+            "ids": pa.array([ids.flatten().to_numpy().astype("<i8").tobytes()], pa.binary()),
+            "copies": pa.array([copies.flatten().to_numpy().astype("<i4").tobytes()], pa.binary()),
+            "counts": pa.array([ids.value_lengths().to_pylist()], pa.list_(pa.int32())),
             "vectors": pa.array([values.astype("<f8").tobytes()], pa.binary()),
             "sizes": pa.array([[len(level) for level in graph.levels]], pa.list_(pa.int32())),
             "links": pa.array([b"".join(level.astype("<i4").tobytes() for level in graph.levels)], pa.binary()),
@@ -217,27 +233,38 @@ def vector_index(vectors: DataFrame, k: int, shard_rows: int = 4096) -> tuple[Da
     return stored(dealt.groupBy("dim", "rb").applyInArrow(build, _INDEX), "graphs"), n
 
 
-def _opened(row: dict) -> tuple[np.ndarray, np.ndarray, Graph, float]:
-    ids = np.frombuffer(row["ids"], "<i8")
-    values = np.frombuffer(row["vectors"], "<f8").reshape(len(ids), -1)
+def _opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Graph, float]:
+    ids, copies = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["copies"], "<i4")
+    starts = np.concatenate([[0], np.cumsum(row["counts"], dtype=np.int64)])
+    values = np.frombuffer(row["vectors"], "<f8").reshape(len(row["counts"]), -1)
     flat, levels, at = np.frombuffer(row["links"], "<i4"), [], 0
     for i, size in enumerate(row["sizes"]):
         width = UPPER_LINKS if i else GROUND_LINKS
         levels.append(flat[at : at + size * width].reshape(size, width))
         at += size * width
-    return ids, values, Graph(_fitting(values, row["unit"]), levels), row["unit"]
+    return ids, copies, starts, values, Graph(_fitting(values, row["unit"]), levels), row["unit"]
+
 
+def nearest(ids: np.ndarray, copies: np.ndarray, starts: np.ndarray, values: np.ndarray, graph: Graph, unit: float, query_ids: np.ndarray, queries: np.ndarray, k: int, beam: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each query: its id, and ids and exact distances of the ``k`` nearest found.
 
-def nearest(ids: np.ndarray, values: np.ndarray, graph: Graph, unit: float, query_ids: np.ndarray, queries: np.ndarray, k: int, beam: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query: its id, and ids and exact distances of the ``k`` nearest found."""
+    Node ``i`` has the members ``starts[i]`` to ``starts[i + 1]`` of ``ids``, each
+    ``copies`` times.
+    """
+    lengths = np.diff(starts)
     for at in range(0, len(queries), _TOGETHER):
         found = graph.search(_fitting(queries[at : at + _TOGETHER], unit), beam)
-        for own, query, rows in zip(query_ids[at:], queries[at:], found, strict=False):
-            rows = rows[rows >= 0]
-            rows = rows[ids[rows] != own]
-            gap = values[rows] - query
+        for own, query, nodes in zip(query_ids[at:], queries[at:], found, strict=False):
+            nodes = nodes[nodes >= 0]
+            gap = values[nodes] - query
             exact = np.sqrt((gap * gap).sum(axis=1))
+            n = lengths[nodes]
+            rows = np.repeat(starts[nodes] - (n.cumsum() - n), n) + np.arange(n.sum())
+            exact = np.repeat(exact, n)
+            other = ids[rows] != own
+            rows, exact = rows[other], exact[other]
             order = np.lexsort((ids[rows], exact))[:k]
+            order = np.repeat(order, copies[rows[order]])[:k]
             yield own, ids[rows[order]], exact[order]
 
 

@@ -86,6 +86,18 @@ def test_neighbours_with_many_equal_vectors(spark):
     assert {r.score for r in found} == {0.0}
 
 
+def test_neighbours_with_repeated_ids_among_equal_vectors(spark):
+    base = [(i, [float(x) for x in v]) for i, v in enumerate(vectors(60, 8), 1)]
+    for repeats in (2, 11, 40):
+        group = [(i, base[0][1]) for i in [100] * repeats + list(range(101, 116)) + [103] * 4 + [200] * 3]
+        rows = base + group
+        found = nearest_neighbours(table(spark, rows), F.col("vec_id") % 100 == 0, shard_rows=32).orderBy("query_id", "rank").collect()
+        wanted = brute_distances(rows, 100)
+        assert sorted(wanted) == [100, 200]
+        for q, ids in wanted.items():
+            assert [r.vec_id for r in found if r.query_id == q] == ids
+
+
 def test_neighbours_edge_cases(spark):
     good = [(0, [1.0, 2.0]), (1, [0.5, 0.25]), (2, [-1.0, 3.0]), (3, [1e200, 1.0])]
     bad = [(4, None), (5, [0.0, 0.0]), (6, [None, 1.0]), (7, [float("nan"), 1.0]), (8, [float("inf"), 0.0]), (100, [1.0])]
