@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sedimenta.llm.carried import quoted, unused
 from sedimenta.llm.jaccard import one_of_each
 from sedimenta.llm.mixing import mixed_rows
 from sedimenta.llm.packing import pack_documents
@@ -17,8 +18,9 @@ from sedimenta.session import stored
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the grammar scores as toxic go.  Learns from labels only where
     they aren't held out."""
-    scored = toxicity_scores(docs, toxicity_model(spark, docs, sf_dir), "_toxicity")
-    return scored.filter(F.col("_toxicity") < TOXIC).select(*docs.columns)
+    name = unused("_toxicity", docs.columns)
+    scored = toxicity_scores(docs, toxicity_model(spark, docs, sf_dir), name)
+    return scored.filter(F.col(name) < TOXIC).select(*map(quoted, docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

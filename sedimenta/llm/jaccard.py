@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from sedimenta.llm.carried import packed, unpacked
 from sedimenta.llm.components import components
 from sedimenta.llm.texts import mixed, shingle_sets
 from sedimenta.session import stored
@@ -406,6 +407,7 @@ def one_of_each(
         return pa.array(np.concatenate(ids))
 
     kept = kept.select(F.col("doc_id").alias("_d"), F.col("sid").alias("_s"))
-    have = docs.withColumn("_sid", F.arrow_udf(named, LongType())("text"))
+    # The caller's columns go along as one, so that none has a name used here.
+    have = docs.select("doc_id", packed(docs.columns), F.arrow_udf(named, LongType())("text").alias("_sid"))
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_sid") == F.col("_s"))
-    return have.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_sid"]).select(*docs.columns)
+    return have.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_sid"]).select(*unpacked(docs.columns))

@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimenta.llm.carried import packed, quoted, unpacked
 from sedimenta.session import stored
 
 _EXACT = "decimal(38,12)"
 _POSITION_BITS = 33
+_READ, _ADDED = ("doc_id", "text", "source"), ("size", "source_size", "target", "copies")
 
 
 def word_count(text: Column) -> Column:
@@ -74,14 +76,29 @@ def mix_sources(
     NULL and blank texts have size 0 and take part like others; a source of size 0
     has target 0 and is never taken.  Repeated rows are rows of their own.  An
     empty table gives an empty result.  Needs ``doc_id``, ``text``, ``source``;
-    further columns pass through, but names this adds or ones with a leading
-    underscore of its own are refused.
+    further columns pass through, whatever their names; only the four names that this
+    adds are refused, as the result would have them twice (:func:`mixed_rows` takes them too).
     """
-    own = ("size", "source_size", "target", "copies", "_k", "_source", "_hash", "_tie", "_slot", "_part", "_e", "_base", "_sum", "_in", "_w", "_most", "_stop", "_level")
-    clash = sorted({c.lower() for c in docs.columns} & set(own))
+    names = list(docs.columns if keep is None else keep)
+    clash = sorted({c.lower() for c in names} & set(_ADDED))
     if clash:
         raise ValueError(f"columns this operator adds are there already: {clash}")
-    names = list(docs.columns if keep is None else keep)
+    return _mixed(docs, weights, share, most, seed, names).select(*_carried(names), *_ADDED)
+
+
+def _carried(names: Sequence[str]) -> list[Column]:
+    """The columns ``names`` from a frame of :func:`_mixed`."""
+    others = [n for n in names if n.lower() not in _READ]
+    whole = dict(zip(others, unpacked(others), strict=True))
+    return [whole.get(n, F.col(quoted(n))) for n in names]
+
+
+def _mixed(docs: DataFrame, weights: Sequence[int], share: float, most: float, seed: str, keep: Sequence[str]) -> DataFrame:
+    """What :func:`mix_sources` adds, beside the columns ``keep``: those that it reads
+    under their names, all others in one struct, so that no name clashes."""
+    others = [n for n in keep if n.lower() not in _READ]
+    names = [n for n in keep if n.lower() in _READ] + ["_row"] * bool(others)
+    docs = docs.select(*_READ, *([packed(others)] if others else []))
     # A key without NULL, so that joins and partitions treat NULL as one source.
     key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
     sized = docs.withColumns(
@@ -127,11 +144,13 @@ def mix_sources(
         "target",
         (F.floor("_sum") - F.floor(F.col("_sum") - F.col("_e"))).cast("long").alias("copies"),
     )
-    return placed.join(decided, "_slot").select(*names, "size", "source_size", "target", "copies")
+    return placed.join(decided, "_slot").select(*names, *_ADDED)
 
 
-def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with every row repeated as often as the mix takes it."""
-    mixed = mix_sources(docs, **options)
+def mixed_rows(
+    docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: str = "mix"
+) -> DataFrame:
+    """``docs`` with every row repeated as often as the mix takes it, whatever its columns' names."""
+    mixed = _mixed(docs, weights, share, most, seed, docs.columns)
     copies = F.when(F.col("copies") > 0, F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return mixed.withColumn("copies", F.explode(copies)).select(*docs.columns)
+    return mixed.withColumn("copies", F.explode(copies)).select(*_carried(docs.columns))

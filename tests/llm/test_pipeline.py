@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sedimenta.llm.queries import ORACLES, QUERIES
@@ -54,6 +55,20 @@ def test_each_stage_on_what_the_one_before_kept(spark, tables):
     assert packed.filter("piece = 0").count() == mixed.count()
 
 
+def test_stages_keep_columns_of_any_name(spark, tables):
+    sf_dir, rows = tables
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    own = ["size", "source_size", "target", "Copies", "_k", "_slot", "_sum", "_d", "_s", "_sid", "_row", "_toxicity", "_n", "a.b"]
+    more = docs.select("*", *[F.concat(F.lit(f"{n}:"), "doc_id").alias(n) for n in own])
+    for name in ("toxicity", "n-gram jaccard join", "secret scans", "mixing sources"):
+        plain, out = STAGES[name](spark, docs, sf_dir), STAGES[name](spark, more, sf_dir)
+        assert out.columns == more.columns
+        found = out.collect()
+        assert all(r[n] == f"{n}:{r.doc_id}" for r in found for n in own)
+        assert Counter((r.doc_id, r.text) for r in found) == Counter((r.doc_id, r.text) for r in plain.collect())
+    assert STAGES["best-fit packing"](spark, more, sf_dir).count() == STAGES["best-fit packing"](spark, docs, sf_dir).count()
+
+
 def test_run_is_all_stages(spark, tables):
     sf_dir, _ = tables
     out = corpus_pipeline.run(spark, sf_dir)
