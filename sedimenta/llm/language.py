@@ -235,33 +235,39 @@ def fit_language(
 ) -> LanguageModel | None:
     """Learn from ``text`` and non-NULL ``lang`` of ``docs``; None without any.
 
-    About ``sample_rows`` documents per language are used, chosen by a hash of
-    their text, with ``windows`` stretches of each, evenly spread; this bound is
-    the only sampling.  At most ``most_languages`` (the most frequent) are learned.
+    About ``sample_rows`` different texts per language are used, chosen by a hash,
+    with ``windows`` stretches of each, evenly spread; this bound is the only
+    sampling.  Copies of a text count once.  At most ``most_languages`` (the most frequent) are learned.
     """
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
-        "text", "lang", F.pmod(F.xxhash64("text"), F.lit(1 << 30)).alias("_h")
+        "text", "lang", F.xxhash64("text").alias("_h")
     )
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+    texts = known.select("lang", "_h").distinct()
+    counts = texts.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
     if not counts:
         return None
     languages = sorted(r["lang"] for r in counts)
     limits = {r["lang"]: int((1 << 30) * min(1.0, sample_rows / r["count"])) for r in counts}
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = set()
         for batch in batches:
             out = []
             for text, lang, h in zip(batch["text"], batch["lang"], batch["_h"], strict=True):
-                if h >= limits.get(lang, 0) or not _LETTER.search(text):
+                if h % (1 << 30) >= limits.get(lang, 0) or (lang, h) in seen:
+                    continue
+                seen.add((lang, h))
+                if not _LETTER.search(text):
                     continue
                 data = text.encode()
                 last = max(0, len(data) - TRAIN_STEPS)
                 starts = sorted({last * k // max(1, windows - 1) for k in range(windows)})
-                out += [(data[s : s + TRAIN_STEPS], lang) for s in starts]
-            yield pd.DataFrame(out, columns=["x", "lang"])
+                out.append(([data[s : s + TRAIN_STEPS] for s in starts], lang, h))
+            yield pd.DataFrame(out, columns=["x", "lang", "_h"])
 
-    # Bounded: sample_rows * windows stretches of TRAIN_STEPS bytes per language.
-    rows = known.mapInPandas(cut, "x binary, lang string").orderBy("lang", "x").collect()
+    # Bounded: about sample_rows * windows stretches of TRAIN_STEPS bytes per language.
+    cuts = known.mapInPandas(cut, "x array<binary>, lang string, _h long").dropDuplicates(["lang", "_h"])
+    rows = cuts.select("lang", F.explode("x").alias("x")).orderBy("lang", "x").collect()
     if not rows:
         return None
     languages = sorted({r["lang"] for r in rows})

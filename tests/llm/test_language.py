@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 
+from sedimenta.llm import language
 from sedimenta.llm.language import (
     LanguageModel,
     document_probabilities,
@@ -87,3 +88,17 @@ def test_nothing_to_learn_from(spark):
     assert fit_language(docs) is None
     assert language_predictions(docs, None).first().lang_pred == "und"
     assert language_predictions(docs.limit(0), None).count() == 0
+
+
+def test_copies_of_a_text_are_learned_from_once(spark, monkeypatch):
+    texts = [text("aa", i) for i in range(50)]
+    rows = [(i, t, "aa") for i, t in enumerate([*texts, *texts[:1] * 2000])] + [(9000, texts[0], "bb")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    seen = []
+    monkeypatch.setattr(language, "train", lambda x, y, *_: seen.append((x, y)))
+    fit_language(docs)
+    x, y = seen[0]
+    assert len(x) == sum(min(4, max(1, len(t.encode()) - 63)) for t in [*texts, texts[0]])
+    assert (y == 1).sum() == 4
+    fit_language(docs, sample_rows=20)
+    assert 4 * 5 <= (seen[1][1] == 0).sum() <= 4 * 40
