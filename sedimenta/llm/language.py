@@ -17,8 +17,10 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 _PAD = 256
 #: Bytes of a stretch that the network reads at once, in training and in use.
 TRAIN_STEPS, STEPS = 64, 128
-#: Stretches computed together.
-_BATCH = 4096
+#: Stretches computed together, with many languages fewer: so many probabilities a position.
+_BATCH, _CELLS = 4096, 1 << 18
+#: Stretches of a training batch.
+_TOGETHER = 128
 #: Prediction for texts without any letter.
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -123,9 +125,12 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], units: int, rounds
     by_language = [np.flatnonzero(y == k) for k in range(len(languages))]
     first = [np.zeros_like(w) for w in model.parameters()]
     second = [np.zeros_like(w) for w in model.parameters()]
-    each = max(1, 128 // len(languages))
+    each = max(1, _TOGETHER // len(languages))
+    # More languages than a batch holds take turns.
+    rounds *= -(-len(languages) // _TOGETHER)
     for step in range(1, rounds + 1):
-        rows = np.concatenate([random.choice(own, each) for own in by_language])
+        drawn = range(len(languages)) if len(languages) <= _TOGETHER else random.choice(len(languages), _TOGETHER, replace=False)
+        rows = np.concatenate([random.choice(by_language[k], each) for k in drawn])
         _, grads = train_step(model, x[rows], y[rows])
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
         rate = 0.02 * (1 - step / (rounds + 1)) + 0.001
@@ -199,15 +204,16 @@ def document_probabilities(model: LanguageModel, texts: list[bytes]) -> np.ndarr
     doesn't depend on a text's length.
     """
     totals = np.zeros((len(texts), len(model.languages)))
+    batch = max(1, min(_BATCH, _CELLS // len(model.languages)))
     waiting, owners, held = [], [], 0
 
     def flush() -> None:
         x, owner = np.concatenate(waiting), np.concatenate(owners)
-        for at in range(0, len(x), _BATCH):
-            part = x[at : at + _BATCH]
+        for at in range(0, len(x), batch):
+            part = x[at : at + batch]
             p = position_probabilities(model, part)
             p *= (part.T != _PAD)[:, :, None]
-            np.add.at(totals, owner[at : at + _BATCH], p.sum(axis=0, dtype=np.float64))
+            np.add.at(totals, owner[at : at + batch], p.sum(axis=0, dtype=np.float64))
 
     for i, text in enumerate(texts):
         for start in range(0, len(text), STEPS * _BATCH):
@@ -231,22 +237,20 @@ def fit_language(
     units: int = 8,
     rounds: int = 600,
     seed: int = 7,
-    most_languages: int = 500,
 ) -> LanguageModel | None:
     """Learn from ``text`` and non-NULL ``lang`` of ``docs``; None without any.
 
     About ``sample_rows`` different texts per language are used, chosen by a hash,
     with ``windows`` stretches of each, evenly spread; this bound is the only
-    sampling.  Copies of a text count once.  At most ``most_languages`` (the most frequent) are learned.
+    sampling.  Copies of a text count once.  All languages are learned.
     """
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "text", "lang", F.xxhash64("text").alias("_h")
     )
     texts = known.select("lang", "_h").distinct()
-    counts = texts.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+    counts = texts.groupBy("lang").count().collect()
     if not counts:
         return None
-    languages = sorted(r["lang"] for r in counts)
     limits = {r["lang"]: int((1 << 30) * min(1.0, sample_rows / r["count"])) for r in counts}
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

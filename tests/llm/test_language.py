@@ -102,3 +102,11 @@ def test_copies_of_a_text_are_learned_from_once(spark, monkeypatch):
     assert (y == 1).sum() == 4
     fit_language(docs, sample_rows=20)
     assert 4 * 5 <= (seen[1][1] == 0).sum() <= 4 * 40
+
+
+def test_all_languages_are_learned(spark):
+    names = [f"l{i:03}" for i in range(520)]
+    docs = spark.createDataFrame([(f"text of {n}", n) for n in names for _ in range(2)], "text string, lang string")
+    model = fit_language(docs, rounds=1)
+    assert model.languages == names
+    assert document_probabilities(model, [b"some text", b""]).shape == (2, 520)
