@@ -286,7 +286,7 @@ def nearest_neighbours(
     candidates each, but none for a query of that id; of such queries the least vector stands.
     Empty tables give an empty result.
 
-    Rows are dealt to shards of bounded size by a hash of their id; each shard's
+    Distinct vectors are dealt to shards of bounded size by a hash of id and vector; each shard's
     graph is built in one task and meets each block of queries in one task.
     """
     whole = vectors.filter(

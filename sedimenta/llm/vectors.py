@@ -18,9 +18,9 @@ def usable(vector: str) -> Column:
 
 
 def blocked(vectors: DataFrame, name: str, rows: int, count: int) -> tuple[DataFrame, int]:
-    """Deal rows to ``ceil(count / rows)`` blocks by a hash of their id and the row's values."""
+    """Deal rows to ``ceil(count / rows)`` blocks by a hash of their id and vector ``v``."""
     n = max(1, math.ceil(count / rows))
-    return vectors.withColumn(name, F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")), n
+    return vectors.withColumn(name, F.pmod(F.xxhash64("vec_id", "v"), F.lit(n)).cast("int")), n
 
 
 def matrix(table: pa.Table, name: str) -> np.ndarray:

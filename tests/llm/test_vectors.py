@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.llm.neighbours import nearest_neighbours
 from sedimenta.llm.topk import exact_top_k, search_block, segment_statistics
+from sedimenta.llm.vectors import blocked
 
 SCHEMA = "vec_id long, embedding array<double>, score string"
 
@@ -98,6 +99,14 @@ def test_neighbours_with_repeated_ids_among_equal_vectors(spark):
             assert [r.vec_id for r in found if r.query_id == q] == ids
 
 
+def test_an_id_of_many_vectors_is_dealt_to_all_blocks(spark):
+    rows = [(7, [float(x) for x in v]) for v in vectors(400, 4)]
+    dealt, n = blocked(spark.createDataFrame(rows, "vec_id long, v array<double>"), "rb", 100, len(rows))
+    sizes = [r["count"] for r in dealt.groupBy("rb").count().collect()]
+    assert n == len(sizes) == 4
+    assert max(sizes) <= 150
+
+
 def test_neighbours_edge_cases(spark):
     good = [(0, [1.0, 2.0]), (1, [0.5, 0.25]), (2, [-1.0, 3.0]), (3, [1e200, 1.0])]
     bad = [(4, None), (5, [0.0, 0.0]), (6, [None, 1.0]), (7, [float("nan"), 1.0]), (8, [float("inf"), 0.0]), (100, [1.0])]
