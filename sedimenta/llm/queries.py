@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm.chat import chat_digest, chat_examples
+from sedimenta.llm.filteraudit import audit_filters, failure_masks, labelled
+from sedimenta.llm.infill import fill_in_middle, restored
 from sedimenta.llm.jaccard import similarity_classes
 from sedimenta.llm.language import fit_language, language_predictions
 from sedimenta.llm.mixing import mix_sources
@@ -15,8 +17,10 @@ from sedimenta.llm.neighbours import nearest_neighbours
 from sedimenta.llm.packing import pack_documents
 from sedimenta.llm.secrets import joined_spans, with_secret_spans
 from sedimenta.llm.substrings import repeated_spans
+from sedimenta.llm.tokenfiles import read_token_files, write_token_files
 from sedimenta.llm.topk import exact_top_k
 from sedimenta.llm.toxicity import ToxicityModel, fit_toxicity, toxicity_scores
+from sedimenta.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,10 +30,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def held_out():
@@ -210,3 +214,97 @@ def op5_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@_query()
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = fresh_path(spark, "token-files")
+    write_token_files(docs, tokenizer_path("word_bpe_49k.json"), folder)
+    return read_token_files(spark, folder, docs.schema["doc_id"].dataType.simpleString())
+
+
+@_query(
+    r"""
+    WITH d AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+    ), w AS (
+        SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first FROM d
+    ), f AS (
+        SELECT doc_id, part,
+               CAST(len(words) < 200 AS INT)
+               + 2 * CAST(100 * len(list_distinct(words)) < 50 * len(words) AS INT)
+               + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS INT)
+               + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT)
+               + 16 * CAST(coalesce(first < doc_id, false) AS INT) AS mask
+        FROM w
+    ), l AS (
+        SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id
+    ), c AS (
+        SELECT part, mask, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+        FROM f LEFT JOIN l ON f.doc_id = l.doc_id GROUP BY part, mask
+    ), a AS (
+        SELECT unnest(range(5)) AS i
+    ), p AS (
+        SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM a, a b, a c, a d, a e
+        WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+    ), s AS (
+        SELECT list_transform(o, lambda i: substr('ABCDE', CAST(i + 1 AS INT), 1)) AS letters, k AS step, o[k] AS i,
+               CAST(list_sum(list_transform(o[1:k - 1], lambda j: 1 << j)) AS BIGINT) AS before
+        FROM p, (SELECT CAST(unnest(range(1, 6)) AS INT) AS k)
+    ), r AS (
+        SELECT part, array_to_string(letters, '') AS filter_order, step, i,
+               sum(n) FILTER (mask & (coalesce(before, 0) | (1 << i)) = 0) AS kept,
+               sum(n) FILTER (mask & coalesce(before, 0) = 0 AND mask & (1 << i) <> 0) AS removed,
+               sum(n) FILTER (mask & coalesce(before, 0) <> 0 AND mask & (1 << i) <> 0) AS redundant,
+               sum(n) FILTER (mask = 1 << i) AS unique_fails,
+               sum(good) FILTER (mask & coalesce(before, 0) = 0 AND mask & (1 << i) <> 0) AS good_lost,
+               sum(toxic) FILTER (mask & coalesce(before, 0) = 0 AND mask & (1 << i) <> 0) AS toxic_lost
+        FROM c, s GROUP BY part, letters, step, i
+    )
+    SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+           CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+           CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+           CAST(coalesce(sum(removed) OVER (PARTITION BY part, i), 0) AS BIGINT) AS shapley
+    FROM r
+    """
+)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    masked = labelled(failure_masks(docs, F.col("lang")), _table(spark, sf_dir, "labels"))
+    return audit_filters(masked, {"good_lost": F.col("good"), "toxic_lost": F.col("toxic")})
+
+
+@_query(
+    r"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+    ), u AS (
+        SELECT doc_id, text, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS lines,
+               CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+               CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+        FROM d
+    ), c AS (
+        SELECT *, CAST(len(lines) AS BIGINT) AS n, least(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS a,
+               greatest(h1 % (len(lines) + 1), h2 % (len(lines) + 1)) AS b,
+               CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100
+                    THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+        FROM u
+    ), t AS (
+        SELECT *, coalesce(array_to_string(lines[1:a], ''), '') AS p, coalesce(array_to_string(lines[a + 1:b], ''), '') AS m,
+               coalesce(array_to_string(lines[b + 1:], ''), '') AS s
+        FROM c
+    )
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                            ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM t
+    """
+)
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "fim.*")
+    back = restored(F.col("output"), F.col("form"))
+    digests = [F.sha2(c.cast("binary"), 256).alias(n) for c, n in ((F.col("output"), "output_sha256"), (back, "restored_sha256"))]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
