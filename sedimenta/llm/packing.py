@@ -42,7 +42,7 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=False)
-        letters = _byte_letters()
+        letters = byte_letters()
         ranks = {
             bytes(letters[c] for c in token): rank for token, rank in vocabulary.items() if token not in self._special
         }
@@ -54,7 +54,7 @@ class Encoder:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The letters by which byte-level vocabularies write bytes: printable ones are
     themselves, the others follow from code point 256 on in order."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]

@@ -17,10 +17,11 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from sedimenta.llm.packing import byte_letters
 from sedimenta.llm.prefixcode import PrefixCode, code_lengths
 from sedimenta.session import stored
 
@@ -38,34 +40,53 @@ END_ID = 2
 _MAGIC = b"TOKENS01"
 _TAIL = "<8Q8s"  # code, documents, blocks: place and bytes; ids a block and a checkpoint
 _TOGETHER = 1 << 20  # ids decoded at once; bytes of ids in one batch of a task's output are 16 times that
-_CACHED = 1 << 18  # words a task remembers the ids of
-
-# Fixed value: the settings of the word tokenizer under which a blank always ends a word and is dropped.
-_DROPS_BLANKS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_CACHED = 1 << 19  # words, and pieces of words, that a task remembers the ids of
+
+# The settings of the word tokenizer, under which a blank always ends a word and is dropped.
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SETTINGS = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": _PIECES}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False},
+        ],
+    },
+}
+_NO_MATTER = ("trim_offsets",)  # concerns places, not ids
+# Characters that no normal form changes and whose small letters everyone agrees on.
+_COMMON = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ɏ¡¿«»§°‐-―‘-‟…]*")
 
 
 class WordEncoder:
     """Ids of whole texts by the ``tokenizers`` library, as little-endian bytes.
 
     Where the tokenizer's settings drop blanks and never look across one, each
-    different word is encoded once and its ids are kept; with any other settings, and for long
-    words, the library gets the whole text or word.
+    different word is encoded once and its ids are kept.  A word of common characters
+    is cut as the settings say and the library's model gets its pieces, which are kept as well;
+    any other word goes through the whole library.  With other settings so does every whole text.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the task has one core
+        import regex
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
         settings = json.loads(self._tokenizer.to_str())
-        steps = (settings["pre_tokenizer"] or {}).get("pretokenizers", [{}])
-        self._by_word = (
-            steps[0].get("behavior") == "Removed"
-            and steps[0].get("invert") is True
-            and steps[0].get("pattern") == {"Regex": _DROPS_BLANKS}
-        )
+        kept = {name: settings[name] for name in ("normalizer", "pre_tokenizer")}
+        kept = json.loads(json.dumps(kept), object_hook=lambda d: {k: d[k] for k in d if k not in _NO_MATTER})
+        self._by_word = kept == _SETTINGS
+        self._cut = regex.compile(_PIECES).findall
+        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._letters = {b: c for c, b in byte_letters().items()}
         self.dtype = id_type(self._tokenizer.get_vocab_size())
-        self._known = {"": b""}
+        self._words, self._pieces = _Known(self._word), _Known(self._piece)
 
     def ids(self, text: str) -> bytes:
         if not self._by_word:
@@ -73,20 +94,39 @@ class WordEncoder:
         for blank in "\n\t\r":
             if blank in text:
                 text = text.replace(blank, " ")
-        return b"".join(map(self._word, text.split(" ")))
+        return b"".join(map(self._words.__getitem__, text.split(" ")))
 
     def _word(self, word: str) -> bytes:
-        own = self._known.get(word)
-        if own is None:
-            own = self._encode(word)
-            if len(word) <= 64:
-                if len(self._known) >= _CACHED:
-                    self._known = {"": b""}
-                self._known[word] = own
-        return own
+        if word.isascii() and word.isalpha():
+            return self._pieces[word.lower()]
+        if not _COMMON.fullmatch(word) or any(s in word for s in self._special):
+            return self._encode(word)
+        return b"".join(map(self._pieces.__getitem__, self._cut(word.lower())))
+
+    def _piece(self, piece: str) -> bytes:
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self._letters)
+        return self._packed([token.id for token in self._model.tokenize(letters)])
 
     def _encode(self, text: str) -> bytes:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        return self._packed(self._tokenizer.encode(text, add_special_tokens=False).ids if text else [])
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.dtype.itemsize == 2 else 'I'}", *ids)
+
+
+class _Known(dict):
+    """Values that are found once and kept, short names only and so many of them."""
+
+    def __init__(self, find: Callable[[str], bytes]):
+        self._find = find
+
+    def __missing__(self, name: str) -> bytes:
+        found = self._find(name)
+        if len(name) <= 64:
+            if len(self) >= _CACHED:
+                self.clear()
+            self[name] = found
+        return found
 
 
 def id_type(vocabulary: int) -> np.dtype:

@@ -31,6 +31,15 @@ def test_ids_are_those_of_the_tokenizer(path):
         assert np.frombuffer(encoder.ids(text), encoder.dtype).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_words_of_common_characters_are_cut_as_the_library_does():
+    encoder, tokenizer = WordEncoder(PATH), Tokenizer.from_file(PATH)
+    letters = [chr(c) for c in range(0x21, 0x2030) if tokenfiles._COMMON.fullmatch(chr(c))]
+    words = [a + b for a in letters for b in ("", "s", "É", "1", "'S", ".")] + [b + a for a in letters for b in ("x'", "'", "9", "Ñ")]
+    words += ["<|startoftext|>x", "a<|endoftext|>", "x" * 70 + "é" * 70, "don't'll'd''s", "ⅧA"]
+    for word in words:
+        assert np.frombuffer(encoder.ids(word), encoder.dtype).tolist() == tokenizer.encode(word, add_special_tokens=False).ids, word
+
+
 def test_a_full_memory_of_words_is_emptied(monkeypatch):
     monkeypatch.setattr(tokenfiles, "_CACHED", 5)
     encoder, tokenizer = WordEncoder(PATH), Tokenizer.from_file(PATH)
