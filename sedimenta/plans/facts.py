@@ -78,3 +78,13 @@ def fact_order_lines(
         }
     )
     return conform(with_audit(rows, run_id, {"_created_date": as_of}), FACT_ORDER_LINES)
+
+
+def undated_lines(old: DataFrame | None, lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Next state of the lines without a day: those of the orders given are replaced, others stay."""
+    new = lines.filter(F.col("dim_date_key").isNull())
+    if old is None:
+        return new
+    older = old.filter(F.col("dim_date_key").isNull())
+    kept = older.join(orders.select("order_number").distinct(), "order_number", "left_anti")
+    return kept.select(*new.columns).unionByName(new)

@@ -12,15 +12,10 @@ from sedimenta.functions.columns import date_key
 from sedimenta.operators.merge import replace_where
 from sedimenta.plans import dimensions, facts, snapshots
 from sedimenta.plans.schemas import PARTITIONED_BY, STAR_SCHEMA
-from sedimenta.sinks.tables import (
-    create_database,
-    publish,
-    register_table,
-    replace_partitions,
-    upsert_into_partitions,
-    write_snapshot,
-)
+from sedimenta.sinks.partitions import replace_version, upsert_version
+from sedimenta.sinks.tables import create_database, publish, register_version, write_snapshot
 from sedimenta.sources.tables import dates_between, read_snapshot, snapshot_path
+from sedimenta.sources.versions import is_complete, manifest_path
 
 
 def read_star(spark: SparkSession, root: str, name: str, version: int) -> DataFrame:
@@ -50,22 +45,34 @@ def run_star(
 
     The date dimension spans the days of the orders and of the build before, or
     the days given.  Lines from ``lines_from`` on are replaced; by default from the
-    first day of the orders given.  Every dimension has its unknown member.
+    first day of the orders given.  Orders without a date, and their lines, are kept
+    in a partition without value.  Every dimension has its unknown member.
 
-    With a ``database`` both facts are catalog tables: a build rewrites only the
-    partitions its orders enter or leave, and those of the lines it replaces;
-    the others keep their files.
+    Of facts in folders by one column a build writes only the partitions its orders
+    enter or leave, and those of the lines it replaces; a manifest names the others,
+    which keep their files.  With a ``database`` the facts are published there.
+
+    A build that failed is run again with the same version: tables it had completed
+    are taken as they are.
     """
     spark = silver["orders"].sparkSession
     cluster_by = cluster_by or {}
 
+    def complete(name: str) -> bool:
+        places = (path(f"{root}/{name}", version) for path in (snapshot_path, manifest_path))
+        return any(is_complete(spark, place) for place in places)
+
     def earlier(name: str) -> DataFrame | None:
         return read_star(spark, root, name, version - 1) if version > 1 else None
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        return write_snapshot(
-            df, f"{root}/{name}", version, partition_by.get(name, ()), cluster_by.get(name, ())
-        )
+        if not complete(name):
+            write_snapshot(df, f"{root}/{name}", version, partition_by.get(name, ()), cluster_by.get(name, ()))
+        return read_star(spark, root, name, version)
+
+    def by_folder(name: str) -> bool:
+        """Whether the table's folders are written one by one."""
+        return version > 1 and len(partition_by.get(name, ())) == 1
 
     bounds = silver["orders"].agg(
         F.min("order_date").cast("date").alias("first_day"), F.max("order_date").cast("date").alias("last_day")
@@ -109,34 +116,28 @@ def run_star(
     )
     if lines_from is None:
         lines_from = bounds.select(date_key("first_day")).first()[0] or 0
-    if database and version > 1:
-        upsert_into_partitions(
-            f"{database}.fact_orders", orders, ["order_number"], "dim_date_key", f"{root}/fact_orders", version
-        )
-        replace_partitions(
-            f"{database}.fact_order_lines", lines, "dim_date_key", lines_from, f"{root}/fact_order_lines", version
+    day = "dim_date_key"
+    if by_folder("fact_orders"):
+        (folder,) = partition_by["fact_orders"]
+        upsert_version(
+            orders, ["order_number"], folder, f"{root}/fact_orders", version, schema=STAR_SCHEMA["fact_orders"]
         )
     else:
         write("fact_orders", facts.upsert_orders(earlier("fact_orders"), orders))
-        write(
-            "fact_order_lines",
-            replace_where(earlier("fact_order_lines"), lines, f"dim_date_key >= {lines_from}"),
-        )
-        if database:
-            create_database(spark, database)
-            for name in ("fact_orders", "fact_order_lines"):
-                register_table(
-                    spark,
-                    f"{database}.{name}",
-                    STAR_SCHEMA[name],
-                    snapshot_path(f"{root}/{name}", version),
-                    PARTITIONED_BY[name],
-                )
-
-    def fact(name: str) -> DataFrame:
-        return spark.table(f"{database}.{name}") if database else read_star(spark, root, name, version)
-
-    orders, lines = fact("fact_orders"), fact("fact_order_lines")
+    dated = lines.filter(F.col(day).isNotNull())
+    undated = facts.undated_lines(earlier("fact_order_lines"), lines, silver["orders"])
+    if by_folder("fact_order_lines") and partition_by["fact_order_lines"] == (day,):
+        replace_version(dated, day, lines_from, f"{root}/fact_order_lines", version, without_value=undated)
+    else:
+        older = earlier("fact_order_lines")
+        older = None if older is None else older.filter(F.col(day).isNotNull())
+        write("fact_order_lines", replace_where(older, dated, f"{day} >= {lines_from}").unionByName(undated))
+    if database:
+        create_database(spark, database)
+        for name in ("fact_orders", "fact_order_lines"):
+            publish(spark, f"{database}.{name}", f"{root}/{name}", version)
+
+    orders, lines = (read_star(spark, root, name, version) for name in ("fact_orders", "fact_order_lines"))
     snapshot = write(
         "agg_customer_monthly_snapshot",
         snapshots.customer_monthly_snapshot(orders, days, run_id, as_of),
@@ -156,12 +157,8 @@ def register_star(spark: SparkSession, database: str, root: str, version: int, l
     """Catalog entries for one stored version: the tables as external tables."""
     create_database(spark, database, location)
     for name, schema in STAR_SCHEMA.items():
-        register_table(
-            spark,
-            f"{database}.{name}",
-            schema,
-            snapshot_path(f"{root}/{name}", version),
-            PARTITIONED_BY.get(name, ()),
+        register_version(
+            spark, f"{database}.{name}", schema, f"{root}/{name}", version, PARTITIONED_BY.get(name, ())
         )
 
 

@@ -8,26 +8,32 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampNTZType, TimestampType
 
 from sedimenta.functions.columns import with_audit
-from sedimenta.operators.merge import replace_where, touched_partitions, unique_rows, upsert_touched
+from sedimenta.operators.merge import replace_where
 from sedimenta.session import stored
 from sedimenta.sinks.layout import by_partition, clustered
+from sedimenta.sinks.partitions import partition_value, replace_version, upsert_version
 from sedimenta.sources.tables import read_snapshot, snapshot_path
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
-
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a write to the folder has come to its end."""
-    return _exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+from sedimenta.sources.versions import (
+    NO_VALUE,
+    changed_partitions,
+    folder_of,
+    has_manifest,
+    is_complete,
+    manifest_path,
+    manifest_schema,
+    partition_places,
+    remove_folder,
+)
+
+#: Partitions that one statement adds.
+_TOGETHER = 1000
 
 
 def write_staging(df: DataFrame, root: str, table: str, mode: str, run_id: str) -> str:
@@ -49,8 +55,11 @@ def write_snapshot(
     A folder without its success marker is what a failed write left: it counts as
     absent and is replaced.  A complete version is never written over.
     """
-    schema = df.schema
-    mode = "overwrite" if not is_complete(df.sparkSession, snapshot_path(root, version)) else "errorifexists"
+    schema, spark = df.schema, df.sparkSession
+    if is_complete(spark, manifest_path(root, version)):
+        raise ValueError(f"version {version} of {root} is complete: it is not written over")
+    remove_folder(spark, manifest_path(root, version))  # of a load by partitions that did not end
+    mode = "overwrite" if not is_complete(spark, snapshot_path(root, version)) else "errorifexists"
     df, partition_by = _by_day(df, partition_by)
     if cluster_by:
         # Finding and sampling the ranges reads the state several times.
@@ -118,16 +127,61 @@ def register_table(
     spark: SparkSession, name: str, schema: StructType, path: str, partition_by: Sequence[str] = ()
 ) -> None:
     """An external table over a folder, created once."""
+    _create_table(spark, name, schema, path, partition_by)
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
+
+
+def _create_table(
+    spark: SparkSession, name: str, schema: StructType, path: str, partition_by: Sequence[str]
+) -> None:
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     partitioned = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{partitioned} LOCATION '{path}'")
-    if partition_by:
-        spark.catalog.recoverPartitions(name)
+
+
+def register_version(
+    spark: SparkSession, name: str, schema: StructType, root: str, version: int, partition_by: Sequence[str] = ()
+) -> None:
+    """An external table over one version, wherever its partitions lie.  May be repeated."""
+    path = snapshot_path(root, version)
+    if not has_manifest(spark, root, version):
+        register_table(spark, name, schema, path, partition_by)
+        return
+    _create_table(spark, name, schema, path, partition_by)
+    places = sorted(partition_places(spark, root, version).items())
+    for at in range(0, len(places), _TOGETHER):
+        entries = " ".join(
+            f"PARTITION ({_spec(part)}) LOCATION '{folder_of(root, part, own)}'" for part, own in places[at : at + _TOGETHER]
+        )
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {entries}")
+
+
+def _spec(part: str) -> str:
+    """A partition folder's name as a partition of SQL."""
+    pairs = (piece.split("=", 1) for piece in part.split("/"))
+    return ", ".join(
+        f"`{unquote(k)}` = " + ("NULL" if v == NO_VALUE else "'" + unquote(v).replace("'", "\\'") + "'") for k, v in pairs
+    )
 
 
 def publish(spark: SparkSession, name: str, root: str, version: int) -> None:
-    """Point the readers of ``name`` at one version (a catalog view, replaced in one step)."""
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{snapshot_path(root, version)}`")
+    """Point the readers of ``name`` at one version (a catalog view, replaced in one step).
+
+    A version with a manifest first gets a table of its own, ``name`` and the version; readers
+    move when the view over it is replaced, so they see all partitions of one version or of the other.
+    May be repeated at any time.
+    """
+    if not has_manifest(spark, root, version):
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{snapshot_path(root, version)}`")
+        return
+    schema = manifest_schema(spark, root, version)
+    parts = next(iter(partition_places(spark, root, version)), "")
+    columns = [unquote(piece.split("=", 1)[0]) for piece in parts.split("/") if piece]
+    table = f"{name}_v{version}"
+    register_version(spark, table, schema, root, version, columns)
+    wanted = ", ".join(f"`{n}`" for n in schema.names)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {wanted} FROM {table}")
 
 
 def upsert_into_partitions(
@@ -135,69 +189,57 @@ def upsert_into_partitions(
 ) -> list[int]:
     """Upsert into a registered table, rewriting only the partitions it touches.
 
-    The source is stored once.  The touched partitions are written to a new version
-    folder; then the table's entries are pointed there: existing ones in place, so
-    readers never miss a partition, new ones in one statement, emptied ones dropped.
-    The rest of a large table is neither rewritten nor (but for its keys) read.
+    The next version of the stored table is written by
+    :func:`sedimenta.sinks.partitions.upsert_version`; then the table's entries are
+    pointed at what it changed: existing ones in place, so readers never miss a partition,
+    new ones in one statement, emptied ones dropped.  A run that failed on the way is
+    repeated: a complete version is not written again, and pointing takes up where it ended.
     The partition column holds whole numbers, as date and month keys are.
     Returns the touched partition values.
     """
     spark = source.sparkSession
-    target = spark.table(table)
-    source = stored(unique_rows(source.select(*target.columns), keys), "batch")
-    # One value per touched partition: the catalog entries are driver work anyway.
-    touched = [row[0] for row in touched_partitions(target, source, keys, partition).collect()]
-    folder = snapshot_path(root, version)
-    mode = "errorifexists" if is_complete(spark, folder) else "overwrite"
-    state = upsert_touched(target, source, keys, partition, touched)
-    by_partition(state, [partition]).write.mode(mode).partitionBy(partition).parquet(folder)
+    upsert_version(_with_partition(source, partition), keys, partition, root, version, schema=spark.table(table).schema)
+    return _point_at(spark, table, root, version)
+
 
-    _point_at(spark, table, partition, folder, touched)
-    return touched
+def _with_partition(rows: DataFrame, partition: str) -> DataFrame:
+    message = F.lit(f"rows without a {partition} have no partition to be written to")
+    value = F.coalesce(partition, F.raise_error(message).cast(rows.schema[partition].dataType))
+    return rows.withColumn(partition, value)
 
 
 def _partition_values(spark: SparkSession, table: str) -> set[int]:
     return {int(row[0].split("=")[1]) for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
 
 
-def _written_values(spark: SparkSession, folder: str, partition: str) -> set[int]:
-    """Partition values that a write left folders for: a listing, no file is read."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
-    names = [status.getPath().getName() for status in found]
-    return {int(name.split("=")[1]) for name in names if name.startswith(f"{partition}=")}
-
-
-def _point_at(spark: SparkSession, table: str, partition: str, folder: str, values: Sequence[int]) -> None:
-    """Let the table's entries of ``values`` read ``folder``; those not written there go."""
+def _point_at(spark: SparkSession, table: str, root: str, version: int) -> list[int]:
+    """Let the table's entries read what the version changed; those it dropped go."""
+    places = partition_places(spark, root, version)
     known = _partition_values(spark, table)
-    places = {value: f"{folder}/{partition}={value}" for value in values}
-    kept = set(values) & _written_values(spark, folder, partition)
-    for value in sorted(kept & known):
-        spark.sql(f"ALTER TABLE {table} PARTITION ({partition} = {value}) SET LOCATION '{places[value]}'")
-    added = " ".join(f"PARTITION ({partition} = {v}) LOCATION '{places[v]}'" for v in sorted(kept - known))
+    changed = changed_partitions(spark, root, version - 1, version)
+    for part in sorted(p for p in changed & places.keys() if partition_value(p) in known):
+        spark.sql(f"ALTER TABLE {table} PARTITION ({_spec(part)}) SET LOCATION '{folder_of(root, part, places[part])}'")
+    added = sorted(p for p in changed & places.keys() if partition_value(p) not in known)
     if added:
-        spark.sql(f"ALTER TABLE {table} ADD {added}")
-    gone = ", ".join(f"PARTITION ({partition} = {v})" for v in sorted(set(values) & known - kept))
+        entries = " ".join(f"PARTITION ({_spec(p)}) LOCATION '{folder_of(root, p, places[p])}'" for p in added)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {entries}")
+    gone = ", ".join(f"PARTITION ({_spec(p)})" for p in sorted(changed - places.keys()) if partition_value(p) in known)
     if gone:
-        spark.sql(f"ALTER TABLE {table} DROP {gone}")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {gone}")
     spark.catalog.refreshTable(table)
+    return sorted(partition_value(p) for p in changed)
 
 
 def replace_partitions(
     table: str, new: DataFrame, partition: str, first: int, root: str, version: int
 ) -> None:
-    """Swap all partitions from ``first`` on for ``new``; earlier ones keep their files.
+    """Swap all partitions of a registered table from ``first`` on for ``new``; earlier ones keep their files.
 
-    A new row of an earlier partition stops the job.  Only ``new`` is written.
+    A new row of an earlier partition stops the job.  Only ``new`` is written.  May be repeated.
     """
     spark = new.sparkSession
-    folder = snapshot_path(root, version)
-    mode = "errorifexists" if is_complete(spark, folder) else "overwrite"
-    rows = replace_where(None, new.select(*spark.table(table).columns), f"{partition} >= {first}")
-    by_partition(rows, [partition]).write.mode(mode).partitionBy(partition).parquet(folder)
-    old = {value for value in _partition_values(spark, table) if value >= first}
-    _point_at(spark, table, partition, folder, sorted(old | _written_values(spark, folder, partition)))
+    replace_version(new.select(*spark.table(table).columns), partition, first, root, version)
+    _point_at(spark, table, root, version)
 
 
 def write_bucketed(

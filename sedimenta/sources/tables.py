@@ -8,25 +8,33 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sedimenta.sources.versions import has_manifest, read_version, snapshot_path
+
+__all__ = [
+    "date_range",
+    "dates_between",
+    "quarantine_summary",
+    "read_path",
+    "read_snapshot",
+    "snapshot_path",
+]
+
 
 def read_path(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 
 
-def snapshot_path(root: str, version: int) -> str:
-    """Folder of one version of a table; the number is padded so that names sort."""
-    return f"{root.rstrip('/')}/version={version:010d}"
-
-
 def read_snapshot(
     spark: SparkSession, root: str, version: int, schema: StructType | None = None
 ) -> DataFrame:
     """The table as of a version (an older one is time travel).
 
     With a schema no file is opened to infer one, and the values of partition
-    folders keep their declared type.
+    folders keep their declared type.  A version with a manifest is read through it.
     """
+    if has_manifest(spark, root, version):
+        return read_version(spark, root, version, schema)
     return read_path(spark, snapshot_path(root, version), schema)
 
 

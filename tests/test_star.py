@@ -260,6 +260,70 @@ def test_builds_into_a_database_rewrite_only_what_they_touch(spark, tmp_path):
     assert first["fact_orders"].count() == second["fact_orders"].count()
 
 
+def test_published_facts_are_whole_after_a_build_of_few_partitions(spark, tmp_path):
+    root = str(tmp_path)
+    run_star(silver(spark), root, 1, "r1", T3, database="whole_db")
+    later = {**silver(spark)}
+    later["orders"] = later["orders"].filter("order_number = 'B'")
+    later["order_lines"] = later["order_lines"].filter("order_number = 'B'")
+    second = run_star(later, root, 2, "r2", T3, database="whole_db")
+    first = {name: plain(read_star(spark, root, name, 1)) for name in STAR_SCHEMA}
+    for name in ("fact_orders", "fact_order_lines"):
+        assert plain(spark.table(f"whole_db.{name}"), *STAR_SCHEMA[name].names) == plain(second[name])
+        assert second[name].count() >= 1 and len(first[name]) >= second[name].count()
+    register_star(spark, "whole_tables", root, 2)
+    for version, wanted in ((1, first), (2, {n: plain(second[n]) for n in STAR_SCHEMA})):
+        publish_star(spark, "whole_views", root, version)
+        for name in STAR_SCHEMA:
+            assert plain(spark.table(f"whole_views.{name}"), *STAR_SCHEMA[name].names) == wanted[name], name
+    for name in STAR_SCHEMA:
+        assert plain(spark.table(f"whole_tables.{name}"), *STAR_SCHEMA[name].names) == plain(second[name]), name
+    # A further build without the catalog goes on from all rows.
+    third = run_star(later, root, 3, "r3", T3)
+    assert third["fact_orders"].count() == second["fact_orders"].count()
+
+
+@pytest.mark.parametrize("partition_by", [PARTITIONED_BY, {}])
+def test_orders_without_a_date_do_not_stop_a_build(spark, tmp_path, partition_by):
+    root, tables = str(tmp_path), silver(spark)
+    undated = F.when(F.col("order_number") == "A", None).otherwise(F.col("order_date"))
+    tables["orders"] = tables["orders"].withColumn("order_date", undated)
+    first = run_star(tables, root, 1, "r1", T3, partition_by=partition_by)
+    missing = "dim_date_key IS NULL"
+    assert {r.order_number for r in first["fact_orders"].filter(missing).collect()} == {"A"}
+    lines = first["fact_order_lines"].filter(missing).count()
+    assert lines == tables["order_lines"].filter("order_number = 'A'").count() > 0
+    # Another order comes: what has no date stays.
+    later = {**tables, "orders": tables["orders"].filter("order_number = 'F'"), "order_lines": tables["order_lines"].filter("order_number = 'F'")}
+    second = run_star(later, root, 2, "r2", T3, partition_by=partition_by)
+    assert second["fact_orders"].count() == first["fact_orders"].count()
+    assert second["fact_order_lines"].filter(missing).count() == lines
+    # The order gets its date: it and its lines move.
+    dated = {**silver(spark)}
+    third = run_star(dated, root, 3, "r3", T3, partition_by=partition_by)
+    assert third["fact_orders"].filter(missing).count() == 0 and third["fact_order_lines"].filter(missing).count() == 0
+    assert third["fact_order_lines"].count() == first["fact_order_lines"].count()
+
+
+def test_a_build_that_failed_is_run_again(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+
+    def fails(*_, **__):
+        raise OSError("no catalog")
+
+    run_star(silver(spark), root, 1, "r1", T3, database="again_db")
+    with monkeypatch.context() as broken:
+        broken.setattr("sedimenta.plans.star.publish", fails)
+        with pytest.raises(OSError):
+            run_star(silver(spark), root, 2, "r2", T3, database="again_db")
+    again = run_star(silver(spark), root, 2, "r2", T3, database="again_db")
+    plainly = str(tmp_path / "plain")
+    run_star(silver(spark), plainly, 1, "r1", T3)
+    same = run_star(silver(spark), plainly, 2, "r2", T3)
+    for name in STAR_SCHEMA:
+        assert plain(again[name]) == plain(same[name]), name
+
+
 def test_days_are_those_of_the_orders(star):
     days = star[1]["dim_date"].selectExpr("min(full_date) AS a", "max(full_date) AS b", "count(*) AS n").first()
     assert (days.b - days.a).days + 1 == days.n

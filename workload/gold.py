@@ -13,8 +13,9 @@ from sedimenta.plans import dimensions, facts, snapshots, views
 from sedimenta.plans.schemas import STAR_SCHEMA
 from sedimenta.plans.star import run_star
 from sedimenta.session import fresh_path, stored
-from sedimenta.sinks.tables import create_database, register_table, upsert_into_partitions, write_snapshot
-from sedimenta.sources.tables import dates_between, snapshot_path
+from sedimenta.sinks.partitions import replace_version, upsert_version
+from sedimenta.sinks.tables import create_database, publish, register_table, upsert_into_partitions, write_snapshot
+from sedimenta.sources.tables import dates_between, read_snapshot, snapshot_path
 from workload.inputs import (
     FIRST_LOAD,
     RUN_1,
@@ -345,6 +346,43 @@ def fact_orders_partition_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{database}.orders").select(*_fact_columns())
 
 
+_VERSIONS = with_inputs(
+    _ORDER_INPUTS,
+    f"""{_FACT_ORDERS},
+        v1 AS (SELECT * FROM fact_orders WHERE dim_date_key < 20010101),
+        newer AS (SELECT * REPLACE (1 AS is_delivered, 'Delivered' AS order_status) FROM fact_orders
+                  WHERE dim_date_key >= 20000101),
+        v2 AS (SELECT * FROM v1 WHERE order_number NOT IN (SELECT order_number FROM newer) UNION ALL SELECT * FROM newer),
+        v3 AS (SELECT * FROM v2 WHERE dim_date_key < 20010100
+               UNION ALL SELECT * REPLACE ('Held' AS order_status) FROM v2
+               WHERE dim_date_key >= 20010100 AND dim_date_key % 2 = 0)""",
+    f"""SELECT * REPLACE ({_AMOUNTS}) FROM (
+          SELECT 'version 1' AS state, * FROM v1 UNION ALL SELECT 'version 2', * FROM v2
+          UNION ALL SELECT 'version 3', * FROM v3 UNION ALL SELECT 'published', * FROM v3)""",
+)
+
+
+@query("fact_versions", _VERSIONS)
+def fact_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three versions by month, of which each load writes only its months; all of them and the published
+    one read whole afterwards."""
+    older, newer = (
+        df.withColumn("month_key", (F.col("dim_date_key") / 100).cast("int")) for df in _two_loads(spark, sf_dir)
+    )
+    root, database = fresh_path(spark, "facts"), f"facts_{uuid.uuid4().hex}"
+    create_database(spark, database, f"{root}-database")
+    write_snapshot(older, root, 1, ["month_key"])
+    second = upsert_version(newer, ["order_number"], "month_key", root, 2)
+    held = second.filter("month_key >= 200101 AND dim_date_key % 2 = 0").withColumn("order_status", F.lit("Held"))
+    replace_version(held, "month_key", 200101, root, 3)
+    publish(spark, f"{database}.orders", root, 2)
+    publish(spark, f"{database}.orders", root, 3)
+    states = {f"version {v}": read_snapshot(spark, root, v, older.schema) for v in (1, 2, 3)}
+    states["published"] = spark.table(f"{database}.orders")
+    frames = [df.select(F.lit(name).alias("state"), *_fact_columns()) for name, df in states.items()]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2]).unionByName(frames[3])
+
+
 def _fact_columns() -> list[str]:
     return list(STAR_SCHEMA["fact_orders"].names)
 
