@@ -70,6 +70,39 @@ def apply_changes(
     return merge_rows(target, written, keys, touched=decoded.select(*keys).distinct())
 
 
+def positions(order_by: Sequence[str]) -> list[str]:
+    """Columns in which a guarded state keeps the position last applied to a key."""
+    return [f"_applied{c}" for c in order_by]
+
+
+def positions_of(alias: str, order_by: Sequence[str]) -> Column:
+    """That position as one value; one without a value is before all others."""
+    return F.struct(*[F.col(f"{alias}.`{c}`") for c in positions(order_by)])
+
+
+def newer_changes(
+    changes: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    code: str,
+    run_id: str,
+    as_of: Column | dt.datetime | str,
+) -> DataFrame:
+    """The latest change of each key as a row of a guarded state: with its position, and for a
+    DELETE with the keys alone."""
+    latest = latest_per_key(decode_changes(changes, code), keys, order_by)
+    deleted = F.col("_cdc_operation") == DELETE
+    data = [F.col(c) if c in keys else F.when(~deleted, F.col(c)).alias(c) for c in data_columns(changes)]
+    return latest.select(
+        *data,
+        "_cdc_operation",
+        F.lit(run_id).alias("_pipeline_run_id"),
+        moment(as_of).alias("_ingest_timestamp"),
+        *[F.col(c).cast("long").alias(p) for c, p in zip(order_by, positions(order_by), strict=True)],
+        deleted.alias("_deleted"),
+    )
+
+
 def high_water_mark(df: DataFrame, position: str = "_cdc_version") -> DataFrame:
     """One row: the greatest applied position, NULL for no rows."""
     return df.agg(F.max(position).alias("high_water_mark"))

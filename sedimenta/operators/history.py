@@ -164,3 +164,33 @@ def scd2_apply(
     keyless = source.filter(any_missing(keys))
     added = keyless.select(*version(None, source.columns, {**stamps, "_hash_key": row_hash(source, tracked)}))
     return joined.unionByName(passed, allowMissingColumns=True).unionByName(added)
+
+
+def scd2_moves(
+    live: DataFrame, source: DataFrame, keys: Sequence[str], tracked: Sequence[str], as_of: Column | dt.datetime | str
+) -> DataFrame:
+    """What a load changes and nothing else: versions it closes, as they look then, and versions it opens.
+
+    ``live`` holds current versions.  One left join from the source; rows with a NULL
+    key match nothing, open a version each and stay out of it.
+    """
+    keys = list(keys)
+    source = unique_rows(source, keys)
+    since = _stamp(live, as_of)
+    new_names = [c for c in source.columns if c not in live.columns]
+    types = {f.name: f.dataType for f in [*source.schema.fields, *live.schema.fields]}
+    ended = {"_is_current": F.lit(False), "_valid_to": since}
+    begun = {"_hash_key": row_hash(source, tracked, "s"), "_is_current": F.lit(True), "_valid_from": since}
+
+    def row(side: str, have: Sequence[str], given: dict[str, Column]) -> Column:
+        values = [given.get(c, F.col(f"{side}.`{c}`") if c in have else F.lit(None)) for c in [*live.columns, *new_names]]
+        return F.struct(*[v.cast(types[c]).alias(c) for v, c in zip(values, [*live.columns, *new_names], strict=True)])
+
+    closed, opened = row("t", live.columns, ended), row("s", source.columns, begun)
+    here, there = source.filter(all_present(keys)).alias("s"), current_rows(live).alias("t")
+    met = here.join(there, [F.col(f"s.`{k}`") == F.col(f"t.`{k}`") for k in keys], "left")
+    absent = F.col(f"t.`{keys[0]}`").isNull()
+    moved = met.filter(absent | any_differs("t", "s", tracked)).select(
+        F.inline(F.when(absent, F.array(opened)).otherwise(F.array(closed, opened)))
+    )
+    return moved.unionByName(source.filter(any_missing(keys)).alias("s").select(opened.alias("row")).select("row.*"))

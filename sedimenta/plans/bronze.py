@@ -14,6 +14,7 @@ from sedimenta.config import CDC, FULL, RawConfig
 from sedimenta.functions.columns import DELETE, INITIAL_LOAD, decode_operation, moment
 from sedimenta.operators.changes import apply_changes
 from sedimenta.operators.merge import upsert
+from sedimenta.sinks.buckets import apply_guarded, live_rows, start_guarded
 from sedimenta.sinks.tables import write_snapshot, write_staging
 from sedimenta.sources.feeds import changes_after, rows_after_watermark
 from sedimenta.sources.tables import read_path
@@ -108,6 +109,55 @@ def run_incremental_load(
     )
 
 
+#: Columns that tell the position of a change row.
+_POSITION = ("_cdc_version", "_cdc_seq")
+
+
+def run_bucket_copy(
+    source: DataFrame,
+    keys: Sequence[str],
+    root: str,
+    table: str,
+    buckets: int,
+    run_id: str,
+    as_of: Column | dt.datetime | str,
+    at: Sequence[Any] | None = None,
+    version: int = 1,
+) -> DataFrame:
+    """Full copy into ``buckets`` key-hash folders, to which :func:`run_bucket_load` applies changes.
+
+    ``at`` is the log position of the copy, if known: changes up to it are in the copy.
+    """
+    loaded = initial_load(source, run_id, as_of)
+    staged = read_path(source.sparkSession, write_staging(loaded, root, table, "initial", run_id), loaded.schema)
+    return live_rows(start_guarded(staged, keys, f"{root}/{table}", buckets, _POSITION, at, version), _POSITION)
+
+
+def run_bucket_load(
+    changes: DataFrame,
+    keys: Sequence[str],
+    root: str,
+    table: str,
+    version: int,
+    run_id: str,
+    as_of: Column | dt.datetime | str,
+    last: Any = None,
+    since: Any = None,
+    until: Any = None,
+) -> RawLoad:
+    """Stage the change rows, then write the next version of a table in key-hash folders.
+
+    Only folders in which a key changes are written.  Every key knows the position last applied to
+    it, so windows (``since``, ``until``) may overlap, and a load may come late or twice.
+    """
+    fresh = changes_after(changes, last, since=since, until=until)
+    staged = write_staging(fresh, root, table, "incremental", run_id)
+    batch = read_path(changes.sparkSession, staged, changes.schema).drop("_change_timestamp")
+    state = apply_guarded(batch, keys, f"{root}/{table}", version, run_id, as_of, _POSITION)
+    gone = decode_operation("_cdc_operation_code") == DELETE
+    return RawLoad(live_rows(state, _POSITION), _metrics(batch, "_cdc_version", last, run_id, gone))
+
+
 def run_watermark_load(
     target: DataFrame | None,
     source: DataFrame,
@@ -137,11 +187,14 @@ def run_raw_load(
     version: int,
     run_id: str,
     as_of: Column | dt.datetime | str,
+    buckets: int | None = None,
 ) -> RawLoad:
     """The load that a settings row asks for.
 
     A full copy where the setting says so or no load is complete yet; else changes
-    behind the last position, or rows at or behind the last watermark.
+    behind the last position, or rows at or behind the last watermark.  With ``buckets`` a
+    table that follows changes is kept in so many key-hash folders, of which a load writes
+    those it changes.
     """
     full = config.load_type == FULL or (config.load_type == CDC and (target is None or not config.initial_load_completed))
     if full:
@@ -149,13 +202,20 @@ def run_raw_load(
         staged = read_path(
             source.sparkSession, write_staging(loaded, root, config.name, "initial", run_id), loaded.schema
         )
+        marked = config.load_type != CDC and config.watermark in source.columns
+        position = source.schema[config.watermark].dataType if marked else "long"
         metrics = staged.agg(F.count(F.lit(1)).alias("records_read")).select(
             "records_read",
             F.lit(0).cast("long").alias("records_deleted"),
-            F.lit(config.last).alias("high_water_mark"),
+            F.lit(config.last).cast(position).alias("high_water_mark"),
             F.lit(run_id).alias("_pipeline_run_id"),
         )
+        if buckets and config.load_type == CDC:
+            state = start_guarded(staged, config.keys, f"{root}/{config.name}", buckets, _POSITION, version=version)
+            return RawLoad(live_rows(state, _POSITION), metrics)
         return RawLoad(write_snapshot(staged, f"{root}/{config.name}", version, cluster_by=config.cluster_by), metrics)
+    if config.load_type == CDC and buckets:
+        return run_bucket_load(source, config.keys, root, config.name, version, run_id, as_of, config.last)
     if config.load_type == CDC:
         return run_incremental_load(
             target, source, config.keys, root, config.name, version, run_id, as_of, config.last, config.cluster_by

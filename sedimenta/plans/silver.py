@@ -13,7 +13,7 @@ from sedimenta.config import Rule, TableConfig
 from sedimenta.functions.columns import with_audit
 from sedimenta.functions.strings import clean_strings
 from sedimenta.operators.changes import require_unique
-from sedimenta.operators.history import scd2_apply
+from sedimenta.operators.history import scd2_apply, scd2_initial
 from sedimenta.operators.merge import upsert
 from sedimenta.operators.quality import (
     load_metrics,
@@ -23,6 +23,7 @@ from sedimenta.operators.quality import (
     tag_rows,
     valid_rows,
 )
+from sedimenta.sinks.buckets import load_history, start_history
 from sedimenta.sinks.tables import write_quarantine, write_snapshot
 from sedimenta.sources.tables import read_path
 
@@ -89,6 +90,7 @@ def run_silver(
     parents: Mapping[str, DataFrame] | None = None,
     on_error: str = "reject",
     small_source: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One load end to end; returns its metrics row.
 
@@ -96,7 +98,13 @@ def run_silver(
     merge, the quarantine and the metrics all read those files, so none of them
     repeats the source scan, the rules or the parent joins.  ``small_source`` is
     passed on to the history merge.
+
+    With ``buckets`` a history is kept in two parts (see
+    :func:`sedimenta.sinks.buckets.start_history`): the load goes on from the version before
+    in ``root``, whatever ``target`` is, and writes only folders in which a version opens.
     """
+    if buckets and (config.scd_type != 2 or config.partition_by or config.cluster_by):
+        raise ValueError("only a history without a layout of its own is kept in buckets")
     spark = source.sparkSession
     cleaned = clean_strings(source)
     if on_error == "fail":
@@ -111,8 +119,15 @@ def run_silver(
     require_unique(accepted, config.keys)
     # Quarantine first: a run that fails in between is simply run again.
     write_quarantine(refused, quarantine_root, "silver", config.name, run_id, as_of)
-    state = _next_state(accepted, target, config, run_id, as_of, small_source)
-    write_snapshot(state, f"{root}/{config.name}", version, config.partition_by, config.cluster_by)
+    if buckets:
+        loaded, place = with_audit(accepted, run_id, {"_load_timestamp": as_of}), f"{root}/{config.name}"
+        if version == 1:
+            start_history(scd2_initial(loaded, config.tracked, as_of), config.keys, place, buckets)
+        else:
+            load_history(loaded, config.keys, config.tracked, place, version, as_of)
+    else:
+        state = _next_state(accepted, target, config, run_id, as_of, small_source)
+        write_snapshot(state, f"{root}/{config.name}", version, config.partition_by, config.cluster_by)
     return load_metrics(tagged, run_id).withColumn("table_name", F.lit(config.name))
 
 

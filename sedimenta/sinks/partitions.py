@@ -6,7 +6,6 @@ import json
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sedimenta.operators.merge import merge_rows, replace_where, touched_partitions, unique_rows
@@ -129,7 +128,3 @@ def partition_value(part: str) -> int | None:
     text = part.rpartition("=")[2]
     return int(text) if text.lstrip("-").isdigit() else None
 
-
-def bucket_of(keys: Sequence[str], buckets: int):
-    """The key-hash folder of a row."""
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")

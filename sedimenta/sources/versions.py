@@ -59,7 +59,7 @@ def partition_folders(spark: SparkSession, folder: str) -> list[str]:
     found = []
     for status in system.listStatus(place):
         name = status.getPath().getName()
-        if status.isDirectory() and "=" in name and not name.startswith(("_", ".")):
+        if status.isDirectory() and "=" in name and not name.startswith("."):
             inner = partition_folders(spark, f"{folder.rstrip('/')}/{name}")
             found += [f"{name}/{deeper}" for deeper in inner] or [name]
     return sorted(found)

@@ -17,6 +17,8 @@ from sedimenta.operators.changes import (
 from sedimenta.operators.merge import replace_where, union_evolving
 from sedimenta.plans.bronze import (
     initial_load,
+    run_bucket_copy,
+    run_bucket_load,
     run_incremental_load,
     run_initial_load,
     run_raw_load,
@@ -205,6 +207,52 @@ def bronze_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).state
 
 
+def _bucket_sql(runs: list[tuple[str, str]]) -> str:
+    """Accounts after all changes; a row's run is the first whose window holds the key's last change."""
+    run = " ".join(f"WHEN {window} THEN '{name}'" for name, window in runs)
+    return with_inputs(
+        ["changes", "accounts"],
+        f"{_DECODED}, {_LATEST}",
+        f"""SELECT user_id, value, 'F' AS _cdc_operation, '{RUN_1}' AS _pipeline_run_id,
+                   TIMESTAMP '{FIRST_LOAD}' AS _ingest_timestamp
+            FROM accounts WHERE user_id NOT IN (SELECT user_id FROM latest)
+            UNION ALL
+            SELECT user_id, value, _cdc_operation, CASE {run} END, TIMESTAMP '{CHANGE_LOAD}'
+            FROM latest WHERE _cdc_operation <> 'DELETE'""",
+    )
+
+
+_EARLY, _LATE = (f"_change_timestamp {op} TIMESTAMP '2024-01-15 00:00:00'" for op in ("<", ">="))
+
+
+@query("cdc_apply_buckets", _bucket_sql([(RUN_2, _EARLY), ("run-3", _LATE)]))
+def cdc_apply_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy in key-hash folders and two loads of changes, which write the folders they change."""
+    root, changes = fresh_path(spark, "raw"), frame(spark, sf_dir, "changes")
+    run_bucket_copy(frame(spark, sf_dir, "accounts"), KEY, root, "accounts", 32, RUN_1, FIRST_LOAD)
+    run_bucket_load(changes.filter(_EARLY), KEY, root, "accounts", 2, RUN_2, CHANGE_LOAD)
+    return run_bucket_load(changes.filter(_LATE), KEY, root, "accounts", 3, "run-3", CHANGE_LOAD).state
+
+
+# Windows in the order in which they arrive: one that is late, overlaps, all again.
+_WINDOWS = [
+    ("middle", "_change_timestamp >= TIMESTAMP '2024-01-10 00:00:00' AND _change_timestamp < TIMESTAMP '2024-01-20 00:00:00'"),
+    ("late", "_change_timestamp < TIMESTAMP '2024-01-12 00:00:00'"),
+    ("newest", "_change_timestamp >= TIMESTAMP '2024-01-18 00:00:00'"),
+    ("again", "TRUE"),
+]
+
+
+@query("cdc_replay_window", _bucket_sql(_WINDOWS))
+def cdc_replay_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that overlap, come late and come twice leave what one pass in order would."""
+    root, changes = fresh_path(spark, "raw"), frame(spark, sf_dir, "changes")
+    run_bucket_copy(frame(spark, sf_dir, "accounts"), KEY, root, "accounts", 32, RUN_1, FIRST_LOAD)
+    for version, (run, window) in enumerate(_WINDOWS, 2):
+        load = run_bucket_load(changes.filter(window), KEY, root, "accounts", version, run, CHANGE_LOAD)
+    return load.state
+
+
 _PART_METRICS = """SELECT '{run}' AS _pipeline_run_id, count(*) AS records_read,
   count(*) FILTER (WHERE _cdc_operation_code = 1) AS records_deleted, max(_cdc_version) AS high_water_mark
 FROM changes WHERE {rows}"""

@@ -29,6 +29,7 @@ from sedimenta.operators.quality import (
 )
 from sedimenta.plans.silver import run_silver, silver_transform
 from sedimenta.session import fresh_path, stored
+from sedimenta.sinks.buckets import BUCKET, load_history, start_history
 from sedimenta.sinks.tables import write_quarantine
 from sedimenta.sources.tables import quarantine_summary
 from workload.inputs import (
@@ -399,6 +400,17 @@ def history_apply_small(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2_apply(state, source, KEY, TRACKED, THIRD_LOAD, small_source=True)
 
 
+@query("scd2_apply_stored", with_inputs(_PROFILES, _HISTORY, apply_sql("h2", "p3", THIRD_LOAD)))
+def history_apply_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads into a history in two parts: closed versions are added, and only folders whose
+    keys change are written again."""
+    root = fresh_path(spark, "history")
+    start_history(_history_1(spark, sf_dir), KEY, root, 32)
+    for version, (name, as_of) in enumerate((("profile_2", SECOND_LOAD), ("profile_3", THIRD_LOAD)), 2):
+        state = load_history(_profile(spark, sf_dir, name), KEY, TRACKED, root, version, as_of)
+    return state.drop(BUCKET)
+
+
 @query(
     "scd2_current",
     with_inputs(
