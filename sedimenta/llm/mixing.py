@@ -69,9 +69,10 @@ def mix_sources(
     words come near its target.  Sums are decimals: partition bounds and reruns
     change nothing.
 
-    The prefix sum runs on all executors: rows are range-partitioned, placed once
-    in the shared folder, summed inside each partition, and shifted by the sums
-    of the partitions before.  A hot source or size spreads by the hash.
+    The prefix sum runs on all executors: rows are range-partitioned and placed once
+    in the shared folder; a row's sum is its position in the partition times what its
+    source expects, shifted by the sums of the partitions before.  A hot source or size
+    spreads by the hash.
 
     NULL and blank texts have size 0 and take part like others; a source of size 0
     has target 0 and is never taken.  Repeated rows are rows of their own.  An
@@ -125,26 +126,22 @@ def _mixed(docs: DataFrame, weights: Sequence[int], share: float, most: float, s
     plan = targets.select(
         "_k", "source_size", "target", expected.cast("decimal(20,12)").alias("_e"), offset.alias("_base")
     )
-    # One row per partition and source in it: what the partitions before hold.
-    parts = placed.groupBy("_k", "_part").count().join(plan.select("_k", "_e", "_base"), "_k")
+    # One row per partition and source in it: what the partitions before hold.  A source's
+    # rows lie side by side in a partition and all expect the same, so a row's sum
+    # follows from its position, and no row is moved or sorted again.
+    parts = placed.groupBy("_k", "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_slot").alias("_first"))
     ahead = Window.partitionBy("_k").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    held = (F.col("count").cast("decimal(18,0)") * F.col("_e")).cast(_EXACT)
-    starts = parts.select(
-        "_k",
-        "_part",
-        (F.coalesce(F.sum(held).over(ahead), F.lit(0)) + F.col("_base")).cast(_EXACT).alias("_base"),
+    held = (F.col("_n").cast("decimal(18,0)") * F.col("_e")).cast(_EXACT)
+    starts = parts.join(plan, "_k").withColumn(
+        "_base", (F.coalesce(F.sum(held).over(ahead), F.lit(0)) + F.col("_base")).cast(_EXACT)
     )
-    facts = starts.join(plan.drop("_base"), "_k")
-    inside = Window.partitionBy("_k", "_part").orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)
-    narrow = placed.select("_k", "_part", "_slot").join(facts, ["_k", "_part"])
-    upto = (F.col("_base") + F.sum("_e").over(inside)).cast(_EXACT)
-    decided = narrow.withColumn("_sum", upto).select(
-        "_slot",
-        "source_size",
-        "target",
-        (F.floor("_sum") - F.floor(F.col("_sum") - F.col("_e"))).cast("long").alias("copies"),
-    )
-    return placed.join(decided, "_slot").select(*names, *_ADDED)
+    # As a stored table it has a size that Spark knows: small ones are broadcast, and the texts stay where they are.
+    starts = stored(starts.drop("_n"), "mix-starts")
+    position = (F.col("_slot") - F.col("_first") + 1).cast("decimal(18,0)")
+    upto = (F.col("_base") + (position * F.col("_e")).cast(_EXACT)).cast(_EXACT)
+    copies = (F.floor("_sum") - F.floor(F.col("_sum") - F.col("_e"))).cast("long")
+    summed = placed.join(starts, ["_k", "_part"]).withColumn("_sum", upto)
+    return summed.withColumn("copies", copies).select(*names, *_ADDED)
 
 
 def mixed_rows(
