@@ -7,9 +7,8 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from sedimenta.llm.carried import packed, unpacked
 from sedimenta.llm.components import components
@@ -389,25 +388,13 @@ def one_of_each(
     NULL ids come last in a class.  Documents without words all stay; rows that
     repeat an id and a text are one document.  Other columns come along.
     """
-    signed, classes = linked_sets(docs, similarity, recall, depth, small, block)
-    order = Window.partitionBy("least").orderBy(F.col("doc_id").asc_nulls_last(), "sid")
-    first = (
-        signed.filter(F.col("n") > 0)
-        .join(classes.select("sid", "least"), "sid")
-        .withColumn("_n", F.row_number().over(order))
-        .filter(F.col("_n") == 1)
-        .select("doc_id", "sid")
+    # Every row gets a number that stays, so that only numbers decide and the texts move once.
+    rows = stored(docs.select(packed(docs.columns), F.monotonically_increasing_id().alias("_id")), "numbered")
+    whole = F.struct(F.col("_row.doc_id").isNull().alias("none"), F.col("_row.doc_id").alias("doc_id"), F.col("_id").alias("id"))
+    signed, classes = linked_sets(
+        rows.select(whole.alias("doc_id"), F.col("_row.text").alias("text")), similarity, recall, depth, small, block
     )
-    kept = first.unionByName(signed.filter(F.col("n") == 0).select("doc_id", "sid").distinct())
-
-    def named(text: pa.Array) -> pa.Array:
-        ids = [np.empty(0, np.int64)]
-        for at in range(0, len(text), 512):
-            ids.append(set_ids(shingle_sets([(t or "").encode() for t in text[at : at + 512].to_pylist()])))
-        return pa.array(np.concatenate(ids))
-
-    kept = kept.select(F.col("doc_id").alias("_d"), F.col("sid").alias("_s"))
-    # The caller's columns go along as one, so that none has a name used here.
-    have = docs.select("doc_id", packed(docs.columns), F.arrow_udf(named, LongType())("text").alias("_sid"))
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_sid") == F.col("_s"))
-    return have.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_sid"]).select(*unpacked(docs.columns))
+    linked = classes.groupBy("least").agg(F.min("doc_id").alias("doc_id"))
+    blank = signed.filter(F.col("n") == 0).groupBy("doc_id.none", "doc_id.doc_id").agg(F.min("doc_id.id").alias("_id"))
+    kept = linked.select(F.col("doc_id.id").alias("_id")).unionByName(blank.select("_id"))
+    return rows.join(kept.hint("shuffle_hash"), "_id", "left_semi").select(*unpacked(docs.columns))
