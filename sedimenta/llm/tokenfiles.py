@@ -19,12 +19,15 @@ import json
 import os
 import re
 import struct
+import sys
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -39,8 +42,8 @@ from sedimenta.session import stored
 END_ID = 2
 _MAGIC = b"TOKENS01"
 _TAIL = "<8Q8s"  # code, documents, blocks: place and bytes; ids a block and a checkpoint
-_TOGETHER = 1 << 20  # ids decoded at once; bytes of ids in one batch of a task's output are 16 times that
-_CACHED = 1 << 19  # words, and pieces of words, that a task remembers the ids of
+_TOGETHER = 1 << 20  # ids decoded at once
+_WORDS, _PIECES_KEPT = 1 << 20, 1 << 19  # words, and pieces of words, whose ids are remembered
 
 # The settings of the word tokenizer, under which a blank always ends a word and is dropped.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -59,6 +62,7 @@ _SETTINGS = {
 }
 _NO_MATTER = ("trim_offsets",)  # concerns places, not ids
 # Characters that no normal form changes and whose small letters everyone agrees on.
+_SOLID = ~np.isin(np.arange(256), [9, 10, 13, 32])  # bytes that are no blank
 _COMMON = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ɏ¡¿«»§°‐-―‘-‟…]*")
 
 
@@ -82,30 +86,76 @@ class WordEncoder:
         kept = {name: settings[name] for name in ("normalizer", "pre_tokenizer")}
         kept = json.loads(json.dumps(kept), object_hook=lambda d: {k: d[k] for k in d if k not in _NO_MATTER})
         self._by_word = kept == _SETTINGS
-        self._cut = regex.compile(_PIECES).findall
-        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        # A word that holds the first character of a special token might hold the token.
+        plain = [c for c in map(chr, range(0x21, 0x2030)) if _COMMON.fullmatch(c) and c not in {t[0] for t in special}]
+        self._plain = re.compile(f"[{re.escape(''.join(plain))}]*").fullmatch
+        self._cut = regex.compile(rf"\n|{_PIECES}").findall
         self._letters = {b: c for c, b in byte_letters().items()}
         self.dtype = id_type(self._tokenizer.get_vocab_size())
-        self._words, self._pieces = _Known(self._word), _Known(self._piece)
+        self._words, self._pieces = _kept(f"{path} words"), _kept(f"{path} pieces")
 
-    def ids(self, text: str) -> bytes:
+    def ids(self, texts: pa.Array, end_id: int) -> pa.Array:
+        """The ids of every text and ``end_id``, as bytes; a NULL text is empty."""
         if not self._by_word:
-            return self._encode(text)
-        for blank in "\n\t\r":
-            if blank in text:
-                text = text.replace(blank, " ")
-        return b"".join(map(self._words.__getitem__, text.split(" ")))
-
-    def _word(self, word: str) -> bytes:
-        if word.isascii() and word.isalpha():
-            return self._pieces[word.lower()]
-        if not _COMMON.fullmatch(word) or any(s in word for s in self._special):
-            return self._encode(word)
-        return b"".join(map(self._pieces.__getitem__, self._cut(word.lower())))
-
-    def _piece(self, piece: str) -> bytes:
-        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self._letters)
-        return self._packed([token.id for token in self._model.tokenize(letters)])
+            return pa.array([self._encode(text or "") + self._packed([end_id]) for text in texts.to_pylist()], pa.binary())
+        words, counts = _split(texts)
+        coded = words.dictionary_encode()
+        names, which = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        known = list(map(self._words.get, names))
+        if new := [name for name, ids in zip(names, known, strict=True) if ids is None]:
+            if len(self._words) + len(new) > _WORDS:
+                self._words.clear()
+                new = names
+                known = [None] * len(names)
+            self._learn(new)
+            known = [self._words[name] if ids is None else ids for name, ids in zip(names, known, strict=True)]
+            for name in new:
+                if len(name) > 64:
+                    del self._words[name]
+        # One more word, after the last of each text, has the end id.
+        ends = np.cumsum(counts)
+        places = np.insert(which, ends, len(known))
+        found = pa.array([*known, self._packed([end_id])], pa.large_binary()).take(pa.array(places))
+        _, offsets, data = found.buffers()
+        at = np.frombuffer(offsets, dtype=np.int64)[np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])]
+        return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(at), data])
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [word for word in words if self._plain(word)]
+        if len(plain) < len(words):
+            for word in set(words).difference(plain):
+                self._words[word] = self._encode(word)
+        if not plain:
+            return
+        small = "\n".join(plain).lower().split("\n")
+        # Words of letters are one piece each; the others are cut in one go, a line each.
+        mixed = [i for i, word in enumerate(small) if not word.isalpha()]
+        pieces = self._cut("\n".join([small[i] for i in mixed]))
+        seen = {word for word in small if word.isalpha()}
+        seen.update(pieces)
+        new = seen.difference(self._pieces)
+        if len(self._pieces) + len(new) > _PIECES_KEPT:
+            self._pieces.clear()
+            new = seen
+        tokenize, made = self._model.tokenize, struct.pack
+        letter = "H" if self.dtype.itemsize == 2 else "I"
+        for piece in new:
+            letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self._letters)
+            ids = [token.id for token in tokenize(letters)]
+            self._pieces[piece] = made(f"<{len(ids)}{letter}", *ids)
+        self._words.update(zip(plain, map(self._pieces.get, small), strict=True))
+        at = 0
+        for i in mixed:
+            own = []
+            while at < len(pieces) and pieces[at] != "\n":
+                own.append(self._pieces[pieces[at]])
+                at += 1
+            self._words[plain[i]] = b"".join(own)
+            at += 1
+        for piece in new:
+            if len(piece) > 64:
+                del self._pieces[piece]
 
     def _encode(self, text: str) -> bytes:
         return self._packed(self._tokenizer.encode(text, add_special_tokens=False).ids if text else [])
@@ -114,19 +164,29 @@ class WordEncoder:
         return struct.pack(f"<{len(ids)}{'H' if self.dtype.itemsize == 2 else 'I'}", *ids)
 
 
-class _Known(dict):
-    """Values that are found once and kept, short names only and so many of them."""
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words between blanks of all texts, and how many each text has."""
+    texts = texts.fill_null("").cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]] if data is not None else np.empty(0, dtype=np.uint8)
+    at = at - at[0]
+    solid = _SOLID[data]
+    kept = np.zeros(len(data) + 1, dtype=np.int64)  # bytes before each place, without blanks
+    np.cumsum(solid, out=kept[1:])
+    stops = np.append(~solid, False)
+    stops[at] = True
+    bounds = kept[stops]
+    bounds = bounds[np.concatenate([[True], bounds[1:] != bounds[:-1]])]
+    counts = np.diff(np.searchsorted(bounds, kept[at]))
+    buffers = [None, pa.py_buffer(bounds), pa.py_buffer(data[solid])]
+    return pa.Array.from_buffers(pa.large_string(), len(bounds) - 1, buffers), counts
 
-    def __init__(self, find: Callable[[str], bytes]):
-        self._find = find
 
-    def __missing__(self, name: str) -> bytes:
-        found = self._find(name)
-        if len(name) <= 64:
-            if len(self) >= _CACHED:
-                self.clear()
-            self[name] = found
-        return found
+def _kept(name: str) -> dict[str, bytes]:
+    """A table that stays while the worker process does, from one task to the next."""
+    place = sys.modules.setdefault("_sedimenta_kept", ModuleType("_sedimenta_kept"))
+    return vars(place).setdefault(name, {})
 
 
 def id_type(vocabulary: int) -> np.dtype:
@@ -139,6 +199,19 @@ def vocabulary_size(path: str) -> int:
     return Tokenizer.from_file(path).get_vocab_size()
 
 
+def slices_of(texts: pa.Array, most: int) -> Iterator[range]:
+    """Runs of texts of about ``most`` bytes; a longer text is a run of its own."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(False)
+    first = size = 0
+    for i, own in enumerate(sizes.tolist()):
+        if size and size + own > most:
+            yield range(first, i)
+            first, size = i, 0
+        size += own
+    if first < len(sizes):
+        yield range(first, len(sizes))
+
+
 def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """``doc_id``, ``ids`` (bytes) of every row, and its place (``_part``, ``_at``) for ties."""
     kind = docs.schema["doc_id"].dataType
@@ -146,21 +219,20 @@ def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, seen = WordEncoder(path), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], dtype=encoder.dtype).tobytes()
         for batch in batches:
-            start = size = 0
-            ids = []
-            for i, text in enumerate(batch.column(1)):
-                ids.append(encoder.ids(text.as_py() or "") + end)
-                size += len(ids[-1])
-                if size > 16 * _TOGETHER or i + 1 == len(batch):
-                    n = len(ids)
-                    place = pa.array(np.arange(seen, seen + n))
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(start, n).cast(arrow.field(0).type), pa.array(ids, pa.binary()), pa.array([part] * n, pa.int32()), place],
-                        schema=arrow,
-                    )
-                    seen, start, size, ids = seen + n, i + 1, 0, []
+            for run in slices_of(batch.column(1), 4_000_000):
+                ids = encoder.ids(batch.column(1).slice(run.start, len(run)), end_id)
+                n = len(ids)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(run.start, n).cast(arrow.field(0).type),
+                        ids.cast(pa.binary()),
+                        pa.array([part] * n, pa.int32()),
+                        pa.array(np.arange(seen, seen + n)),
+                    ],
+                    schema=arrow,
+                )
+                seen += n
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind.simpleString()}, ids binary, _part int, _at long")
 
@@ -173,9 +245,8 @@ def id_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(vocabulary, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                own, n = np.unique(np.frombuffer(ids.as_buffer(), dtype=dtype), return_counts=True)
-                counts[own] += n
+            ids = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=dtype)
+            counts += np.bincount(ids, minlength=vocabulary)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["id", "n"])
 

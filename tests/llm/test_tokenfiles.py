@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -23,12 +24,23 @@ def texts():
     return out + ["".join(pick.choice("aéß 'sStT\n.1Zİ́\x85\x1f　 -") for _ in range(80)) for _ in range(400)]
 
 
+def check_ids(encoder, tokenizer, some):
+    for text, ids in zip(some, encoder.ids(pa.array(some, pa.string()), 7).to_pylist(), strict=True):
+        want = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 7]
+        assert np.frombuffer(ids, encoder.dtype).tolist() == want, text
+
+
 @pytest.mark.parametrize("path", [PATH, BYTES])
 def test_ids_are_those_of_the_tokenizer(path):
     encoder, tokenizer = WordEncoder(path), Tokenizer.from_file(path)
     assert encoder._by_word is (path == PATH)
-    for text in texts():
-        assert np.frombuffer(encoder.ids(text), encoder.dtype).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    some = [None, *texts(), None, "", "  "]
+    check_ids(encoder, tokenizer, some)
+    for text in some:
+        check_ids(encoder, tokenizer, [text])
+    column = pa.array(some, pa.string())
+    assert encoder.ids(column.slice(5, 30), 7).to_pylist() == encoder.ids(column, 7).to_pylist()[5:35]
+    assert len(encoder.ids(column.slice(0, 0), 7)) == 0
 
 
 def test_words_of_common_characters_are_cut_as_the_library_does():
@@ -36,15 +48,17 @@ def test_words_of_common_characters_are_cut_as_the_library_does():
     letters = [chr(c) for c in range(0x21, 0x2030) if tokenfiles._COMMON.fullmatch(chr(c))]
     words = [a + b for a in letters for b in ("", "s", "É", "1", "'S", ".")] + [b + a for a in letters for b in ("x'", "'", "9", "Ñ")]
     words += ["<|startoftext|>x", "a<|endoftext|>", "x" * 70 + "é" * 70, "don't'll'd''s", "ⅧA"]
-    for word in words:
-        assert np.frombuffer(encoder.ids(word), encoder.dtype).tolist() == tokenizer.encode(word, add_special_tokens=False).ids, word
+    check_ids(encoder, tokenizer, words)
+    assert not any(len(word) > 64 for word in [*encoder._words, *encoder._pieces])
 
 
 def test_a_full_memory_of_words_is_emptied(monkeypatch):
-    monkeypatch.setattr(tokenfiles, "_CACHED", 5)
+    monkeypatch.setattr(tokenfiles, "_WORDS", 5)
+    monkeypatch.setattr(tokenfiles, "_PIECES_KEPT", 5)
     encoder, tokenizer = WordEncoder(PATH), Tokenizer.from_file(PATH)
+    check_ids(encoder, tokenizer, texts())
     for text in texts():
-        assert np.frombuffer(encoder.ids(text), encoder.dtype).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        check_ids(encoder, tokenizer, [text])
 
 
 def huffman_bits(counts):
