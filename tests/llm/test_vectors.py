@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from sedimenta.llm.neighbours import nearest_neighbours
-from sedimenta.llm.topk import exact_top_k, search_block, segment_statistics
+from sedimenta.llm.topk import exact_top_k, fitted_rotation, haar_basis, resolutions, search_block, segment_statistics
 from sedimenta.llm.vectors import blocked
 
 SCHEMA = "vec_id long, embedding array<double>, score string"
@@ -50,6 +50,40 @@ def test_bounds_never_lie_below_the_product():
         assert (segment_statistics(a, segments) @ segment_statistics(b, segments).T >= a @ b.T - 1e-6).all()
 
 
+def test_rotations_keep_products_and_put_them_first():
+    for width in (1, 2, 8, 64):
+        assert np.allclose(haar_basis(width) @ haar_basis(width).T, np.eye(width))
+    for width in (3, 16, 20):
+        v = vectors(200, width) * np.arange(1, width + 1) + 3
+        turned = v @ fitted_rotation(v)
+        assert np.allclose(turned @ turned.T, v @ v.T)
+        energy = [(segment_statistics(turned, n)[:, :n] ** 2).sum() for n in (1, 2, 4, 8)]
+        best = np.sort(np.linalg.eigvalsh(v.T @ v))[::-1].cumsum()
+        assert np.allclose(energy, [best[min(n, width) - 1] for n in (1, 2, 4, 8)])
+
+
+def pairs_left(v, queries=20, k=5):
+    ids, whole, seen = np.arange(len(v)), np.floor(256 * v).astype(np.int64), {}
+    q, r, s = search_block(ids[:queries], whole[:queries], ids, whole, k, fitted_rotation(whole.astype(float)), seen)
+    for i in range(queries):
+        products = sorted((-int(whole[i] @ whole[j]), j) for j in ids if j != i)[:k]
+        assert list(zip(-s[q == i], r[q == i], strict=True)) == products
+    assert list(seen) == resolutions(v.shape[1])
+    return [n / (queries * len(v)) for n in seen.values()]
+
+
+def test_fewer_pairs_are_left_at_every_resolution():
+    # Directions alike in all axes: only fine statistics tell rows apart.
+    even = vectors(3000, 64, 5)
+    left = pairs_left(even / np.linalg.norm(even, axis=1)[:, None])
+    assert all(a >= b for a, b in zip(left, left[1:], strict=False))
+    assert left[-3] < 0.6 and left[-2] < 0.2 and left[-1] < 0.01
+    # Vectors of few directions and some noise: the coarse ones do.
+    few = vectors(3000, 6, 6) @ vectors(6, 64, 7) + 0.05 * vectors(3000, 64, 8)
+    left = pairs_left(few / np.linalg.norm(few, axis=1)[:, None])
+    assert left[1] < 0.5 and left[2] < 0.05 and left[-1] < 0.01
+
+
 def test_large_whole_numbers_stay_exact():
     ids, big = np.arange(4), np.array([[3_000_000_000, 1], [3_000_000_000, 2], [2_999_999_999, 3], [1, 1]])
     _, found, scores = search_block(ids[:1], big[:1], ids, big, 2)
