@@ -23,9 +23,9 @@ THREATS = frozenset(
     "kill hurt destroy murder strangle stab shoot töten umbringen vernichten verletzen erschießen "
     "tuer détruire blesser frapper étrangler matar destruir golpear herir estrangular".split()
 )
-TARGETS = frozenset(
-    "you your yours he she they him her them du dich dir euch ihr sie er tu te toi vous ton ta il elle ils usted tú ti él ella ellos".split()
-)
+# Who an insult can be aimed at; a threat is aimed at someone spoken to, in English behind it.
+TARGETS = frozenset("he she they him her them du ihr sie er tu ton ta il elle ils tú él ella ellos your yours".split())
+SPOKEN_TO, AIMED_AT = frozenset(["you"]), frozenset("dich dir euch te toi vous ti usted".split())
 NEGATIONS = frozenset(
     "not no never neither nor without isn't don't nicht kein keine nie niemals ohne pas jamais aucun sans nunca jamás ni sin".split()
 )
@@ -39,11 +39,14 @@ _ENDS, _BREAKS, _QUOTES = frozenset(".!?\n"), frozenset(",;:"), frozenset("\"“
 _STEMS, _STEMMED = (8, 7, 6, 5, 4), 5
 
 #: Symbols between the transducers.  Lower layers rewrite I and T, the rest passes.
-#: I insult, T threat, P target, N negation, R reporting verb, Q quote, C clause
-#: break, o other word; after the layers also n (negated), q (reported), A (aimed).
-SYMBOLS = "ITPNRQConqA"
-#: What the score counts, and each one's weight before any label is seen.
-FEATURES = {"A": 1.2, "I": 1.0, "T": 1.2, "n": 0.4, "q": 0.5}
+#: I insult, T threat, P target (Y and O: one spoken to), N negation, R reporting verb, Q quote, C clause
+#: break, o other word; after the layers also insults that are negated (n), reported (q)
+#: or aimed at a target (A), and such threats (m, r, B).
+SYMBOLS = "ITPYONRQConqAmrB"
+#: Weight of a threatening word; learned insults weigh from 0.1 to as much.
+_THREAT = 1.5
+#: What a clause can be, the strongest first, and each one's weight before any label is seen.
+FEATURES = {"B": 1.8, "A": 1.2, "T": 0.3, "I": 1.0, "r": 0.1, "q": 0.4, "m": 0.1, "n": 0.4}
 
 
 class Transducer:
@@ -77,16 +80,15 @@ class Transducer:
         return out
 
 
-def _fading(opens: str, span: int, becomes: str, over: str) -> Transducer:
-    """After ``opens``, the symbols ``over`` within ``span`` words become ``becomes``;
-    a clause break ends it."""
+def _fading(opens: str, span: int, becomes: dict[str, str]) -> Transducer:
+    """After one of ``opens``, symbols within ``span`` words become others; a clause break ends it."""
     rules = {}
     for left in range(span + 1):
-        rules[left, opens] = (span, opens)
+        rules |= {(left, s): (span, s) for s in opens}
         rules[left, "C"] = (0, "C")
         for s in SYMBOLS:
             if s not in opens + "C":
-                rules[left, s] = (max(0, left - 1), becomes if left and s in over else s)
+                rules[left, s] = (max(0, left - 1), becomes.get(s, s) if left else s)
     return Transducer(span + 1, rules)
 
 
@@ -94,12 +96,25 @@ def _reported() -> Transducer:
     """Inside quotes, or after a reporting verb to the end of the sentence, insults
     and threats are reported."""
     rules = {(0, "Q"): (1, "Q"), (1, "Q"): (0, "Q"), (0, "R"): (2, "R"), (2, "Q"): (1, "Q")}
-    rules |= {(state, s): (state, "q") for state in (1, 2) for s in "IT"}
+    rules |= {(state, s): (state, to) for state in (1, 2) for s, to in (("I", "q"), ("T", "r"))}
     return Transducer(3, rules)
 
 
-#: Negation first, then reported speech, then the target of what is left.
-GRAMMAR = _fading("N", 3, "n", "IT").then(_reported()).then(_fading("P", 4, "A", "I"))
+#: Negation first, then reported speech, then a target before what is left.
+LAYERS = (
+    _fading("N", 3, {"I": "n", "T": "m"}),
+    _reported(),
+    _fading("PYO", 4, {"I": "A"}),
+    _fading("O", 4, {"T": "B"}),
+)
+GRAMMAR = LAYERS[0].then(LAYERS[1]).then(LAYERS[2]).then(LAYERS[3])
+#: A target behind it: this one reads from the end.
+BACKWARD = _fading("PYO", 3, {"I": "A"}).then(_fading("YO", 3, {"T": "B"}))
+
+
+def clause_symbols(symbols: list[int]) -> list[int]:
+    """What all layers make of a sentence."""
+    return BACKWARD.run(GRAMMAR.run(symbols)[::-1])[::-1]
 
 
 @dataclass(frozen=True)
@@ -112,6 +127,7 @@ class ToxicityModel:
 
     def __post_init__(self):
         symbols = {w: "R" for w in REPORTS} | {w: "N" for w in NEGATIONS} | {w: "P" for w in TARGETS}
+        symbols |= {w: "Y" for w in SPOKEN_TO} | {w: "O" for w in AIMED_AT}
         symbols |= {w: "T" for w in THREATS} | {w: "I" for w in self.insults}
         symbols |= dict.fromkeys(_QUOTES, "Q") | dict.fromkeys(_BREAKS, "C")
         object.__setattr__(self, "_symbols", {w: SYMBOLS.index(s) for w, s in symbols.items()})
@@ -128,7 +144,7 @@ class ToxicityModel:
         return word
 
     def features(self, text: str | None) -> np.ndarray:
-        """Summed weights of matched clauses by what the grammar made of them."""
+        """Summed weights of matched clauses by what the grammar makes of each as a whole."""
         sums = dict.fromkeys(FEATURES, 0.0)
         lower = (text or "").lower()
         tokens = _TOKENS.findall(lower)
@@ -146,32 +162,67 @@ class ToxicityModel:
         return np.array(list(sums.values()))
 
     def _count(self, sentence: list[str], sums: dict[str, float]) -> None:
+        """Add the weights of each clause's matches to what its strongest match makes it."""
         other = SYMBOLS.index("o")
-        made = GRAMMAR.run([self._symbols.get(t, other) for t in sentence])
-        for token, symbol in zip(sentence, made, strict=True):
+        clause: dict[str, float] = {}
+        made = clause_symbols([self._symbols.get(t, other) for t in sentence])
+        for token, symbol in [*zip(sentence, made, strict=True), (",", SYMBOLS.index("C"))]:
             name = SYMBOLS[symbol]
-            if name in sums and token in self._seen:
-                sums[name] += self.insults.get(token, 1.0)
+            if name == "C":
+                if clause:
+                    sums[next(f for f in FEATURES if f in clause)] += sum(clause.values())
+                clause = {}
+            elif name in sums and token in self._seen:
+                clause[name] = clause.get(name, 0.0) + self.insults.get(token, _THREAT)
 
     def score(self, features: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-np.clip(features @ np.array(self.weights) + self.bias, -30, 30))))
 
 
-def _learned_weights(x: np.ndarray, y: np.ndarray) -> tuple[tuple[float, ...], float]:
-    """Logistic regression by Newton steps, drawn to the grammar's own weights."""
-    prior = np.array([*(2.0 * w for w in FEATURES.values()), -2.5])
-    design = np.hstack([x, np.ones((len(x), 1))])
-    w = prior.copy()
-    pull = np.diag([1.0] * len(FEATURES) + [0.01])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        gradient = design.T @ (p - y) + pull @ (w - prior)
-        hessian = (design * (p * (1 - p))[:, None]).T @ design + pull
-        step = np.linalg.solve(hessian, gradient)
-        w = w - step * min(1.0, 4.0 / max(1e-9, np.abs(step).max()))
-        if np.abs(step).max() < 1e-6:
+#: Weights are sums of steps that are never negative, so that an aimed clause weighs no less than the same
+#: one unaimed, and that no less than a negated and a reported one together.  An aimed threat, of which few
+#: labels tell, also weighs no less than an aimed insult.
+_STEPS = {
+    "n": "n", "q": "q", "I": "nqi", "A": "nqia",
+    "m": "m", "r": "r", "T": "mrt", "B": "mrtnqiab",
+}
+_STEP_NAMES = "nqiamrtb"
+
+
+def _learned_weights(x: np.ndarray, y: np.ndarray, count: np.ndarray) -> tuple[tuple[float, ...], float]:
+    """Logistic regression by Newton steps over non-negative steps, drawn to the grammar's own weights."""
+    made = np.array([[float(step in _STEPS[f]) for step in _STEP_NAMES] for f in FEATURES])
+    start = {f: 2.0 * w for f, w in FEATURES.items()}
+    own = {"i": start["I"] - start["n"] - start["q"], "a": start["A"] - start["I"]}
+    own |= {"t": start["T"] - start["m"] - start["r"], "b": start["B"] - start["T"] - start["A"]}
+    prior = np.array([*[max(0.0, own.get(s, start.get(s, 0.0))) for s in _STEP_NAMES], -2.5])
+    design = np.hstack([x @ made, np.ones((len(x), 1))])
+    pull = np.array([1.0] * len(_STEP_NAMES) + [0.01])
+    sign = np.where(y > 0, 1.0, -1.0)
+
+    def loss(z: np.ndarray) -> float:
+        return float(count @ np.logaddexp(0, -sign * (design @ z)) + 0.5 * (pull * (z - prior) ** 2).sum())
+
+    z, best = prior.copy(), loss(prior)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(design @ z, -30, 30)))
+        gradient = design.T @ (count * (p - y)) + pull * (z - prior)
+        free = (z > 0) | (gradient < 0)
+        free[-1] = True
+        hessian = (design * (count * p * (1 - p))[:, None]).T @ design + np.diag(pull)
+        step = np.zeros(len(z))
+        step[free] = np.linalg.solve(hessian[np.ix_(free, free)], gradient[free])
+        size = 1.0
+        while size > 1e-6:
+            next_ = z - size * step
+            next_[:-1] = np.maximum(next_[:-1], 0.0)
+            if (found := loss(next_)) <= best:
+                break
+            size /= 2
+        if size <= 1e-6 or best - found < 1e-9 * max(1.0, abs(best)):
             break
-    return tuple(float(v) for v in w[:-1]), float(w[-1])
+        z, best = next_, found
+    return tuple(float(v) for v in made @ z[:-1]), float(z[-1])
 
 
 def fit_toxicity(
@@ -241,7 +292,7 @@ def fit_toxicity(
             r["word"]: log((r["bad"] + 0.5) / (r["n"] - r["bad"] + 0.5)) - log(share / (1 - share)) for r in top.collect()
         }
         typical = float(np.median(list(odds.values()))) if odds else 1.0
-        insults = {w: min(1.5, max(0.1, v / typical)) for w, v in odds.items()}
+        insults = {w: min(_THREAT, max(0.1, v / typical)) for w, v in odds.items()}
     unfitted = ToxicityModel(insults, tuple(2.0 * w for w in FEATURES.values()), -2.5)
     if not 0 < n_bad < n_docs:
         return unfitted
@@ -251,16 +302,16 @@ def fit_toxicity(
             yield pd.DataFrame({"x": [unfitted.features(t) for t in batch["text"]], "y": batch["toxic"] != 0})
 
     fitted = train.mapInPandas(features, "x array<double>, y boolean").groupBy("x", "y").count().collect()
-    x = np.repeat(np.array([r["x"] for r in fitted]), [r["count"] for r in fitted], axis=0)
-    y = np.repeat(np.array([r["y"] for r in fitted], dtype=float), [r["count"] for r in fitted])
-    return ToxicityModel(insults, *_learned_weights(x, y))
+    x, y, n = (np.array([r[name] for r in fitted], dtype=float) for name in ("x", "y", "count"))
+    return ToxicityModel(insults, *_learned_weights(x, y, n))
 
 
 def toxicity_scores(docs: DataFrame, model: ToxicityModel, name: str = "score") -> DataFrame:
     """``docs`` with the score of its ``text``, from 0 to 1.
 
     One pass over whole texts, no shuffle; NULL and empty texts get the score of a
-    text without matches.  All other columns and repeated rows stay.
+    text without matches.  All other columns and repeated rows stay; a column that has the
+    name ``name`` already is replaced by the score.
     """
 
     def scored(text: pa.Array) -> pa.Array:

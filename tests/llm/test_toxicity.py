@@ -1,9 +1,24 @@
 import itertools
+import random
+import re
 
 import numpy as np
 import pytest
 
-from sedimenta.llm.toxicity import FEATURES, GRAMMAR, SYMBOLS, ToxicityModel, Transducer, _fading, _reported, fit_toxicity, toxicity_scores
+from sedimenta.llm import toxicity
+from sedimenta.llm.toxicity import (
+    BACKWARD,
+    FEATURES,
+    GRAMMAR,
+    LAYERS,
+    SYMBOLS,
+    ToxicityModel,
+    Transducer,
+    _learned_weights,
+    clause_symbols,
+    fit_toxicity,
+    toxicity_scores,
+)
 from tests.llm.helpers import documents, words
 
 MODEL = ToxicityModel({"fool": 1.0, "grub*": 1.0}, tuple(2.0 * w for w in FEATURES.values()), -2.5)
@@ -14,14 +29,17 @@ def run(machine, text):
 
 
 def test_composition_is_one_machine_after_the_other():
-    layers = [_fading("N", 3, "n", "IT"), _reported(), _fading("P", 4, "A", "I")]
-    for text in map("".join, itertools.product("ITPNRQCo", repeat=4)):
+    for text in map("".join, itertools.product("ITPYONRQCo", repeat=4)):
         step = text
-        for layer in layers:
+        for layer in LAYERS:
             step = run(layer, step)
         assert run(GRAMMAR, text) == step
 
 
+def both(text):
+    return "".join(SYMBOLS[s] for s in clause_symbols([SYMBOLS.index(c) for c in text]))
+
+
 def test_negation_report_and_target():
     assert run(GRAMMAR, "oIo") == "oIo"
     assert run(GRAMMAR, "PoI") == "PoA"
@@ -30,25 +48,108 @@ def test_negation_report_and_target():
     assert run(GRAMMAR, "NoooI") == "NoooI"
     assert run(GRAMMAR, "QIQI") == "QqQI"
     assert run(GRAMMAR, "RoIC") == "RoqC"
-    assert isinstance(GRAMMAR, Transducer)
+    assert both("oTY") == "oBY" and both("IoP") == "AoP" and both("ICP") == "ICP"
+    assert both("NTY") == "NmY" and both("QTQY") == "QrQY"
+    assert both("YTo") == "YTo" and both("OoT") == "OoB" and both("TP") == "TP" and both("YI") == "YA"
+    assert isinstance(GRAMMAR, Transducer) and len(BACKWARD.next) == 16
 
 
 @pytest.mark.parametrize(
     ("text", "name"),
-    [("You are a fool.", "A"), ("a Fool; so", "I"), ("you are not a fool", "n"), ('she said: "fool"', "q"), ("we will kill", "T"), ("GRUBBISH!", "I")],
-)
+    [
+        ("You are a fool.", "A"), ("a Fool; so", "I"), ("you are not a fool", "n"), ('she said: "fool"', "q"),
+        ("the kill switch", "T"), ("we will kill you", "B"), ("I never kill", "m"), ('"kill" he wrote', "r"), ("GRUBBISH!", "I"),
+        ("you kill the process", "T"), ("ich werde dich töten", "B"), ("they kill them", "T"), ("fool, you know", "I"), ("fool you know", "A"), ("kill a fool you", "B"),
+    ],
+)
 def test_features(text, name):
     got = dict(zip(FEATURES, MODEL.features(text), strict=True))
     assert {k for k, v in got.items() if v} == {name}
 
 
+def brute_features(text):
+    """The clause rules stated again, over lists of words."""
+    sums = dict.fromkeys(FEATURES, 0.0)
+    for sentence in re.split(r"[.!?\n]", text.lower()):
+        words = re.findall(r"[^\W\d_]+(?:'[^\W\d_]+)?|[,;:]|[\"“”«»]", sentence)
+        quoted, reported, kinds = False, False, []
+        clause = 0
+        for i, w in enumerate(words):
+            if w in ",;:":
+                clause += 1
+            elif w in '"“”«»':
+                # A quote opens also after a reporting verb; closing ends both.
+                quoted, reported = (False, False) if quoted else (True, reported)
+            elif w in toxicity.REPORTS and not quoted:
+                reported = True
+            insult = w == "fool" or w.startswith("grub") and len(w) >= 5
+            if not insult and w not in toxicity.THREATS:
+                continue
+            before3 = words[max(0, i - 3) : i]
+            negated = any(
+                x in toxicity.NEGATIONS and not any(c in ",;:" for c in before3[k:]) for k, x in enumerate(before3)
+            )
+            before4 = words[max(0, i - 4) : i]
+            after3 = words[i + 1 : i + 4]
+            ahead, behind = toxicity.AIMED_AT, toxicity.AIMED_AT | toxicity.SPOKEN_TO
+            if insult:
+                ahead = behind = behind | toxicity.TARGETS
+            aimed = any(x in ahead and not any(c in ",;:" for c in before4[k:]) for k, x in enumerate(before4))
+            aimed |= any(x in behind and not any(c in ",;:" for c in after3[:k]) for k, x in enumerate(after3))
+            if negated:
+                kind = "n" if insult else "m"
+            elif quoted or reported:
+                kind = "q" if insult else "r"
+            elif aimed:
+                kind = "A" if insult else "B"
+            else:
+                kind = "I" if insult else "T"
+            kinds.append((clause, kind, 1.0 if insult else 1.5))
+        for own in range(clause + 1):
+            found = {k for c, k, _ in kinds if c == own}
+            if found:
+                sums[next(f for f in FEATURES if f in found)] += sum(w for c, _, w in kinds if c == own)
+    return list(sums.values())
+
+
+def test_features_and_score_equal_brute_force():
+    pick = random.Random(4)
+    some = ["fool", "grubby", "kill", "hurt", "you", "they", "dich", "not", "never", "said", ",", ";", '"', ".", "the", "a", "sky", "grub"]
+    for _ in range(3000):
+        text = " ".join(pick.choices(some, k=pick.randint(0, 25)))
+        want = brute_features(text)
+        assert MODEL.features(text).tolist() == want, text
+        logit = sum(x * 2.0 * w for x, w in zip(want, FEATURES.values(), strict=True)) - 2.5
+        assert MODEL.score(MODEL.features(text)) == pytest.approx(1 / (1 + np.exp(-min(30, max(-30, logit)))))
+
+
+def ordered(model, insult):
+    score = lambda t: model.score(model.features(t))
+    assert score(f"you {insult}") >= score(f"the {insult} here") >= score(f"not the {insult}") >= score("")
+    assert score(f"you are {insult}") >= score(f'"{insult}" he wrote')
+    assert score("I will kill you") >= score("the kill switch") >= score("never kill") >= score("")
+    return score
+
+
 def test_scores_order_and_bounds():
-    score = lambda t: MODEL.score(MODEL.features(t))
+    score = ordered(MODEL, "fool")
     assert 0 <= score(None) == score("") == score("a plain text") < 0.3
     assert score("you fool") > score("a fool") > score("not a fool") > score("")
+    assert score("I will kill you") >= 0.3 > score("the kill switch")
     assert score("fool. " * 100_000) <= 1
 
 
+def test_weights_are_never_out_of_order():
+    # Labels that say the opposite: aimed insults are harmless, negated ones are not.
+    pick = np.random.default_rng(3)
+    x = pick.integers(0, 3, (400, len(FEATURES))).astype(float)
+    names = list(FEATURES)
+    y = (x[:, names.index("n")] + x[:, names.index("m")] > x[:, names.index("A")] + x[:, names.index("B")]).astype(float)
+    weights, _ = _learned_weights(x, y, np.ones(len(x)))
+    w = dict(zip(names, weights, strict=True))
+    assert w["A"] >= w["I"] >= max(w["n"], w["q"]) >= 0 and w["B"] >= w["T"] >= max(w["m"], w["r"]) >= 0
+
+
 def corpus(n=800):
     rows, labels = [], []
     for i in range(n):
@@ -72,6 +173,7 @@ def test_learned_grammar_on_held_out_rows(spark):
     out = {r.doc_id: r.score for r in toxicity_scores(docs, model).collect()}
     wrong = [i for i, toxic in labels if (out[i] >= 0.3) != bool(toxic)]
     assert len(wrong) <= len(labels) // 100
+    ordered(model, "blarg")
 
 
 def test_near_copies_do_not_make_insults(spark):
