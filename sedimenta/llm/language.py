@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from sedimenta.llm.carried import unused
+
 #: Input number of positions after the end of a text.
 _PAD = 256
 #: Bytes of a stretch that the network reads at once, in training and in use.
@@ -23,7 +25,7 @@ _BATCH, _CELLS = 4096, 1 << 18
 _TOGETHER = 128
 #: Prediction for texts without any letter.
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # a letter by its category: signs for numbers are none
 
 
 @dataclass
@@ -285,7 +287,7 @@ def language_predictions(docs: DataFrame, model: LanguageModel | None) -> DataFr
 
     Whole texts, one pass, no shuffle.  A text that is NULL or has no letter is
     ``und`` with score 0, as is every text when nothing could be learned.  All
-    other columns and repeated rows stay; columns of these two names are replaced.
+    other columns, whatever their names, and repeated rows stay; columns of these two names are replaced.
     """
     kind = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
@@ -302,5 +304,6 @@ def language_predictions(docs: DataFrame, model: LanguageModel | None) -> DataFr
                 score[places] = np.clip(p.max(axis=1), 0.0, 1.0)
         return pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score)], ["lang_pred", "score"])
 
-    made = docs.withColumn("_language", F.arrow_udf(predict, kind)("text"))
-    return made.withColumns({"lang_pred": F.col("_language.lang_pred"), "score": F.col("_language.score")}).drop("_language")
+    made = unused("_language", docs.columns)
+    named = docs.withColumn(made, F.arrow_udf(predict, kind)("text"))
+    return named.withColumns({"lang_pred": F.col(made)["lang_pred"], "score": F.col(made)["score"]}).drop(made)
