@@ -6,6 +6,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from math import log
 
 import numpy as np
@@ -72,11 +73,15 @@ class Transducer:
                 both.out[a * theirs + b] = other.out[b, between]
         return both
 
+    @cached_property
+    def _steps(self) -> list[list[tuple[int, int]]]:
+        return [list(zip(*rows, strict=True)) for rows in zip(self.next.tolist(), self.out.tolist(), strict=True)]
+
     def run(self, symbols: list[int]) -> list[int]:
-        state, out, to, emit = 0, [], self.next.tolist(), self.out.tolist()
+        state, out, steps = 0, [], self._steps
         for s in symbols:
-            out.append(emit[state][s])
-            state = to[state][s]
+            state, made = steps[state][s]
+            out.append(made)
         return out
 
 
