@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.functions.columns import date_key
+from sedimenta.functions.columns import date_key, month_key
 from sedimenta.operators.merge import replace_where
 from sedimenta.plans import dimensions, facts, snapshots
 from sedimenta.plans.schemas import PARTITIONED_BY, STAR_SCHEMA
@@ -50,7 +50,8 @@ def run_star(
 
     Of facts in folders by one column a build writes only the partitions its orders
     enter or leave, and those of the lines it replaces; a manifest names the others,
-    which keep their files.  With a ``database`` the facts are published there.
+    which keep their files.  Of order facts by day the snapshot reads only months that changed.
+    With a ``database`` the facts are published there.
 
     A build that failed is run again with the same version: tables it had completed
     are taken as they are.
@@ -138,10 +139,19 @@ def run_star(
             publish(spark, f"{database}.{name}", f"{root}/{name}", version)
 
     orders, lines = (read_star(spark, root, name, version) for name in ("fact_orders", "fact_order_lines"))
-    snapshot = write(
-        "agg_customer_monthly_snapshot",
-        snapshots.customer_monthly_snapshot(orders, days, run_id, as_of),
-    )
+    if partition_by.get("fact_orders") == (day,):
+        # Days the dimension did not know before bring in facts that were left out.
+        also: list[int] = []
+        if before is not None:
+            added = days.join(before, "dim_date_key", "left_anti").select(month_key("full_date")).distinct()
+            also = [row[0] for row in added.collect()]
+        months = snapshots.maintain_customer_months(
+            spark, f"{root}/fact_orders", f"{root}/customer_months", version, days, also=also
+        )
+        snapshot = snapshots.snapshot_of_months(months, run_id, as_of)
+    else:
+        snapshot = snapshots.customer_monthly_snapshot(orders, days, run_id, as_of)
+    snapshot = write("agg_customer_monthly_snapshot", snapshot)
     return {
         "dim_date": days,
         "dim_product": products,

@@ -53,6 +53,15 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+def child_folders(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the folders in a folder; none where there is no such folder."""
+    system, place = _place(spark, folder)
+    if not system.exists(place):
+        return []
+    found = [status.getPath().getName() for status in system.listStatus(place) if status.isDirectory()]
+    return sorted(name for name in found if not name.startswith(("_", ".")))
+
+
 def partition_folders(spark: SparkSession, folder: str) -> list[str]:
     """Partitions below a folder, as ``a=1/b=2``: a listing, no file is read."""
     system, place = _place(spark, folder)
@@ -85,7 +94,14 @@ def partition_places(spark: SparkSession, root: str, version: int) -> dict[str,
         rows = spark.read.parquet(manifest_path(root, version)).filter("schema IS NULL").collect()
         return {row["part"]: row["version"] for row in rows}
     folder = snapshot_path(root, version)
-    return dict.fromkeys(partition_folders(spark, folder) or [""], version)
+    return dict.fromkeys(partition_folders(spark, folder) or _whole(spark, folder), version)
+
+
+def _whole(spark: SparkSession, folder: str) -> list[str]:
+    """The one part of a folder of files; a partitioned table without rows has none."""
+    system, place = _place(spark, folder)
+    names = [status.getPath().getName() for status in system.listStatus(place)]
+    return [""] if any(not name.startswith(("_", ".")) for name in names) else []
 
 
 def manifest_schema(spark: SparkSession, root: str, version: int) -> StructType:
