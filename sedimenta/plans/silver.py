@@ -23,6 +23,7 @@ from sedimenta.operators.quality import (
     tag_rows,
     valid_rows,
 )
+from sedimenta.plans.replay import write_exception_log
 from sedimenta.sinks.buckets import load_history, start_history
 from sedimenta.sinks.tables import write_quarantine, write_snapshot
 from sedimenta.sources.tables import read_path
@@ -91,6 +92,7 @@ def run_silver(
     on_error: str = "reject",
     small_source: bool = False,
     buckets: int | None = None,
+    log_root: str | None = None,
 ) -> DataFrame:
     """One load end to end; returns its metrics row.
 
@@ -99,7 +101,8 @@ def run_silver(
     repeats the source scan, the rules or the parent joins.  ``small_source`` is
     passed on to the history merge.
 
-    With ``buckets`` a history is kept in two parts (see
+    With ``log_root`` the rejections by rule are logged there, for
+    :func:`sedimenta.plans.replay.replay_quarantine` and reports.  With ``buckets`` a history is kept in two parts (see
     :func:`sedimenta.sinks.buckets.start_history`): the load goes on from the version before
     in ``root``, whatever ``target`` is, and writes only folders in which a version opens.
     """
@@ -118,7 +121,9 @@ def run_silver(
 
     require_unique(accepted, config.keys)
     # Quarantine first: a run that fails in between is simply run again.
-    write_quarantine(refused, quarantine_root, "silver", config.name, run_id, as_of)
+    place = write_quarantine(refused, quarantine_root, "silver", config.name, run_id, as_of)
+    if log_root is not None:
+        write_exception_log(refused, log_root, config.name, run_id, place, as_of)
     if buckets:
         loaded, place = with_audit(accepted, run_id, {"_load_timestamp": as_of}), f"{root}/{config.name}"
         if version == 1:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sedimenta.operators.changes import latest_per_key
 from sedimenta.operators.keys import greatest_key, with_surrogate_key, with_unknown_member
 from sedimenta.plans import dimensions, facts, snapshots, views
+from sedimenta.plans.late_keys import Reference, open_references, rekey_facts
 from sedimenta.plans.schemas import STAR_SCHEMA
 from sedimenta.plans.star import run_star
 from sedimenta.session import fresh_path, stored
@@ -387,6 +388,41 @@ def _fact_columns() -> list[str]:
     return list(STAR_SCHEMA["fact_orders"].names)
 
 
+@query(
+    "fact_orders_rekeyed",
+    with_inputs(
+        [*_ORDER_INPUTS, "arrived_customers"],
+        f"""{_FACT_ORDERS}, later AS ({_later_load_sql('dim_customer', 'arrived_customers', RUN_2, SECOND_LOAD)})""",
+        f"""SELECT * REPLACE ({_AMOUNTS}) FROM (
+              SELECT f.* REPLACE (CASE WHEN f.dim_customer_key = -1 THEN coalesce(l.dim_customer_key, -1)
+                                       ELSE f.dim_customer_key END AS dim_customer_key)
+              FROM fact_orders f JOIN silver_orders o ON f.order_number = o.order_number
+              LEFT JOIN later l ON l._is_current AND l.customer_id = o.customer_id)""",
+    ),
+)
+def fact_orders_rekeyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders came before some customers: once those arrive, partitions with such orders get their keys."""
+    root, orders = fresh_path(spark, "star"), frame(spark, sf_dir, "silver_orders")
+    customers = stored(_dim_customer(spark, sf_dir), "customers")
+    built = facts.fact_orders(orders, customers, _dim_location(spark, sf_dir), RUN_3, THIRD_LOAD)
+    built = built.withColumn("month_key", (F.col("dim_date_key") / 100).cast("int"))
+    first = write_snapshot(built, f"{root}/facts", 1, ["month_key"])
+    customer = Reference("dim_customer_key", "customer_id", "customer_id")
+    write_snapshot(open_references(first, orders, ["order_number"], "month_key", [customer]), f"{root}/open", 1)
+    later = dimensions.dim_customer(customers, frame(spark, sf_dir, "arrived_customers"), RUN_2, SECOND_LOAD)
+    rekeyed = rekey_facts(
+        spark,
+        f"{root}/facts",
+        f"{root}/open",
+        2,
+        ["order_number"],
+        "month_key",
+        [customer],
+        {"dim_customer_key": later.filter("_is_current")},
+    )
+    return rekeyed.select(*_fact_columns())
+
+
 _FACT_LINES = f"""
 {_CUSTOMER}, {_PRODUCT},
 fact_order_lines AS (
@@ -500,6 +536,47 @@ def customer_monthly_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _snapshot(spark, sf_dir)
 
 
+_MOVED = "CASE WHEN dim_customer_key % 7 = 0 THEN dim_date_key - 10000 ELSE dim_date_key END"
+_INCREMENTAL = f"""
+{_FACT_ORDERS},
+older AS (SELECT * FROM fact_orders WHERE dim_date_key < 20010101),
+newer AS (SELECT * REPLACE ({_MOVED} AS dim_date_key, CAST(total_amount + 1 AS DECIMAL(18,2)) AS total_amount)
+          FROM fact_orders WHERE dim_date_key >= 20000101),
+merged AS (SELECT * FROM older WHERE order_number NOT IN (SELECT order_number FROM newer)
+           UNION ALL SELECT * FROM newer),
+{_SNAPSHOT[_SNAPSHOT.index(_DATES.strip()[:20]):].replace("FROM fact_orders JOIN dim_date", "FROM merged JOIN dim_date")}
+"""
+
+
+@query(
+    "customer_monthly_incremental",
+    with_inputs(
+        _ORDER_INPUTS,
+        _INCREMENTAL,
+        """SELECT * REPLACE (CAST(monthly_revenue AS DOUBLE) AS monthly_revenue,
+                             CAST(monthly_discount AS DOUBLE) AS monthly_discount,
+                             CAST(lifetime_revenue AS DOUBLE) AS lifetime_revenue) FROM snapshot""",
+    ),
+)
+def customer_monthly_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of the facts that a load changed are summed again; running sums go on from those before."""
+    built = stored(_fact_orders(spark, sf_dir), "facts")
+    month = (F.col("dim_date_key") / 100).cast("int")
+    older = built.filter("dim_date_key < 20010101")
+    newer = built.filter("dim_date_key >= 20000101").withColumns(
+        {"dim_date_key": F.expr(_MOVED), "total_amount": (F.col("total_amount") + 1).cast("decimal(18,2)")}
+    )
+    root, days = fresh_path(spark, "star"), stored(_dim_date(spark, sf_dir), "days")
+    facts_root, state = f"{root}/facts", f"{root}/months"
+    first = write_snapshot(older.withColumn("month_key", month), facts_root, 1, ["month_key"])
+    upsert_version(newer.withColumn("month_key", month), ["order_number"], "month_key", facts_root, 2)
+    for version in (1, 2):
+        months = snapshots.maintain_customer_months(
+            spark, facts_root, state, version, days, month_of=lambda m: m, facts_schema=first.schema
+        )
+    return snapshots.snapshot_of_months(months, RUN_3, THIRD_LOAD)
+
+
 @query(
     "v_customer_360",
     with_inputs(

@@ -202,6 +202,28 @@ INPUTS: dict[str, Input] = {
             "CASE WHEN c_acctbal < 0 THEN 'Dormant' ELSE 'Active' END AS status",
         ),
     ),
+    # The same customers once all are found under their own keys.
+    "arrived_customers": Input(
+        "customer",
+        (
+            "c_custkey AS customer_id",
+            "lower(replace(c_name, '#', '.')) || '@example.com' AS email",
+            "'Customer' AS first_name",
+            "substr(c_name, 10) AS last_name",
+            "'U' AS gender",
+            "DATE '1970-01-01' AS date_of_birth",
+            "TIMESTAMP '1995-01-01 00:00:00' AS registration_date",
+            "c_mktsegment AS customer_type",
+            "CASE WHEN c_acctbal < 0 THEN 'Dormant' ELSE 'Active' END AS status",
+        ),
+    ),
+    # Customers as the parents of orders, as three loads in a row know them: the second adds some of those in
+    # debt, the third loses a nation's.
+    "parents_1": Input("customer", (f"{shifted('c_custkey', 'c_acctbal <= 0')} AS c_custkey",)),
+    "parents_2": Input("customer", (f"{shifted('c_custkey', 'c_acctbal <= 0 AND c_nationkey >= 12')} AS c_custkey",)),
+    "parents_3": Input(
+        "customer", (f"{shifted('c_custkey', '(c_acctbal <= 0 AND c_nationkey >= 12) OR c_nationkey = 3')} AS c_custkey",)
+    ),
     # Customers as the parents of orders; those in debt are not found under their key.
     "parents": Input("customer", (f"{shifted('c_custkey', 'c_acctbal <= 0')} AS c_custkey",)),
 }

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sedimenta.config import ERROR, FORMAT_CHECK, NULL_CHECK, RANGE_CHECK, REF_INTEGRITY, WARNING, Rule, TableConfig
 from sedimenta.functions.columns import row_hash, with_audit
 from sedimenta.functions.strings import cast_timestamps, clean_strings
+from sedimenta.operators.audit import next_orphans
 from sedimenta.operators.changes import latest_per_key
 from sedimenta.operators.history import (
     current_rows,
@@ -27,16 +29,18 @@ from sedimenta.operators.quality import (
     valid_rows,
     warned_rows,
 )
+from sedimenta.plans.replay import replay_quarantine
 from sedimenta.plans.silver import run_silver, silver_transform
 from sedimenta.session import fresh_path, stored
 from sedimenta.sinks.buckets import BUCKET, load_history, start_history
 from sedimenta.sinks.tables import write_quarantine
-from sedimenta.sources.tables import quarantine_summary
+from sedimenta.sources.tables import quarantine_summary, read_snapshot
 from workload.inputs import (
     AS_OF_DAY,
     FIRST_LOAD,
     RUN_1,
     RUN_2,
+    RUN_3,
     SECOND_LOAD,
     THIRD_LOAD,
     frame,
@@ -214,6 +218,98 @@ def ri_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphan_rows(child, "o_custkey", parent, "c_custkey", "DQ-R-001")
 
 
+def _audit_sql(load: int, until: str) -> str:
+    return f"""SELECT {load} AS load, o_orderkey, o_custkey, 'DQ-R-001' AS rule_id FROM orders o
+               WHERE {until} AND NOT EXISTS (SELECT 1 FROM parents_{load} c WHERE c.c_custkey = o.o_custkey)"""
+
+
+_TRANCHES = [
+    f"o_orderdate < TIMESTAMP '{FIRST_LOAD}'",
+    f"o_orderdate >= TIMESTAMP '{FIRST_LOAD}' AND o_orderdate < TIMESTAMP '{SECOND_LOAD}'",
+    f"NOT coalesce(o_orderdate < TIMESTAMP '{SECOND_LOAD}', FALSE)",
+]
+
+
+@query(
+    "ri_orphans_maintained",
+    with_inputs(
+        ["parents_1", "parents_2", "parents_3"],
+        "",
+        " UNION ALL ".join(
+            [_audit_sql(1, _TRANCHES[0]), _audit_sql(2, f"o_orderdate < TIMESTAMP '{SECOND_LOAD}'"), _audit_sql(3, "TRUE")]
+        ),
+    ),
+)
+def ri_orphans_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphans after three loads of orders, the second with new parents, the third with lost ones."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    parents = [frame(spark, sf_dir, f"parents_{load}") for load in (1, 2, 3)]
+    state, states = None, []
+    for load, (tranche, now) in enumerate(zip(_TRANCHES, parents, strict=True), 1):
+        before = parents[load - 2]
+        state = next_orphans(
+            state,
+            ["o_orderkey"],
+            "o_custkey",
+            orders.filter(tranche).drop("o_orderdate"),
+            now,
+            "c_custkey",
+            "DQ-R-001",
+            new_parents=now.join(before, "c_custkey", "left_anti") if load > 1 else None,
+            lost_parents=before.join(now, "c_custkey", "left_anti") if load > 1 else None,
+            children=orders.drop("o_orderdate") if load == 3 else orders.filter(" OR ".join(f"({t})" for t in _TRANCHES[:load])).drop("o_orderdate"),
+        )
+        state = stored(state, "orphans")
+        states.append(state.withColumn("load", F.lit(load)))
+    return states[0].unionByName(states[1]).unionByName(states[2])
+
+
+_REPLAYED = f"""
+{_CHECKED},
+e AS (SELECT *, email IS NOT NULL AS n1, coalesce(regexp_matches(email, '{EMAIL_PATTERN}'), FALSE) AS f1,
+             coalesce(balance > 0, FALSE) AS v1 FROM earlier_customers),
+ok1 AS (SELECT {_ROW} FROM checked WHERE n1 AND f1 AND v1), no1 AS (SELECT {_ROW} FROM checked WHERE NOT (n1 AND f1 AND v1)),
+ok2 AS (SELECT {_ROW} FROM e WHERE n1 AND f1 AND v1), no2 AS (SELECT {_ROW} FROM e WHERE NOT (n1 AND f1 AND v1)),
+state AS (SELECT *, '{RUN_2}' AS run, TIMESTAMP '{SECOND_LOAD}' AS since FROM ok2
+          UNION ALL SELECT *, '{RUN_1}', TIMESTAMP '{FIRST_LOAD}' FROM ok1
+          WHERE customer_id NOT IN (SELECT customer_id FROM ok2)),
+waiting AS (SELECT *, TIMESTAMP '{SECOND_LOAD}' AS since FROM no2
+            UNION ALL SELECT *, TIMESTAMP '{FIRST_LOAD}' FROM no1 WHERE customer_id NOT IN (SELECT customer_id FROM no2)),
+again AS (SELECT {_ROW} FROM waiting w WHERE email IS NOT NULL AND balance > 0 - 500
+          AND NOT EXISTS (SELECT 1 FROM state s WHERE s.customer_id = w.customer_id AND s.since > w.since))
+"""
+
+
+@query(
+    "dlq_replay",
+    with_inputs(
+        ["raw_customers", "earlier_customers"],
+        _REPLAYED,
+        f"""SELECT {_ROW}, run AS _pipeline_run_id, since AS _load_timestamp FROM state
+            WHERE customer_id NOT IN (SELECT customer_id FROM again)
+            UNION ALL SELECT *, '{RUN_3}', TIMESTAMP '{THIRD_LOAD}' FROM again""",
+    ),
+)
+def dlq_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads with rejections, then a replay under milder rules, run twice: every row that
+    passes now is moved once, unless a later load has replaced it."""
+    root = fresh_path(spark, "conformed")
+    dlq, log = f"{root}-quarantine", f"{root}-log"
+    config = TableConfig("customers", ("customer_id",), 1)
+    loads = ((RUN_1, FIRST_LOAD, "raw_customers"), (RUN_2, SECOND_LOAD, "earlier_customers"))
+    target = None
+    for version, (run, as_of, name) in enumerate(loads, 1):
+        source = frame(spark, sf_dir, name)
+        run_silver(source, target, config, CUSTOMER_RULES, root, version, run, as_of, dlq, log_root=log)
+        target = read_snapshot(spark, f"{root}/customers", version)
+    milder = [EMAIL_PRESENT, Rule("DQ-V-002", RANGE_CHECK, "balance", "balance > -500"), TYPE_PRESENT]
+    schema = clean_strings(frame(spark, sf_dir, "raw_customers")).schema
+    for version, run in ((3, RUN_3), (3, RUN_3), (4, "run-4")):
+        replay_quarantine(spark, schema, target, config, milder, root, version, run, THIRD_LOAD, dlq, log)
+        target = read_snapshot(spark, f"{root}/customers", version)
+    return target
+
+
 @query(
     "dlq_summary",
     with_inputs(
