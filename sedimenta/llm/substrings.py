@@ -38,11 +38,16 @@ class Windows:
     """
 
     def __init__(self, data: np.ndarray, ends: np.ndarray, length: int):
-        """``ends``: where each document of the pack ends."""
+        """``ends``: where each document of the pack ends.
+
+        Strings are read in stretches of bounded length and only beginnings of runs are
+        kept, about one in seventeen places, so a very long document takes little beside its bytes.
+        """
         kmers = length - ANCHOR + 1
-        anchors, hashes = [], []
         total = max(0, len(data) - length + 1)
         low = (1 << _POSITION_BITS) - 1
+        begins = np.unique(np.concatenate([[0], ends[:-1]]).astype(np.int64)) if len(ends) else np.empty(0, np.int64)
+        places, anchors, hashes, before = [], [], [], -1
         for start in range(0, total, _CHUNK):
             n = min(_CHUNK, total - start)
             value = RollingHash(data[start : start + n + length - 1]).every(ANCHOR) & ~_U(low)
@@ -52,18 +57,26 @@ class Windows:
                 step = min(width, kmers - width)
                 value = np.minimum(value[:-step], value[step:])
                 width += step
-            anchors.append((value & _U(low)).astype(np.int64) + start)
-            hashes.append(value >> _U(_POSITION_BITS))
+            anchor = (value & _U(low)).astype(np.int64) + start
+            fresh = np.empty(n, bool)
+            fresh[0], fresh[1:] = anchor[0] != before, anchor[1:] != anchor[:-1]
+            fresh[begins[np.searchsorted(begins, start) : np.searchsorted(begins, start + n)] - start] = True
+            at = np.flatnonzero(fresh)
+            places.append(at + start)
+            anchors.append(anchor[at])
+            hashes.append(value[at] >> _U(_POSITION_BITS))
+            before = anchor[-1]
+        first = np.concatenate([np.empty(0, np.int64), *places])
         anchor = np.concatenate([np.empty(0, np.int64), *anchors])
         value = np.concatenate([np.empty(0, _U), *hashes])
-        doc = np.repeat(np.arange(len(ends)), np.diff(np.concatenate([[0], ends])))[:total]
-        inside = np.arange(total) + length <= ends[doc]
-        first = np.flatnonzero(inside & np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])])[:total])
+        doc = np.searchsorted(ends, first, side="right")
         # Strings that cross a document's end follow its last run.
+        inside = first + length <= ends[doc]
+        first, anchor, value, doc = first[inside], anchor[inside], value[inside], doc[inside]
         stop = np.concatenate([first[1:], [total]])[: len(first)]
-        last = np.minimum(stop, ends[doc[first]] - length + 1)
+        last = np.minimum(stop, ends[doc] - length + 1)
         self.start, self.count = first, last - first
-        self.doc, self.value, self.offset = doc[first], value[first], anchor[first] - first
+        self.doc, self.value, self.offset = doc, value, anchor - first
 
 
 class Contents:
@@ -367,7 +380,7 @@ def repeated_spans(docs: DataFrame, length: int = 50, pack_bytes: int = 2_000_00
                 begin = (c.start[at] + np.repeat(nth.astype(np.int64), times))[lower]
                 np.add.at(marks, begin, 1)
                 np.add.at(marks, begin + np.repeat(runs.astype(np.int64), times)[lower] + length - 1, -1)
-            gone = np.cumsum(marks)[:-1] > 0
+            gone = np.cumsum(marks, dtype=np.int32)[:-1] > 0
             start = 0
             for doc, end in zip(ids, ends, strict=True):
                 own = gone[start:end]

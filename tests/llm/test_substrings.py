@@ -1,8 +1,9 @@
 import random
+import tracemalloc
 
 import numpy as np
 
-from sedimenta.llm.substrings import equal_strings, repeated_spans
+from sedimenta.llm.substrings import Windows, equal_strings, repeated_spans
 from tests.llm.helpers import documents, words
 
 
@@ -79,3 +80,25 @@ def test_block_order_and_classes():
     seen = [(residue[k], strings[k]) for k in order]
     assert [a != b for a, b in zip(seen, seen[1:], strict=False)] == list(new[1:])
     assert len(set(zip(residue, strings, strict=True))) == new.sum()
+
+
+def test_a_long_text_takes_little_memory_beside_its_bytes():
+    data = np.random.default_rng(5).integers(97, 101, 8_000_000).astype(np.uint8)
+    tracemalloc.start()
+    whole = Windows(data, np.array([len(data)]), 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * len(data)
+    assert (whole.start[1:] == whole.start[:-1] + whole.count[:-1]).all() and whole.count.sum() == len(data) - 49
+
+
+def test_runs_of_a_pack_are_those_of_its_documents():
+    pick = np.random.default_rng(6)
+    texts = [pick.integers(97, 100, n).astype(np.uint8) for n in (0, 49, 50, 51, 70_000, 0, 200_000, 65_536, 65_585, 10)]
+    pack = Windows(np.concatenate(texts), np.cumsum([len(t) for t in texts]), 50)
+    at = 0
+    for doc, text in enumerate(texts):
+        own, mine = Windows(text, np.array([len(text)]), 50), pack.doc == doc
+        assert (pack.start[mine] - at == own.start).all() and (pack.count[mine] == own.count).all()
+        assert (pack.value[mine] == own.value).all() and (pack.offset[mine] == own.offset).all()
+        at += len(text)
