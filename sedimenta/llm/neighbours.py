@@ -183,9 +183,19 @@ def _fitting(values: np.ndarray, unit: float) -> np.ndarray:
 _INDEX = "dim int, rb int, unit double, ids binary, copies binary, counts array<int>, vectors binary, sizes array<int>, links binary"
 
 
-def vector_index(vectors: DataFrame, k: int, shard_rows: int = 4096) -> tuple[DataFrame, int]:
+#: Nodes of a shard: at least, so that graphs pay, and at most, so that one is built in minutes.
+LEAST_NODES, MOST_NODES = 4096, 32768
+
+
+def shard_count(nodes: int, tasks: int, least: int = LEAST_NODES, most: int = MOST_NODES) -> int:
+    """As few shards as their bound allows (every query visits each), but one for each of ``tasks``
+    that run at once while shards do not get too small."""
+    return max(1, -(-nodes // most), min(tasks, -(-nodes // least)))
+
+
+def vector_index(vectors: DataFrame, k: int, shard_rows: int | None = None) -> tuple[DataFrame, int]:
     """A graph per shard as one row of flat arrays, in the shared folder, and the
-    number of shards.
+    number of shards (by :func:`shard_count`, or of ``shard_rows`` nodes each).
 
     A node is a distinct vector; its members are the rows that hold it.  Every row that
     can be in a result is a member: a query leaves out its own id only, so of
@@ -206,7 +216,9 @@ def vector_index(vectors: DataFrame, k: int, shard_rows: int = 4096) -> tuple[Da
         F.col("_members.copies").alias("copies"),
     )
     nodes = stored(nodes, "vectors")
-    dealt, n = blocked(nodes, "rb", shard_rows, nodes.count())
+    total = nodes.count()
+    n = shard_count(total, nodes.sparkSession.sparkContext.defaultParallelism) if shard_rows is None else max(1, -(-total // shard_rows))
+    dealt, n = blocked(nodes, "rb", -(-total // n) or 1, total)
 
     def build(shard: pa.Table) -> pa.Table:
         first, values = shard.column("vec_id").to_numpy(), matrix(shard, "v")
@@ -230,7 +242,9 @@ def vector_index(vectors: DataFrame, k: int, shard_rows: int = 4096) -> tuple[Da
         }
         return pa.table(row)
 
-    return stored(dealt.groupBy("dim", "rb").applyInArrow(build, _INDEX), "graphs"), n
+    # Building takes long and reads little: a number of partitions of its own keeps shards apart.
+    apart = dealt.repartition(2 * n, "dim", "rb")
+    return stored(apart.groupBy("dim", "rb").applyInArrow(build, _INDEX), "graphs"), n
 
 
 def _opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Graph, float]:
@@ -273,7 +287,7 @@ def nearest_neighbours(
     is_query: Column,
     k: int = 10,
     beam: int = SEARCH_BEAM,
-    shard_rows: int = 4096,
+    shard_rows: int | None = None,
     query_rows: int = 4096,
 ) -> DataFrame:
     """Each query's ``k`` nearest rows found, by Euclidean distance on the vectors.
@@ -286,8 +300,8 @@ def nearest_neighbours(
     candidates each, but none for a query of that id; of such queries the least vector stands.
     Empty tables give an empty result.
 
-    Distinct vectors are dealt to shards of bounded size by a hash of id and vector; each shard's
-    graph is built in one task and meets each block of queries in one task.
+    Distinct vectors are dealt to shards of bounded size (see :func:`shard_count`) by a hash of id and
+    vector; each shard's graph is built in one task and meets each block of queries in one task.
     """
     whole = vectors.filter(
         F.col("vec_id").isNotNull() & usable("embedding") & F.exists("embedding", lambda x: x != 0)

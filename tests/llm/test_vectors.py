@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from sedimenta.llm.neighbours import nearest_neighbours
+from sedimenta.llm.neighbours import nearest_neighbours, shard_count
 from sedimenta.llm.topk import exact_top_k, fitted_rotation, haar_basis, resolutions, search_block, segment_statistics
 from sedimenta.llm.vectors import blocked
 
@@ -148,3 +148,8 @@ def test_neighbours_edge_cases(spark):
     assert [(r.query_id, r["rank"], r.vec_id) for r in found] == [(0, 1, 1), (0, 2, 2), (0, 3, 3)]
     assert nearest_neighbours(table(spark, []), F.col("vec_id") % 100 == 0).count() == 0
     assert nearest_neighbours(table(spark, good[:1]), F.col("vec_id") % 100 == 0).count() == 0
+
+
+def test_shards_are_few_and_bounded():
+    assert [shard_count(n, 6) for n in (0, 1, 4096, 4097, 20_000, 51_282, 1_000_000, 10**9)] == [1, 1, 1, 2, 5, 6, 31, 30518]
+    assert shard_count(100_000, 1000) == 25
