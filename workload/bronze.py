@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.config import RawConfig
 from sedimenta.functions.columns import month_key
+from sedimenta.functions.evolution import union_nested
 from sedimenta.operators.changes import (
     apply_changes,
     decode_changes,
@@ -156,6 +157,37 @@ def schema_evolution_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_evolving(older, newer)
 
 
+@query(
+    "schema_evolution_nested",
+    """SELECT CAST(c_custkey AS BIGINT) AS party_id, c_name AS party_name, CAST(c_nationkey AS BIGINT) AS nation, NULL::VARCHAR AS city,
+              CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DOUBLE) AS amount, NULL::VARCHAR AS currency, 1 AS accounts FROM customer
+       UNION ALL
+       SELECT s_suppkey, s_name, s_nationkey, 'city ' || CAST(s_nationkey AS VARCHAR),
+              CAST(CAST(s_acctbal AS DECIMAL(14,1)) AS DOUBLE), 'EUR', 2 FROM supplier""",
+)
+def schema_evolution_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structs and arrays of structs that got fields and wider numbers since, in one table."""
+    older = table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS INT) AS party_id",
+        "struct(c_name AS name, struct(CAST(c_nationkey AS INT) AS nation) AS home) AS party",
+        "array(struct(CAST(c_acctbal AS DECIMAL(12,2)) AS amount)) AS accounts",
+    )
+    newer = table(spark, sf_dir, "supplier").selectExpr(
+        "CAST(s_suppkey AS BIGINT) AS party_id",
+        "array(struct('EUR' AS currency, CAST(s_acctbal AS DECIMAL(14,1)) AS amount), NULL) AS accounts",
+        "struct(struct('city ' || s_nationkey AS city, CAST(s_nationkey AS BIGINT) AS nation) AS home, s_name AS name) AS party",
+    )
+    return union_nested(older, newer).selectExpr(
+        "party_id",
+        "party.name AS party_name",
+        "party.home.nation AS nation",
+        "party.home.city AS city",
+        "accounts[0].amount AS amount",
+        "accounts[0].currency AS currency",
+        "size(accounts) AS accounts",
+    )
+
+
 @query(
     "replace_where",
     f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate FROM orders
