@@ -75,6 +75,40 @@ def _bits(df: DataFrame, columns: int, partitions: int | None) -> int:
     return min(62 // columns, max(6, ceil(log2(max(2, parts)) / columns) + 2))
 
 
+def cell_bounds(df: DataFrame, columns: Sequence[str], bits: int) -> dict[str, list]:
+    """Per column, the values that cut its rows into ``1 << bits`` equal parts: a number of values that
+    follows the bits, not the rows."""
+    parts = 1 << bits
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, StringType)]
+    numbers = {c: _number(df, c) for c in columns if c not in texts}
+    bounds: dict[str, list] = {c: list(_text_bounds(df, c, parts)) for c in texts}
+    if numbers:
+        wanted = [i / parts for i in range(1, parts)]
+        accuracy = max(10_000, 20 * parts)
+        found = df.agg(*[F.percentile_approx(m, wanted, accuracy).alias(c) for c, m in numbers.items()]).first()
+        bounds.update({c: list(found[c] or []) for c in numbers})
+    return bounds
+
+
+def with_cell(df: DataFrame, columns: Sequence[str], bounds: dict[str, list], bits: int) -> DataFrame:
+    """Add ``_cell``: the interleaved bits of each column's bucket between its bounds."""
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, StringType)]
+    placed = df
+    code: Column = F.lit(0).cast("long")
+    for index, name in enumerate(columns):
+        label = f"_m{index}"
+        if not bounds[name]:  # no value at all
+            continue
+        value = F.col(name) if name in texts else _number(df, name)
+        for step, found in _bucket(value, label, bounds[name], bits):
+            placed = placed.withColumn(step, found)
+        bucket = F.coalesce(F.col(f"{label}_0"), F.lit(0)).cast("long")
+        for bit in range(bits):
+            part = F.shiftright(bucket, bit).bitwiseAND(F.lit(1))
+            code = code.bitwiseOR(F.shiftleft(part, bit * len(columns) + index))
+    return placed.withColumn("_cell", code).select(*df.columns, "_cell")
+
+
 def clustered(
     df: DataFrame,
     columns: Sequence[str],
@@ -99,29 +133,7 @@ def clustered(
         return ranged.sortWithinPartitions(*within, *columns)
 
     bits = bits or _bits(df, len(columns), partitions)
-    parts = 1 << bits
-    # Bounds: a number of values per column that follows the partitions, not the rows.
-    texts = [c for c in columns if isinstance(df.schema[c].dataType, StringType)]
-    numbers = {c: _number(df, c) for c in columns if c not in texts}
-    bounds: dict[str, Sequence] = {c: _text_bounds(df, c, parts) for c in texts}
-    if numbers:
-        wanted = [i / parts for i in range(1, parts)]
-        accuracy = max(10_000, 20 * parts)
-        found = df.agg(*[F.percentile_approx(m, wanted, accuracy).alias(c) for c, m in numbers.items()]).first()
-        bounds.update({c: found[c] or [] for c in numbers})
-    placed = df
-    code: Column = F.lit(0).cast("long")
-    for index, name in enumerate(columns):
-        label = f"_m{index}"
-        if not bounds[name]:  # no value at all
-            continue
-        for step, value in _bucket(numbers.get(name, F.col(name)), label, bounds[name], bits):
-            placed = placed.withColumn(step, value)
-        bucket = F.coalesce(F.col(f"{label}_0"), F.lit(0)).cast("long")
-        for bit in range(bits):
-            part = F.shiftright(bucket, bit).bitwiseAND(F.lit(1))
-            code = code.bitwiseOR(F.shiftleft(part, bit * len(columns) + index))
-    ordered = placed.withColumn("_cell", code).select(*df.columns, "_cell")
+    ordered = with_cell(df, columns, cell_bounds(df, columns, bits), bits)
     order = [*within, "_cell", *columns]
     ranged = ordered.repartitionByRange(*count, *[F.col(c) for c in order], spread)
     return ranged.sortWithinPartitions(*order).drop("_cell")

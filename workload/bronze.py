@@ -26,6 +26,7 @@ from sedimenta.plans.bronze import (
     watermark_load,
 )
 from sedimenta.session import fresh_path, stored
+from sedimenta.sinks.clusters import append_clusters, cluster_again, start_clusters
 from sedimenta.sinks.layout import clustered
 from sedimenta.sinks.tables import append_rows, write_snapshot
 from sedimenta.sources.feeds import changes_after, in_log_order
@@ -209,6 +210,16 @@ def cluster_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustered(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderdate"])
 
 
+@query("cluster_incremental", "SELECT o_orderkey, o_custkey, o_orderdate FROM orders")
+def cluster_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders clustered, later ones appended, then only overlapping files clustered again."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    root, early = fresh_path(spark, "clusters"), f"coalesce(o_orderdate < TIMESTAMP '{SECOND_LOAD}', TRUE) AND o_orderkey % 5 > 0"
+    start_clusters(orders.filter(early), ["o_orderdate", "o_custkey"], root)
+    append_clusters(orders.filter(f"NOT ({early})"), root, 2)
+    return cluster_again(spark, root, 3)
+
+
 # ---- loads with their writes -----------------------------------------------
 
 

@@ -12,7 +12,7 @@ from sedimenta.operators.keys import greatest_key, with_surrogate_key, with_unkn
 from sedimenta.plans import dimensions, facts, snapshots, views
 from sedimenta.plans.late_keys import Reference, open_references, rekey_facts
 from sedimenta.plans.schemas import STAR_SCHEMA
-from sedimenta.plans.star import run_star
+from sedimenta.plans.star import publish_star, run_star
 from sedimenta.session import fresh_path, stored
 from sedimenta.sinks.partitions import replace_version, upsert_version
 from sedimenta.sinks.tables import create_database, publish, register_table, upsert_into_partitions, write_snapshot
@@ -35,6 +35,8 @@ from workload.registry import query
 
 # The day the reports are made; the product report looks back from here.
 REPORT_DAY = "2001-08-01 00:00:00"
+# The orders of a second, small build.
+LATEST_ORDERS = "2001-06-01 00:00:00"
 
 # ---- keys ----------------------------------------------------------------
 
@@ -687,3 +689,69 @@ def star_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     for more in counts[1:]:
         every = every.unionByName(more)
     return every
+
+
+# Stamps of a load, which differ between rows of the first and of the second build.
+_STAMPS = ("_created_date", "_pipeline_run_id", "_valid_from", "_valid_to")
+
+
+def _row_columns(name: str) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in STAR_SCHEMA[name].fields if f.name not in _STAMPS]
+
+
+def _row_sql(name: str, source: str) -> str:
+    """A table's rows as text: the declared types as strings, NULL as a mark."""
+    parts = [f"coalesce(CAST(CAST({c} AS {kind}) AS VARCHAR), '~')" for c, kind in _row_columns(name)]
+    return f"SELECT '{name}' AS table_name, sha256({" || '|' || ".join(parts)}) AS row_hash FROM {source}"
+
+
+def _row_frame(name: str, df: DataFrame) -> DataFrame:
+    parts = [F.coalesce(F.col(c).cast(kind).cast("string"), F.lit("~")) for c, kind in _row_columns(name)]
+    return df.select(F.lit(name).alias("table_name"), F.sha2(F.concat_ws("|", *parts), 256).alias("row_hash"))
+
+
+_UNKNOWN_ROWS = {
+    "dim_product": "(SELECT * FROM dim_product UNION ALL SELECT -1, -1, 'UNKNOWN', 'Unknown', NULL, 'Unknown', NULL, "
+    "'Unknown', NULL, NULL, NULL, NULL)",
+    "dim_location": "(SELECT * FROM dim_location UNION ALL SELECT -1, -1, 'Unknown', 'Unknown', NULL, NULL, NULL, NULL, "
+    "NULL, NULL)",
+}
+
+
+@query(
+    "star_catalog_rows",
+    with_inputs(
+        [*_ORDER_INPUTS, "silver_lines", "products", "brands", "categories"],
+        f"""{_SNAPSHOT}, {_FACT_LINES.strip().removeprefix(_CUSTOMER.strip()).lstrip(', ' + chr(10))}""",
+        " UNION ALL ".join(
+            _row_sql(name, _UNKNOWN_ROWS.get(name, "snapshot" if name.startswith("agg_") else name)) for name in STAR_SCHEMA
+        ),
+    ),
+)
+def star_catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two builds into the catalog, order facts in folders by day, the second one of the latest orders only;
+    every row of every table as the published names give it."""
+    silver = {
+        "customers": frame(spark, sf_dir, "known_customers"),
+        "products": frame(spark, sf_dir, "products"),
+        "brands": frame(spark, sf_dir, "brands"),
+        "categories": frame(spark, sf_dir, "categories"),
+        "addresses": addresses(spark, sf_dir),
+        "city_tiers": city_tiers(spark, sf_dir),
+        "orders": frame(spark, sf_dir, "silver_orders"),
+        "order_lines": frame(spark, sf_dir, "silver_lines"),
+    }
+    root, database = fresh_path(spark, "star"), f"star_{uuid.uuid4().hex}"
+    create_database(spark, database, f"{root}-database")
+    # Lines have as many days: one table in folders of a few rows each is enough to show the way.
+    folders = {"fact_orders": ("dim_date_key",), "agg_customer_monthly_snapshot": ("month_key",)}
+    run_star(silver, root, 1, RUN_1, THIRD_LOAD, database=database, partition_by=folders)
+    latest = silver["orders"].filter(f"order_date >= TIMESTAMP '{LATEST_ORDERS}'")
+    lines = silver["order_lines"].join(latest.select("order_number"), "order_number", "left_semi")
+    run_star({**silver, "orders": latest, "order_lines": lines}, root, 2, RUN_3, THIRD_LOAD, database=database, partition_by=folders)
+    publish_star(spark, database, root, 2)
+    every = None
+    for name in STAR_SCHEMA:
+        rows = _row_frame(name, spark.table(f"{database}.{name}"))
+        every = rows if every is None else every.unionByName(rows)
+    return every

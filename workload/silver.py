@@ -570,3 +570,22 @@ def silver_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         AS_OF_DAY,
         f"{root}-quarantine",
     )
+
+
+@query(
+    "silver_by_day",
+    with_inputs(
+        ["profile_1"],
+        f"""p1 AS ({latest_sql('profile_1', 'customer_id', 'last_order_date DESC, last_order_id DESC')})""",
+        f"""SELECT customer_id, status, last_order_id, last_order_date, '{RUN_1}' AS _pipeline_run_id,
+                   TIMESTAMP '{FIRST_LOAD}' AS _load_timestamp FROM p1""",
+    ),
+)
+def silver_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load whose settings ask for folders by a time: one per day."""
+    root = fresh_path(spark, "conformed")
+    config = TableConfig("customers", ("customer_id",), 1, partition_by=("last_order_date",))
+    newest = latest_per_key(frame(spark, sf_dir, "profile_1"), KEY, NEWEST)
+    source = newest.select("customer_id", "status", "last_order_id", "last_order_date")
+    run_silver(source, None, config, [], root, 1, RUN_1, FIRST_LOAD, f"{root}-quarantine")
+    return read_snapshot(spark, f"{root}/customers", 1).drop("last_order_date_day")
