@@ -106,7 +106,9 @@ def chosen_paths(sets: DataFrame, runs: int, depth: int, small: int) -> DataFram
     for level in range(1, depth + 1):
         counts = rooted.groupBy("node").agg(F.count(F.lit(1)).alias("count"), F.min("above").alias("above"))
         splits = (F.col("count") > small) & (F.col("above").isNull() | (F.col("count") < F.lit(CLUSTER) * F.col("above")))
-        counts = counts.filter(F.col("count") > 1).select("node", "count", splits.alias("splits"))
+        # Stored, counts have a size that Spark knows: few are broadcast and the sets stay where they are; with
+        # many, both sides come straight from a shuffle, where a hot node's sets may be split.
+        counts = stored(counts.filter(F.col("count") > 1).select("node", "count", splits.alias("splits")), "nodes")
         here = stored(rooted.select("node", "sid").join(counts, "node").select("node", "sid", "count", "splits"), "paths")
         more = here.filter("splits")
         last = level == depth or more.isEmpty()
