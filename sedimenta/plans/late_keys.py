@@ -67,6 +67,51 @@ def next_open_references(old: DataFrame | None, new: DataFrame, rebuilt: DataFra
     return kept.select(*new.columns).unionByName(new)
 
 
+def resolved_references(
+    waiting: DataFrame, references: Sequence[Reference], dimensions: Mapping[str, DataFrame]
+) -> DataFrame:
+    """Open references whose dimension row is there, with its key (``_found``); stored, as a build uses
+    them several times.
+
+    ``dimensions`` gives for each reference (by its key's name) the rows to look up: for
+    a history its current ones.
+    """
+    found = None
+    for r in references:
+        rows = dimensions[r.key].select(F.col(r.dimension_column).cast("string").alias("wanted"), F.col(r.key).alias("_found"))
+        rows = rows.filter(F.col("wanted").isNotNull() & (F.col("_found") != UNKNOWN_KEY)).withColumn("reference", F.lit(r.key))
+        found = rows if found is None else found.unionByName(rows)
+    return stored(waiting.join(found, ["reference", "wanted"]), "resolved")
+
+
+def still_open(waiting: DataFrame, resolved: DataFrame, keys: Sequence[str]) -> DataFrame:
+    on = [*keys, "reference"]
+    return waiting.join(resolved.select(*on), on, "left_anti").select(*waiting.columns)
+
+
+def rekeyed(
+    facts: DataFrame, keys: Sequence[str], references: Sequence[Reference], resolved: DataFrame, only: bool = False
+) -> DataFrame:
+    """``facts`` with the keys of resolved references where they hold the unknown one; with ``only``, just the
+    facts that have such a reference."""
+    keys, kinds = list(keys), {f.name: f.dataType for f in facts.schema.fields}
+    wide = resolved.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("reference") == r.key, F.col("_found"))).alias(f"_new_{r.key}") for r in references]
+    )
+    joined = facts.join(wide, keys, "inner" if only else "left")
+    given = {r.key: F.coalesce(F.when(F.col(r.key) == UNKNOWN_KEY, F.col(f"_new_{r.key}")), F.col(r.key)) for r in references}
+    return joined.select(*[given[c].cast(kinds[c]).alias(c) if c in given else F.col(f"`{c}`") for c in facts.columns])
+
+
+def facts_of(
+    spark: SparkSession, root: str, version: int, names: set[str], schema: StructType | None = None
+) -> DataFrame:
+    """The stored facts in some partitions."""
+    places = partition_places(spark, root, version)
+    schema = schema or read_snapshot(spark, root, version).schema
+    return read_places(spark, root, {p: at for p, at in places.items() if p in names}, schema)
+
+
 def rekey_facts(
     spark: SparkSession,
     facts_root: str,
@@ -81,37 +126,19 @@ def rekey_facts(
 ) -> DataFrame:
     """Next version of the facts, in which references whose dimension row has arrived hold its key.
 
-    ``dimensions`` gives for each reference (by its key's name) the rows to look up: for
-    a history its current ones.  Open references (see :func:`open_references`, a stored table
-    in versions of the facts' numbers) are joined with them; only partitions that hold a resolved one
-    are read and written, and the next version of the open references holds the rest.
+    Open references (see :func:`open_references`, a stored table in versions of the facts' numbers)
+    are joined with the ``dimensions`` (see :func:`resolved_references`); only partitions that hold a
+    resolved one are read and written, and the next version of the open references holds the rest.
     May be repeated: the facts are written first, and what is open follows from the
     version before.
     """
     base = version - 1 if base is None else base
     waiting = read_snapshot(spark, open_root, base)
-    found = None
-    for r in references:
-        rows = dimensions[r.key].select(F.col(r.dimension_column).cast("string").alias("wanted"), F.col(r.key).alias("_found"))
-        rows = rows.filter(F.col("wanted").isNotNull() & (F.col("_found") != UNKNOWN_KEY)).withColumn("reference", F.lit(r.key))
-        found = rows if found is None else found.unionByName(rows)
-    resolved = stored(waiting.join(found, ["reference", "wanted"]), "resolved")
-    keys = list(keys)
+    resolved = resolved_references(waiting, references, dimensions)
     if not is_complete(spark, manifest_path(facts_root, version)):
         names = partition_names(spark, resolved, [partition])
-        places = partition_places(spark, facts_root, base)
-        facts_schema = schema or read_snapshot(spark, facts_root, base).schema
-        facts = read_places(spark, facts_root, {p: at for p, at in places.items() if p in names}, facts_schema)
-        wide = resolved.groupBy(*keys).agg(
-            *[F.max(F.when(F.col("reference") == r.key, F.col("_found"))).alias(f"_new_{r.key}") for r in references]
-        )
-        joined = facts.join(wide, keys, "left")
-        given = {
-            r.key: F.when(F.col(r.key) == UNKNOWN_KEY, F.coalesce(f"_new_{r.key}", F.col(r.key))).otherwise(F.col(r.key))
-            for r in references
-        }
-        rekeyed = joined.select(*[given[c].cast(facts_schema[c].dataType).alias(c) if c in given else F.col(f"`{c}`") for c in facts.columns])
-        write_partitions(rekeyed, facts_root, version, [partition], names, base)
+        facts = facts_of(spark, facts_root, base, names, schema)
+        write_partitions(rekeyed(facts, keys, references, resolved), facts_root, version, [partition], names, base)
     if not is_complete(spark, snapshot_path(open_root, version)):
-        write_snapshot(waiting.join(resolved.select(*keys, "reference"), [*keys, "reference"], "left_anti").select(*waiting.columns), open_root, version)
+        write_snapshot(still_open(waiting, resolved, keys), open_root, version)
     return read_snapshot(spark, facts_root, version, schema)

@@ -11,11 +11,32 @@ from pyspark.sql import functions as F
 from sedimenta.functions.columns import date_key, month_key
 from sedimenta.operators.merge import replace_where
 from sedimenta.plans import dimensions, facts, snapshots
+from sedimenta.plans.late_keys import (
+    Reference,
+    facts_of,
+    next_open_references,
+    open_references,
+    rekeyed,
+    resolved_references,
+    still_open,
+)
 from sedimenta.plans.schemas import PARTITIONED_BY, STAR_SCHEMA
+from sedimenta.session import stored
 from sedimenta.sinks.partitions import replace_version, upsert_version
 from sedimenta.sinks.tables import create_database, publish, register_version, write_snapshot
 from sedimenta.sources.tables import dates_between, read_snapshot, snapshot_path
-from sedimenta.sources.versions import is_complete, manifest_path
+from sedimenta.sources.versions import is_complete, manifest_path, partition_names
+
+
+# Keys of the facts that may have to wait for their dimension row.
+ORDER_REFERENCES = (
+    Reference("dim_customer_key", "customer_id", "customer_id"),
+    Reference("dim_location_key", "shipping_address_id", "address_id"),
+)
+LINE_REFERENCES = (
+    Reference("dim_product_key", "product_id", "product_id"),
+    Reference("dim_customer_key", "customer_id", "customer_id"),
+)
 
 
 def read_star(spark: SparkSession, root: str, name: str, version: int) -> DataFrame:
@@ -51,7 +72,8 @@ def run_star(
     Of facts in folders by one column a build writes only the partitions its orders
     enter or leave, and those of the lines it replaces; a manifest names the others,
     which keep their files.  Of order facts by day the snapshot reads only months that changed.
-    With a ``database`` the facts are published there.
+    With a ``database`` the facts are published there.  Facts with an unknown key are listed under
+    ``open_...``; a later build that has their dimension row gives them its key.
 
     A build that failed is run again with the same version: tables it had completed
     are taken as they are.
@@ -111,28 +133,78 @@ def run_star(
             )
         ),
     )
-    orders = facts.fact_orders(silver["orders"], customers, locations, run_id, as_of)
-    lines = facts.fact_order_lines(
-        silver["order_lines"], silver["orders"], products, customers, run_id, as_of
+    dims = {
+        "dim_customer_key": customers.filter("_is_current"),
+        "dim_location_key": locations,
+        "dim_product_key": products,
+    }
+    orders = stored(facts.fact_orders(silver["orders"], customers, locations, run_id, as_of), "orders")
+    lines = stored(
+        facts.fact_order_lines(silver["order_lines"], silver["orders"], products, customers, run_id, as_of), "lines"
     )
     if lines_from is None:
         lines_from = bounds.select(date_key("first_day")).first()[0] or 0
-    day = "dim_date_key"
+    day, nothing = "dim_date_key", stored(orders.limit(0), "none")
+
+    def waiting(name: str, keys: list[str], references) -> tuple[DataFrame, DataFrame] | None:
+        """What the build before left open, and what of it has its dimension row now."""
+        if version == 1 or not is_complete(spark, snapshot_path(f"{root}/open_{name}", version - 1)):
+            return None
+        still = read_snapshot(spark, f"{root}/open_{name}", version - 1)
+        return still, resolved_references(still, references, dims)
+
+    def keep_open(name: str, rows: DataFrame) -> None:
+        if not is_complete(spark, snapshot_path(f"{root}/open_{name}", version)):
+            write_snapshot(rows, f"{root}/open_{name}", version)
+
+    key, schema = ["order_number"], STAR_SCHEMA["fact_orders"]
+    late = waiting("fact_orders", key, ORDER_REFERENCES)
+    rekeyed_orders = nothing
+    if late:
+        names = partition_names(spark, late[1], [day])
+        if by_folder("fact_orders") and partition_by["fact_orders"] == (day,):
+            before_facts = facts_of(spark, f"{root}/fact_orders", version - 1, names, schema)
+        else:
+            before_facts = earlier("fact_orders")
+        found = rekeyed(before_facts, key, ORDER_REFERENCES, late[1], only=True)
+        rekeyed_orders = found.join(orders.select(*key), key, "left_anti").select(*schema.names)
+    written = orders.unionByName(rekeyed_orders)
     if by_folder("fact_orders"):
         (folder,) = partition_by["fact_orders"]
-        upsert_version(
-            orders, ["order_number"], folder, f"{root}/fact_orders", version, schema=STAR_SCHEMA["fact_orders"]
-        )
+        upsert_version(written, key, folder, f"{root}/fact_orders", version, schema=schema)
     else:
-        write("fact_orders", facts.upsert_orders(earlier("fact_orders"), orders))
+        write("fact_orders", facts.upsert_orders(earlier("fact_orders"), written))
+    opened = open_references(orders, silver["orders"], key, day, ORDER_REFERENCES)
+    keep_open(
+        "fact_orders", next_open_references(still_open(*late, key), opened, orders, key) if late else opened
+    )
+
+    key, schema = ["order_number", "line_number"], STAR_SCHEMA["fact_order_lines"]
+    late = waiting("fact_order_lines", key, LINE_REFERENCES)
     dated = lines.filter(F.col(day).isNotNull())
     undated = facts.undated_lines(earlier("fact_order_lines"), lines, silver["orders"])
+    if late:
+        undated = rekeyed(undated, key, LINE_REFERENCES, late[1])
     if by_folder("fact_order_lines") and partition_by["fact_order_lines"] == (day,):
-        replace_version(dated, day, lines_from, f"{root}/fact_order_lines", version, without_value=undated)
+        further = None
+        if late:
+            # Lines from the bound on are new anyway.
+            names = partition_names(spark, late[1].filter(F.col(day) < lines_from), [day])
+            further = rekeyed(facts_of(spark, f"{root}/fact_order_lines", version - 1, names, schema), key, LINE_REFERENCES, late[1]), names
+        replace_version(dated, day, lines_from, f"{root}/fact_order_lines", version, without_value=undated, further=further)
     else:
         older = earlier("fact_order_lines")
         older = None if older is None else older.filter(F.col(day).isNotNull())
+        if late:
+            older = rekeyed(older, key, LINE_REFERENCES, late[1])
         write("fact_order_lines", replace_where(older, dated, f"{day} >= {lines_from}").unionByName(undated))
+    source = silver["order_lines"].join(silver["orders"].select("order_number", "customer_id"), "order_number")
+    opened = open_references(lines, source, key, day, LINE_REFERENCES)
+    if late:
+        left = still_open(*late, key).filter(F.coalesce(F.col(day) < lines_from, F.lit(True)))
+        opened = next_open_references(left, opened, silver["orders"], ["order_number"])
+    keep_open("fact_order_lines", opened)
+
     if database:
         create_database(spark, database)
         for name in ("fact_orders", "fact_order_lines"):

@@ -103,11 +103,13 @@ def replace_version(
     version: int,
     base: int | None = None,
     without_value: DataFrame | None = None,
+    further: tuple[DataFrame, Iterable[str]] | None = None,
 ) -> DataFrame:
     """Swap all partitions from ``first`` on for ``new``; earlier ones keep their files.
 
     A new row of an earlier partition stops the job.  Only ``new`` is written, and, if given,
-    ``without_value``: all rows that the partition without a value is to hold.
+    ``without_value``: all rows that the partition without a value is to hold, and ``further``: all rows
+    of some earlier partitions, and their names.
     """
     spark = new.sparkSession
     base = version - 1 if base is None else base
@@ -117,9 +119,12 @@ def replace_version(
         replacing = [p for p in places if (value := partition_value(p)) is not None and value >= first]
         if without_value is not None:
             replacing.append(f"{partition}={NO_VALUE}")
+        replacing += further[1] if further else []
     rows = replace_where(None, new, f"{partition} >= {first}")
     if without_value is not None:
         rows = rows.unionByName(without_value)
+    if further:
+        rows = rows.unionByName(further[0])
     return write_partitions(rows, root, version, [partition], replacing, base)
 
 

@@ -305,6 +305,29 @@ def test_orders_without_a_date_do_not_stop_a_build(spark, tmp_path, partition_by
     assert third["fact_order_lines"].count() == first["fact_order_lines"].count()
 
 
+@pytest.mark.parametrize("partition_by", [PARTITIONED_BY, {}])
+def test_facts_of_late_dimension_rows_get_their_keys(spark, tmp_path, partition_by):
+    root, tables = str(tmp_path), silver(spark)
+    known = dict(tables)
+    known["customers"] = known["customers"].filter("customer_id <> 1")
+    known["products"] = known["products"].filter("product_id <> 50")
+    first = run_star(known, root, 1, "r1", T3, partition_by=partition_by)
+    unknown = first["fact_orders"].filter("dim_customer_key = -1").count()
+    assert unknown > 1 and first["fact_order_lines"].filter("dim_product_key = -1").count() > 0
+    # The rows arrive with a batch of one order: all facts that waited for them get the keys.
+    batch = {**tables, "orders": tables["orders"].filter("order_number = 'F'"), "order_lines": tables["order_lines"].filter("order_number = 'F'")}
+    second = run_star(batch, root, 2, "r2", T3, partition_by=partition_by)
+    keys = {r.customer_id: r.dim_customer_key for r in second["dim_customer"].filter("_is_current").collect()}
+    of_order = {r.order_number: r.customer_id for r in tables["orders"].collect()}
+    for r in second["fact_orders"].collect():
+        assert r.dim_customer_key == keys.get(of_order[r.order_number], -1), r.order_number
+    for r in second["fact_order_lines"].collect():
+        assert r.dim_customer_key == keys.get(of_order[r.order_number], -1)
+    assert second["fact_order_lines"].filter("order_number = 'A' AND line_number = 1").first().dim_product_key != -1
+    assert second["fact_orders"].count() == first["fact_orders"].count()
+    assert second["fact_order_lines"].count() == first["fact_order_lines"].count()
+
+
 def test_a_build_that_failed_is_run_again(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
 
