@@ -1,9 +1,11 @@
-"""Columns of the caller's that go along under one name, so that none clashes."""
+"""What goes along with operators: the caller's columns under one name, and tasks' memory back to the system."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,3 +30,17 @@ def packed(names: Iterable[str], name: str = "_row") -> Column:
 def unpacked(names: Iterable[str], name: str = "_row") -> list[Column]:
     """The columns that :func:`packed` put together."""
     return [F.col(name)[n].alias(n) for n in names]
+
+
+def returning(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A task's function that hands the memory it no longer uses back at its end: the worker process
+    goes on to other tasks, of other stages as well."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim is not None:
+            trim(0)
+
+    return wrapped

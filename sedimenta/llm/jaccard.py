@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.carried import packed, unpacked
+from sedimenta.llm.carried import packed, returning, unpacked
 from sedimenta.llm.components import components
 from sedimenta.llm.texts import mixed, shingle_sets
 from sedimenta.session import stored
@@ -274,7 +274,7 @@ def linked_sets(docs: DataFrame, similarity: float, recall: float, depth: int, s
     """Documents with the ids of their sets (``doc_id, sid, n``) and, per set, its
     ``copies``, ``links`` to documents of other sets and component (``least``)."""
     signed = stored(
-        docs.select("doc_id", "text").mapInArrow(_signed, _kinds(docs)), "shingled"
+        docs.select("doc_id", "text").mapInArrow(returning(_signed), _kinds(docs)), "shingled"
     )
     sets = stored(
         signed.filter(F.col("n") > 0)
@@ -296,7 +296,7 @@ def linked_sets(docs: DataFrame, similarity: float, recall: float, depth: int, s
 
     kinds = "sid long, leaf long, n long, copies long, sketch binary, paths array<long>, one int, two int, side int"
     names = [k.split()[0] for k in kinds.split(", ")]
-    met = _by_bucket(_buckets(filled, block).select(*names)).mapInArrow(candidates, kinds)
+    met = _by_bucket(_buckets(filled, block).select(*names)).mapInArrow(returning(candidates), kinds)
     wanted = stored(met, "candidates")
     needed = wanted.select("sid").distinct().join(sets.select("sid", "doc_id"), "sid").select("doc_id", "sid")
 
@@ -312,7 +312,7 @@ def linked_sets(docs: DataFrame, similarity: float, recall: float, depth: int, s
 
     texts = docs.select(F.col("doc_id").alias("_d"), "text")
     read = texts.join(needed, F.col("_d").eqNullSafe(F.col("doc_id"))).select("sid", "text")
-    contents = stored(read.mapInArrow(shingles, "sid long, shingles binary").dropDuplicates(["sid"]), "contents")
+    contents = stored(read.mapInArrow(returning(shingles), "sid long, shingles binary").dropDuplicates(["sid"]), "contents")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _grouped(batches, 2048):
@@ -334,7 +334,7 @@ def linked_sets(docs: DataFrame, similarity: float, recall: float, depth: int, s
             yield pa.RecordBatch.from_arrays([pa.array(sid[some]), pa.array(links[some]), pa.array(root[some])], names=["sid", "links", "root"])
 
     whole = wanted.join(contents, "sid").select(*names, "shingles")
-    links = stored(_by_bucket(whole).mapInArrow(verified, "sid long, links long, root long"), "links")
+    links = stored(_by_bucket(whole).mapInArrow(returning(verified), "sid long, links long, root long"), "links")
     least = components(links.select(F.col("sid").alias("a"), F.col("root").alias("b")))
     counted = links.groupBy("sid").agg(F.sum("links").alias("links"))
     classes = (

@@ -15,6 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimenta.llm.carried import returning
 from sedimenta.session import stored
 
 #: Id that ends a document.
@@ -97,7 +98,7 @@ def tokenized_pieces(docs: DataFrame, path: str, longest: int, keep_ids: bool) -
         arrays = [pa.array(c, type=t) for c, t in zip(by_column, [doc_kind, *kinds], strict=True)]
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, columns)
+    return docs.select("doc_id", "text").mapInArrow(returning(run), columns)
 
 
 def fullest(first: int, available: dict[int, int], capacity: int) -> dict[int, int]:
