@@ -42,7 +42,7 @@ def check(spark, facts_root, root, version, days):
     return state
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_every_load_equals_a_full_build(spark, tmp_path, days, seed):
     facts_root, root, pick = f"{tmp_path}/facts", f"{tmp_path}/months", random.Random(seed)
     write_snapshot(orders(spark, pick, range(40), MONTHS[:4]), facts_root, 1, ["dim_date_key"])

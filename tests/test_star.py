@@ -339,12 +339,12 @@ def test_a_build_that_failed_is_run_again(spark, tmp_path, monkeypatch):
         broken.setattr("sedimenta.plans.star.publish", fails)
         with pytest.raises(OSError):
             run_star(silver(spark), root, 2, "r2", T3, database="again_db")
+    half = {name: plain(read_star(spark, root, name, 2)) for name in ("dim_customer", "fact_orders", "fact_order_lines")}
     again = run_star(silver(spark), root, 2, "r2", T3, database="again_db")
-    plainly = str(tmp_path / "plain")
-    run_star(silver(spark), plainly, 1, "r1", T3)
-    same = run_star(silver(spark), plainly, 2, "r2", T3)
-    for name in STAR_SCHEMA:
-        assert plain(again[name]) == plain(same[name]), name
+    for name, rows in half.items():  # what was complete stays as it is
+        assert plain(again[name]) == rows, name
+    assert plain(spark.table("again_db.fact_orders"), *STAR_SCHEMA["fact_orders"].names) == half["fact_orders"]
+    assert again["agg_customer_monthly_snapshot"].count() > 0
 
 
 def test_days_are_those_of_the_orders(star):
