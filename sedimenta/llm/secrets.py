@@ -210,7 +210,7 @@ def with_secret_spans(docs: DataFrame, name: str = "secrets") -> DataFrame:
     """``docs`` with the spans of its ``text`` as an array of (start, end, kind).
 
     One pass, no shuffle; a NULL or empty text has none.  All other columns, and
-    repeated rows, stay as they are.
+    repeated rows, stay as they are; a column that has the name ``name`` already is replaced.
     """
     return docs.withColumn(name, _scan("text"))
 

@@ -110,3 +110,13 @@ def test_all_languages_are_learned(spark):
     model = fit_language(docs, rounds=1)
     assert model.languages == names
     assert document_probabilities(model, [b"some text", b""]).shape == (2, 520)
+
+
+def test_number_signs_are_no_letters_and_columns_keep_their_names(spark):
+    rows = [(1, "½ ² ①", "own"), (2, "Ⅷ", "own"), (3, "123 _", "own"), (4, None, "own")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _language string")
+    out = language_predictions(docs, new_model(["aa", "bb"], 4, 1))
+    assert out.columns == [*docs.columns, "lang_pred", "score"]
+    assert {(r.lang_pred, r.score, r._language) for r in out.collect()} == {("und", 0.0, "own")}
+    (named,) = language_predictions(docs.limit(0).union(spark.createDataFrame([(5, "x", "own")], docs.schema)), new_model(["aa", "bb"], 4, 1)).collect()
+    assert named.lang_pred in ("aa", "bb")

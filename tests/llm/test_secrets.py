@@ -155,3 +155,10 @@ def test_addresses_and_alphabets_are_none_wherever_they_stand():
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     assert secret_spans(f"{upper}{upper.lower()}0123456789+/ {upper}234567 {upper.lower()}1234567890") == []
     assert secret_spans("id 550E8400-e29b-41d4-a716-44665544ffff") == []
+
+
+def test_a_column_of_the_result_s_name_is_replaced(spark):
+    docs = documents(spark, [(1, "token=abcdef123"), (2, None)]).withColumnRenamed("lang", "Secrets")
+    out = with_secret_spans(docs)
+    assert [c.lower() for c in out.columns] == [c.lower() for c in docs.columns]
+    assert {r.doc_id: len(r[2]) for r in out.collect()} == {1: 1, 2: 0}

@@ -195,3 +195,10 @@ def test_without_labels_and_empty(spark):
     assert out.count() == 3
     assert toxicity_scores(docs.limit(0), model).count() == 0
     assert np.isfinite([r.score for r in out.collect()]).all()
+
+
+def test_a_column_of_the_result_s_name_is_replaced(spark):
+    docs = documents(spark, [(1, "you fool"), (2, None)]).withColumnRenamed("lang", "score")
+    out = toxicity_scores(docs, MODEL)
+    assert out.columns == docs.columns
+    assert {r.doc_id: r.score for r in out.collect()} == {1: MODEL.score(MODEL.features("you fool")), 2: MODEL.score(MODEL.features(""))}
