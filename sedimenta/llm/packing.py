@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sedimenta.llm.carried import returning
 from sedimenta.session import stored
@@ -91,7 +92,7 @@ def tokenized_pieces(docs: DataFrame, path: str, longest: int, keep_ids: bool) -
     columns = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids binary, _part int, _at long"
     names = columns.replace(",", "").split()[::2]
     kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
-    doc_kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+    doc_kind = to_arrow_type(docs.schema["doc_id"].dataType)
 
     def _pieces(rows: list[tuple]) -> pa.RecordBatch:
         by_column = list(zip(*rows, strict=True)) or [()] * len(names)

@@ -102,3 +102,11 @@ def test_repeated_rows_ids_and_empty_table(spark):
     assert all(np.frombuffer(r.ids, "<u4")[-1] == 0 for r in out)
     assert len({(r.sequence_id, r.offset) for r in out}) == 3
     assert pack_documents(docs.limit(0), PATH).count() == 0
+
+
+def test_ids_of_any_type(spark):
+    docs = documents(spark, [(1, "some text"), (2, None)])
+    for kind in ("smallint", "int", "string", "decimal(5,0)"):
+        out = pack_documents(docs.withColumn("doc_id", docs["doc_id"].cast(kind)), PATH)
+        assert out.schema["doc_id"].dataType.simpleString() == kind
+        assert sorted(int(r.doc_id) for r in out.collect()) == [1, 2]
