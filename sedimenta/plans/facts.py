@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sedimenta.functions.columns import conform, date_key, with_audit
 from sedimenta.operators.history import current_rows
@@ -25,8 +27,12 @@ def fact_orders(
     dim_location: DataFrame,
     run_id: str,
     as_of: Column | dt.datetime | str,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per order that is no draft.  An order without status is no order yet, so it is left out."""
+    """One row per order that is no draft.  An order without status is no order yet, so it is left out.
+
+    Columns of the orders named by ``carry`` come along, after those of the fact.
+    """
     placed = orders.filter(F.col("order_status") != DRAFT)
     keyed = lookup_key(placed, current_rows(dim_customer), "customer_id", "customer_id", "dim_customer_key")
     keyed = lookup_key(keyed, dim_location, "shipping_address_id", "address_id", "dim_location_key")
@@ -37,7 +43,13 @@ def fact_orders(
             "is_delivered": F.when(F.col("order_status") == DELIVERED, 1).otherwise(0),
         }
     )
-    return conform(with_audit(rows, run_id, {"_created_date": as_of}), FACT_ORDERS)
+    return _carrying(with_audit(rows, run_id, {"_created_date": as_of}), FACT_ORDERS, carry)
+
+
+def _carrying(rows: DataFrame, schema: StructType, carry: Sequence[str]) -> DataFrame:
+    """The fact's columns in their types, and some others as they are."""
+    further = [rows.schema[name] for name in dict.fromkeys(carry) if name not in schema.names]
+    return conform(rows, StructType([*schema.fields, *further]))
 
 
 def upsert_orders(target: DataFrame | None, orders: DataFrame) -> DataFrame:
@@ -52,32 +64,30 @@ def fact_order_lines(
     dim_customer: DataFrame,
     run_id: str,
     as_of: Column | dt.datetime | str,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per line of a known order.
 
     The customer is looked up on the orders, before they meet the lines: orders
-    are the smaller side, so the lines are shuffled for one lookup less.
+    are the smaller side, so the lines are shuffled for one lookup less.  Columns named by
+    ``carry``, of the lines or the orders' ``customer_id``, come along after those of the fact.
     """
+    carried = ["customer_id"] if "customer_id" in carry else []
     headers = lookup_key(
         orders.select("order_number", "order_date", "customer_id"),
         current_rows(dim_customer),
         "customer_id",
         "customer_id",
         "dim_customer_key",
-    ).select("order_number", date_key("order_date").alias("dim_date_key"), "dim_customer_key")
-    rows = lookup_key(
-        lines.join(headers, "order_number", "inner"),
-        dim_product,
-        "product_id",
-        "product_id",
-        "dim_product_key",
-    ).withColumns(
+    ).select("order_number", date_key("order_date").alias("dim_date_key"), "dim_customer_key", *carried)
+    keyed = lookup_key(lines, dim_product, "product_id", "product_id", "dim_product_key")
+    rows = keyed.join(headers, "order_number", "inner").withColumns(
         {
             "dim_order_key": F.lit(None).cast("long"),
             "line_status": F.lit(CLOSED),
         }
     )
-    return conform(with_audit(rows, run_id, {"_created_date": as_of}), FACT_ORDER_LINES)
+    return _carrying(with_audit(rows, run_id, {"_created_date": as_of}), FACT_ORDER_LINES, carry)
 
 
 def undated_lines(old: DataFrame | None, lines: DataFrame, orders: DataFrame) -> DataFrame:

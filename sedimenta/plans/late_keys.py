@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sedimenta.functions.columns import all_present
 from sedimenta.operators.keys import UNKNOWN_KEY
 from sedimenta.session import stored
 from sedimenta.sinks.partitions import write_partitions
@@ -34,13 +35,15 @@ class Reference:
 
 
 def open_references(
-    facts: DataFrame, source: DataFrame, keys: Sequence[str], partition: str, references: Sequence[Reference]
+    facts: DataFrame, source: DataFrame | None, keys: Sequence[str], partition: str, references: Sequence[Reference]
 ) -> DataFrame:
     """One row per fact and reference that holds the unknown key: the fact's ``keys`` and partition,
     the ``reference`` (its key's name) and the ``wanted`` business key, as text.
 
     Only facts with an unknown key are joined with the source they were made of (by
-    ``keys``).  A reference that is NULL in the source names nothing to wait for.
+    ``keys``).  Without a ``source`` the facts carry its columns themselves, and nothing is joined;
+    facts with a NULL key stay out in either case.  A reference that is NULL in the source names nothing
+    to wait for.
     """
     keys = list(keys)
     unknown = [F.col(f"f.{r.key}") == UNKNOWN_KEY for r in references]
@@ -48,10 +51,17 @@ def open_references(
     for more in unknown[1:]:
         some = some | more
     columns = dict.fromkeys(r.source_column for r in references)
-    kept = facts.select(*keys, partition, *[r.key for r in references]).alias("f").filter(some)
-    met = kept.join(source.select(*keys, *columns).alias("s"), [F.col(f"f.{k}") == F.col(f"s.{k}") for k in keys])
+    own = columns if source is None else ()
+    kept = facts.select(*keys, partition, *[r.key for r in references], *own).alias("f").filter(some)
+    if source is None:
+        met, side = kept.filter(all_present(keys)), "f"
+    else:
+        on = [F.col(f"f.{k}") == F.col(f"s.{k}") for k in keys]
+        met, side = kept.join(source.select(*keys, *columns).alias("s"), on), "s"
     rows = [
-        F.struct(F.lit(r.key).alias("reference"), F.when(u, F.col(f"s.{r.source_column}").cast("string")).alias("wanted"))
+        F.struct(
+            F.lit(r.key).alias("reference"), F.when(u, F.col(f"{side}.{r.source_column}").cast("string")).alias("wanted")
+        )
         for r, u in zip(references, unknown, strict=True)
     ]
     listed = met.select(*[F.col(f"f.{k}").alias(k) for k in keys], f"f.{partition}", F.inline(F.array(*rows)))

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from sedimenta.plans import dimensions, facts, snapshots, views
+from sedimenta.plans import star as star_plan
 from sedimenta.plans.schemas import PARTITIONED_BY, STAR_SCHEMA
 from sedimenta.plans.star import publish_star, read_star, register_star, run_star
-from sedimenta.sources.tables import date_range
+from sedimenta.sources.tables import date_range, read_snapshot
 
 T1, T2, T3 = "2024-01-31 00:00:00", "2024-02-29 00:00:00", "2024-03-31 00:00:00"
 CUSTOMER = (
@@ -328,6 +329,21 @@ def test_facts_of_late_dimension_rows_get_their_keys(spark, tmp_path, partition_
     assert second["fact_order_lines"].count() == first["fact_order_lines"].count()
 
 
+@pytest.mark.parametrize("partition_by", [PARTITIONED_BY, {}])
+def test_builds_join_no_source_again_and_count_orders_plainly(spark, tmp_path, monkeypatch, partition_by):
+    sources, counted = [], []
+    listed, count = star_plan.open_references, snapshots.order_count
+    monkeypatch.setattr(star_plan, "open_references", lambda f, s, *a: sources.append(s) or listed(f, s, *a))
+    monkeypatch.setattr(snapshots, "order_count", lambda unique: counted.append(unique) or count(unique))
+    for version in (1, 2):
+        built = run_star(silver(spark), str(tmp_path), version, f"r{version}", T3, partition_by=partition_by)
+        for name in ("fact_orders", "fact_order_lines"):
+            assert built[name].columns == STAR_SCHEMA[name].names
+            kept = read_snapshot(spark, f"{tmp_path}/open_{name}", version)
+            assert kept.columns[-2:] == ["reference", "wanted"]
+    assert sources == [None] * 4 and counted and all(counted)
+
+
 def test_a_build_that_failed_is_run_again(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
 
