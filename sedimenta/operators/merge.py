@@ -56,10 +56,11 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) ->
 
     A source key that occurs twice stops the job.
     """
-    source = unique_rows(source, keys)
+    written = unique_rows(source, keys)
     if target is None:
-        return source
-    return merge_rows(target, source, keys)
+        return written
+    # The rows written are counted; the keys to leave out need no counting.
+    return merge_rows(target, written, keys, touched=source.select(*keys))
 
 
 def touched_partitions(

@@ -27,6 +27,13 @@ def test_upsert(spark):
     assert plain(upsert(upsert(old, new.dropna(), ["k"]), new.dropna(), ["k"])) == plain(upsert(old, new.dropna(), ["k"]))
 
 
+def test_upsert_counts_the_rows_of_a_key_once(spark, capsys):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    new = spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string")
+    upsert(old, new, ["k"]).explain()
+    assert capsys.readouterr().out.count("Window [") == 1
+
+
 def test_a_key_that_occurs_twice_stops_every_merge(spark):
     old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     twice = spark.createDataFrame([(2, "B"), (2, "C"), (None, "x"), (None, "y")], "k int, v string")
