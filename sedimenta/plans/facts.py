@@ -27,12 +27,8 @@ def fact_orders(
     dim_location: DataFrame,
     run_id: str,
     as_of: Column | dt.datetime | str,
-    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per order that is no draft.  An order without status is no order yet, so it is left out.
-
-    Columns of the orders named by ``carry`` come along, after those of the fact.
-    """
+    """One row per order that is no draft.  An order without status is no order yet, so it is left out."""
     placed = orders.filter(F.col("order_status") != DRAFT)
     keyed = lookup_key(placed, current_rows(dim_customer), "customer_id", "customer_id", "dim_customer_key")
     keyed = lookup_key(keyed, dim_location, "shipping_address_id", "address_id", "dim_location_key")
@@ -43,13 +39,7 @@ def fact_orders(
             "is_delivered": F.when(F.col("order_status") == DELIVERED, 1).otherwise(0),
         }
     )
-    return _carrying(with_audit(rows, run_id, {"_created_date": as_of}), FACT_ORDERS, carry)
-
-
-def _carrying(rows: DataFrame, schema: StructType, carry: Sequence[str]) -> DataFrame:
-    """The fact's columns in their types, and some others as they are."""
-    further = [rows.schema[name] for name in dict.fromkeys(carry) if name not in schema.names]
-    return conform(rows, StructType([*schema.fields, *further]))
+    return conform(with_audit(rows, run_id, {"_created_date": as_of}), FACT_ORDERS)
 
 
 def upsert_orders(target: DataFrame | None, orders: DataFrame) -> DataFrame:
@@ -87,7 +77,8 @@ def fact_order_lines(
             "line_status": F.lit(CLOSED),
         }
     )
-    return _carrying(with_audit(rows, run_id, {"_created_date": as_of}), FACT_ORDER_LINES, carry)
+    further = [rows.schema[name] for name in dict.fromkeys(carry) if name not in FACT_ORDER_LINES.names]
+    return conform(with_audit(rows, run_id, {"_created_date": as_of}), StructType([*FACT_ORDER_LINES.fields, *further]))
 
 
 def undated_lines(old: DataFrame | None, lines: DataFrame, orders: DataFrame) -> DataFrame:

@@ -41,10 +41,25 @@ def open_references(
     the ``reference`` (its key's name) and the ``wanted`` business key, as text.
 
     Only facts with an unknown key are joined with the source they were made of (by
-    ``keys``).  Without a ``source`` the facts carry its columns themselves, and nothing is joined;
-    facts with a NULL key stay out in either case.  A reference that is NULL in the source names nothing
-    to wait for.
+    ``keys``).  Without a ``source`` the facts, a stored table, are the source and carry its columns
+    themselves: only facts whose keys repeat are joined then.  Facts with a NULL key stay out in
+    either case.  A reference that is NULL in the source names nothing to wait for.
     """
+    if source is None:
+        present = facts.filter(all_present(keys))
+        counted = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        repeated = stored(counted.filter("_rows > 1").select(*keys), "repeated")
+        again = present.join(repeated, list(keys), "left_semi").select(*facts.columns)
+        several = open_references(again, again, keys, partition, references)
+        once = _open_references(present, None, keys, partition, references)
+        return once.join(repeated, list(keys), "left_anti").select(*several.columns).unionByName(several)
+    return _open_references(facts, source, keys, partition, references)
+
+
+def _open_references(
+    facts: DataFrame, source: DataFrame | None, keys: Sequence[str], partition: str, references: Sequence[Reference]
+) -> DataFrame:
+    """Rows of :func:`open_references`; without a ``source`` each fact is met by itself only."""
     keys = list(keys)
     unknown = [F.col(f"f.{r.key}") == UNKNOWN_KEY for r in references]
     some = unknown[0]
@@ -54,7 +69,7 @@ def open_references(
     own = columns if source is None else ()
     kept = facts.select(*keys, partition, *[r.key for r in references], *own).alias("f").filter(some)
     if source is None:
-        met, side = kept.filter(all_present(keys)), "f"
+        met, side = kept, "f"
     else:
         on = [F.col(f"f.{k}") == F.col(f"s.{k}") for k in keys]
         met, side = kept.join(source.select(*keys, *columns).alias("s"), on), "s"

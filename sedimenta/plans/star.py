@@ -138,13 +138,8 @@ def run_star(
         "dim_location_key": locations,
         "dim_product_key": products,
     }
-    # Stored with the business keys they were looked up by, so open references need no join.
-    placed = stored(
-        facts.fact_orders(
-            silver["orders"], customers, locations, run_id, as_of, carry=[r.source_column for r in ORDER_REFERENCES]
-        ),
-        "orders",
-    )
+    orders = stored(facts.fact_orders(silver["orders"], customers, locations, run_id, as_of), "orders")
+    # Stored with the business keys they were looked up by, so open references need not join them again.
     sold = stored(
         facts.fact_order_lines(
             silver["order_lines"], silver["orders"], products, customers, run_id, as_of,
@@ -152,7 +147,6 @@ def run_star(
         ),
         "lines",
     )
-    orders = placed.select(*STAR_SCHEMA["fact_orders"].names)
     lines = sold.select(*STAR_SCHEMA["fact_order_lines"].names)
     if lines_from is None:
         lines_from = bounds.select(date_key("first_day")).first()[0] or 0
@@ -186,7 +180,7 @@ def run_star(
         upsert_version(written, key, folder, f"{root}/fact_orders", version, schema=schema)
     else:
         write("fact_orders", facts.upsert_orders(earlier("fact_orders"), written))
-    opened = open_references(placed, None, key, day, ORDER_REFERENCES)
+    opened = open_references(orders, silver["orders"], key, day, ORDER_REFERENCES)
     keep_open(
         "fact_orders", next_open_references(still_open(*late, key), opened, orders, key) if late else opened
     )
